@@ -1,26 +1,24 @@
-"""Shared helpers: the cluster's shared folder, written tables, size-checked joins, word hashing."""
+"""Shared helpers: the cluster's shared folder, written tables, size-checked joins, connected groups, word hashing."""
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast up to this many (small, fixed-width) rows, and shuffled beyond.
 BROADCAST_ROWS = 500_000
 
-#: Lower-case A-Z only; a word is a run of anything but space and \x09-\x0D.
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
 #: Bound of a worker's caches of words, in entries.
 CACHE_ENTRIES = 400_000
 
+#: Bytes that are hashed together.
+SLICE_BYTES = 1 << 18
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a new temporary one where none is set, as in tests."""
@@ -52,6 +50,24 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def components(links: DataFrame) -> DataFrame:
+    """doc, component (the smallest doc reachable) of every end of the links (a, b): large-star and small-star in turn,
+    each a grouped minimum over written tables, until the links are stars."""
+    both = lambda x: x.select("a", "b").union(x.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    links = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    while True:
+        lowest = both(links).groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both(links).where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a")
+        small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct()
+        after = written(small, "links")
+        if not after.exceptAll(links).limit(1).count() and after.count() == links.count():
+            break
+        links = after
+    return links.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("doc"), F.col("b").alias("component"))
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -62,23 +78,7 @@ def in_partitions(df: DataFrame, rows_per_batch: int = 1000) -> DataFrame:
     return df
 
 
-class WordHash(dict):
-    """Word -> 64-bit hash; bounded, filled on demand."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
-        return value
-
-
-_words = WordHash()
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the lower-cased words, in order."""
-    words = WORD.findall((text or "").translate(LOWER))
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+_tables: dict[str, np.ndarray] = {}
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -88,6 +88,65 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _byte_tables(letters: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a byte is part of a word (anything but space and \\x09-\\x0D; or ASCII letters, digits and all beyond ASCII), and a 64-bit value for it; A-Z count as a-z."""
+    if "solid" not in _tables:
+        byte = np.arange(256)
+        lower = np.where((byte >= 65) & (byte <= 90), byte + 32, byte).astype(np.uint64)
+        _tables["value"] = mix(mix(lower + np.uint64(0x9E3779B97F4A7C15)))
+        _tables["solid"] = ~((byte == 32) | ((byte >= 9) & (byte <= 13)))
+        _tables["letters"] = (byte >= 128) | ((lower >= 97) & (lower <= 122)) | ((byte >= 48) & (byte <= 57))
+    return _tables["letters" if letters else "solid"], _tables["value"]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2**64."""
+    if len(_tables.get("power", ())) < n:
+        for name, base in (("power", 0x9FB21C651E98DF25), ("inverse", pow(0x9FB21C651E98DF25, -1, 1 << 64))):
+            steps = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
+            steps[0] = 1
+            _tables[name] = np.cumprod(steps, dtype=np.uint64)
+    return _tables["power"], _tables["inverse"]
+
+
+def batch_words(column: pa.Array, letters: bool = False, places: bool = False) -> tuple[np.ndarray, ...]:
+    """64-bit hashes of the lower-cased words of a column of texts, in order, and where each text's words start (one place
+    more than texts). All at once over the column's bytes, with a polynomial hash of each word; nulls count as empty.
+    places: also the first byte of each word and the one after its last, from the first text on."""
+    if column.null_count:
+        column = column.fill_null("")
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    if at[0] == at[-1]:
+        none = np.zeros(0, np.int64)
+        return (np.zeros(0, np.uint64), np.zeros(len(at), np.int64), none, none)[: 4 if places else 2]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    is_solid, values = _byte_tables(letters)
+    solid = is_solid[raw]
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    edge = at[(at > 0) & (at < len(raw))]
+    first[edge] = solid[edge]
+    last[edge - 1] = solid[edge - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    out, a = np.empty(len(starts), np.uint64), 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + SLICE_BYTES, "right")))
+        low, high = int(starts[a]), int(ends[b - 1])
+        power, inverse = _powers(high - low + 1)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(values[raw[low:high]] * power[: high - low], out=sums[1:])
+        out[a:b] = (sums[ends[a:b] - low] - sums[starts[a:b] - low]) * inverse[starts[a:b] - low]
+        a = b
+    return (mix(out), np.searchsorted(starts, at), starts, ends)[: 4 if places else 2]
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the lower-cased words of one text, in order."""
+    return batch_words(pa.array([text or ""]))[0]
+
+
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-word shingles in order, with repeats; fewer words make one shingle, none make none."""
     if not len(words):
