@@ -179,11 +179,12 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, from the encoded and then decoded ids."""
+def digests(docs: DataFrame, vocabulary: str | None = None, keep_ids: bool = False) -> DataFrame:
+    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, from the encoded and then decoded ids; and ids if kept."""
     back = decode(encode(docs, vocabulary), vocabulary)
     return back.select(
         "doc_id",
+        *(["ids"] if keep_ids else []),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -3,8 +3,49 @@
 from __future__ import annotations
 
 from .bpe import op5_byte_bpe
+from .decontaminate import op7_decontaminate
 from .id_planes import op4_id_planes
+from .lm import op2_ef_trie
+from .ngram_join import op6_ngram_join
+from .pii import op1_pii
+from .quality import op3_quality
+from .syncmers import op10_syncmers
 from .token_counts import op8_token_counts
+from .warc import op9_warc
 
-QUERIES = {f.__name__: f for f in (op4_id_planes, op5_byte_bpe, op8_token_counts)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_ef_trie, op3_quality, op4_id_planes, op5_byte_bpe, op6_ngram_join, op7_decontaminate, op8_token_counts, op9_warc, op10_syncmers)}
+
+
+def pipeline(spark, sf_dir: str):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
+
+_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_SHINGLES = "CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - {n} + 2), i -> array_to_string(w[i:i + {n} - 1], ' '))) END"
+
+#: The join's components by plain label propagation over all linking pairs.
+_OP6 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, {_SHINGLES.format(n=3)} AS g FROM d),
+n AS (SELECT doc_id, len(g) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(g) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n m ON m.doc_id = a JOIN n o ON o.doc_id = b WHERE 100 * c >= 90 * (m.n_shingles + o.n_shingles - c)),
+r AS (SELECT doc_id AS a, doc_id AS c FROM d UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.c)
+SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, min(c) AS component_id FROM n JOIN r ON r.a = doc_id GROUP BY ALL
+"""
+
+_OP7 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+s AS (SELECT doc_id, unnest({_SHINGLES.format(n=5)}) AS x FROM d),
+t AS (SELECT item_id, {_SHINGLES.format(n=5)} AS g FROM i),
+u AS (SELECT item_id, len(g) AS n, unnest(g) AS x FROM t)
+SELECT doc_id, item_id, count(*) / n AS containment FROM s JOIN u USING (x) GROUP BY doc_id, item_id, n HAVING count(*) * 100 >= n * 80
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_ngram_join": _OP6, "op7_decontaminate": _OP7}
