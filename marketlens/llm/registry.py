@@ -24,8 +24,8 @@ def pipeline(spark, sf_dir: str):
 
 QUERIES["pipeline"] = pipeline
 
-_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '')"
-_SHINGLES = "CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - {n} + 2), i -> array_to_string(w[i:i + {n} - 1], ' '))) END"
+_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+_SHINGLES = "CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n} - 1], ' '))) END"
 
 #: The join's components by plain label propagation over all linking pairs.
 _OP6 = f"""
