@@ -19,6 +19,7 @@ returned. Empty tables give empty results. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,12 +148,34 @@ def candidates(docs: DataFrame, levels: np.ndarray, n: int, share: int, of: int)
     """hub, doc: the members of each hub, itself included."""
     known = docs.sparkSession.sparkContext.broadcast(levels)  # COUNTERS bytes
 
+    def chains(shingle: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether each row begins a chain; rows are sorted by shingle and size."""
+        new = np.ones(len(shingle), bool)
+        new[1:] = (shingle[1:] != shingle[:-1]) | (of * size[:-1] < share * size[1:])
+        return new
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """doc, n, times: columns that a document shares. The last row of a batch waits for the next one."""
+        held, alone = [np.zeros(0, np.int64)] * 3, True
+        for last, batch in itertools.chain(((False, b) for b in batches), [(True, None)]):
+            shingle, size, doc = held if last else (np.r_[h, batch.column(k).to_numpy()] for k, h in enumerate(held))
+            if not len(shingle):
+                continue
+            new = chains(shingle, size)
+            new[0] &= alone
+            joined = ~new
+            joined[:-1] |= ~new[1:]
+            done = len(shingle) if last else len(shingle) - 1
+            held, alone = [x[done:] for x in (shingle, size, doc)], bool(new[-1])
+            docs_, at, times = np.unique(doc[:done][joined[:done]], return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(docs_), pa.array(size[:done][joined[:done]][at]), pa.array(times)], ["doc", "n", "times"])
+
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sizes, out = [], [], []
             for doc_id, s in doc_sets(batch, n):
                 if k := len(s):
-                    first = k - -(-share * k // of) + 1
+                    first = k - -(-share * k // of) + 1 + k // 10
                     level = known.value[(s % np.uint64(COUNTERS)).astype(np.int64)]
                     out.append(s[np.lexsort((s, level))[:first]])
                     ids.append(doc_id)
@@ -167,8 +190,7 @@ def candidates(docs: DataFrame, levels: np.ndarray, n: int, share: int, of: int)
             shingle, size, doc = (batch.column(k).to_numpy() for k in range(3))
             if not len(shingle):
                 continue
-            new = np.ones(len(shingle), bool)
-            new[1:] = (shingle[1:] != shingle[:-1]) | (of * size[:-1] < share * size[1:])
+            new = chains(shingle, size)
             if last is not None:
                 new[0] = last[0] != shingle[0] or of * last[1] < share * size[0]
             chain = np.cumsum(new)
@@ -178,9 +200,17 @@ def candidates(docs: DataFrame, levels: np.ndarray, n: int, share: int, of: int)
             last, hub = (shingle[-1], size[-1]), of_hub[-1]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["hub", "doc"])
 
-    rows = _texts(docs).mapInArrow(prefixes, "shingle long, n long, doc long")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = written(rows.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "doc").mapInArrow(hubs, "hub long, doc long").distinct(), "members")
+
+    def columns(some: DataFrame) -> DataFrame:
+        rows = _texts(some).mapInArrow(prefixes, "shingle long, n long, doc long")
+        return rows.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "doc")
+
+    # A partner has share / of as many shingles at least, and so its own k is this at least.
+    enough = 1 + F.floor(F.col("n") * share / (of * 10))
+    times = columns(docs).mapInArrow(shared, "doc long, n long, times long").groupBy("doc").agg(F.min("n").alias("n"), F.sum("times").alias("times"))
+    kept = written(times.where(F.col("times") >= enough).select(F.col("doc").alias("doc_id")), "kept")
+    pairs = written(columns(docs.join(small(kept), "doc_id", "left_semi")).mapInArrow(hubs, "hub long, doc long").distinct(), "members")
     return written(pairs.union(pairs.select("hub", F.col("hub").alias("doc")).distinct()), "hubs")
 
 
