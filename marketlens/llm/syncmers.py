@@ -19,28 +19,45 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-K, S = 16, 4
+K, S = 16, 2
+
+
+def bound(value: Column, body) -> Column:
+    """body(value), with the value computed once: a one-element array binds it to a name."""
+    return F.transform(F.array(value), body)[0]
+
+
+def pairs_at(x: Column, step: int, f) -> Column:
+    """f of each element and the one `step` places after it (null beyond the end)."""
+    return F.zip_with(x, F.slice(x, step + 1, F.size(x)), lambda a, b: f(a, b))
+
+
+def window_least(x: Column, width: int, have: int = 1) -> Column:
+    """The least of each `width` elements in a row, by doubling: x has the least of each `have`."""
+    if have == width:
+        return x
+    step = min(have, width - have)
+    return bound(pairs_at(x, step, F.least), lambda y: window_least(y, width, have + step))
 
 
 def anchors(text: Column) -> Column:
     """Hashes of a text's anchors in order of place, as array<bigint>."""
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    at = lambda n: F.sequence(F.lit(0), n)
 
     def chosen(h: Column) -> Column:
-        inner = F.transform(at(F.size(h) - S), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(S))))
-        return F.transform(F.array(inner), lambda s: F.filter(at(F.size(h) - K), lambda i: F.array_min(F.slice(s, i + 1, K - S + 1)) == F.least(F.get(s, i), F.get(s, i + (K - S)))))[0]
+        inner = pairs_at(h, 1, lambda a, b: F.xxhash64(a, b))  # of S words
+        ends = lambda s: pairs_at(s, K - S, F.least)
+        places = F.sequence(F.lit(0), F.size(h) - K)
+        return bound(inner, lambda s: bound(ends(s), lambda e: bound(window_least(s, K - S + 1), lambda m: F.filter(places, lambda i: F.get(e, i) == F.get(m, i)))))
 
     def hashes(h: Column) -> Column:
         return F.when(F.size(h) >= K, F.transform(chosen(h), lambda i: F.xxhash64(F.slice(h, i + 1, K)))).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
 
-    # One-element arrays bind a value to a name, so that it is computed once.
-    return F.transform(F.array(hashed), hashes)[0]
+    return bound(F.transform(words, lambda w: F.xxhash64(w)), hashes)
 
 
 def printed(found: Column) -> Column:
-    return F.array_join(F.transform(found, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
+    return F.lower(F.array_join(F.transform(found, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -50,10 +67,11 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text. Rows are dealt into ranges of doc_id, each with the first row of the range after it, so
+    """doc_id, text, found (its anchors), next_text, next_found. Rows are dealt into ranges of doc_id, each with the first row of the range after it, so
     that one shuffle of the texts is enough and no task sees more than its range."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    fields = F.struct("text", anchors(F.col("text")).alias("found"))
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     bounds = rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10000).alias("b")).first()["b"] or []
     bounds = sorted(set(bounds))  # as many as partitions
@@ -66,12 +84,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     before = {top: tops[k - 1][0] for k, (_, top) in enumerate(tops)}
     marks = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else None
     if marks is None:
-        return rows.select("doc_id", "text", F.col("text").alias("next_text"))
+        return rows.select("doc_id", "text", fields["found"].alias("found"), F.col("text").alias("next_text"), fields["found"].alias("next_found"))
     heads = rows.where(key.isin(list(before))).groupBy("doc_id").agg(F.max("text").alias("text"))
     heads = heads.select("doc_id", "text", F.element_at(marks.cast("map<bigint,int>"), key).alias("bucket"), F.lit(1).alias("tail"))
-    dealt = rows.withColumn("tail", F.lit(0)).unionByName(heads)
-    order = Window.partitionBy("bucket").orderBy("tail", F.desc_nulls_last("doc_id"), F.desc("text"))
-    return dealt.withColumn("next_text", F.lead("text").over(order)).where("tail = 0").select("doc_id", "text", "next_text")
+    dealt = rows.withColumn("tail", F.lit(0)).unionByName(heads).withColumn("fields", fields).drop("text")
+    order = Window.partitionBy("bucket").orderBy("tail", F.desc_nulls_last("doc_id"), F.desc("fields.text"))
+    led = dealt.withColumn("next", F.lead("fields").over(order)).where("tail = 0")
+    return led.select("doc_id", "fields.text", "fields.found", F.col("next.text").alias("next_text"), F.col("next.found").alias("next_found"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -79,9 +98,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = with_next(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    three = F.transform(F.array("text", "edited", "next_text"), anchors)
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), three.alias("found"))
-    a, b, c = (F.col("found")[k] for k in range(3))
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "found", "next_found", anchors(F.col("edited")).alias("edited_found"))
+    a, b, c = F.col("found"), F.col("edited_found"), F.col("next_found")
     return rows.select("doc_id", "n_chars", "edited_sha256", printed(a).alias("fingerprint"), printed(b).alias("edited_fingerprint"), likeness(a, b).alias("near_edited"), likeness(a, c).alias("near_next"))
 
 
