@@ -22,10 +22,11 @@ def level_list(doc: Column, *paths: str) -> Column:
 def decoded(events: DataFrame) -> DataFrame:
     """The log's rows with typed columns instead of the payload: yes, no (levels), side, price, delta, trade_price,
     trade_count, lifecycle, deactivated. What does not parse is null."""
-    v = F.try_parse_json("payload")
+    # The payload is parsed once, in a projection of its own.
+    v = F.col("_v")
     get = lambda path: F.try_variant_get(v, path, "string")
     kind = F.col("event_type")
-    rows = events.select(
+    rows = events.withColumn("_v", F.try_parse_json("payload")).select(
         "market_id", "received_ts", "ingest_seq", "event_type", "sequence",
         F.when(kind == "orderbook_snapshot", level_list(v, "$.yes_dollars_fp", "$.yes")).alias("yes"),
         F.when(kind == "orderbook_snapshot", level_list(v, "$.no_dollars_fp", "$.no")).alias("no"),
