@@ -168,13 +168,16 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = byte_table(path)
+        table, none = pa.array([*known, b""], pa.binary()), len(known)
         for batch in batches:
             lists = batch.column("ids")
-            ends, values = lists.offsets.to_pylist(), lists.values.to_pylist()
-            low, high = min(values, default=0), max(values, default=0)
-            raw = [known[i] for i in values] if 0 <= low and high < len(known) else [known[i] if 0 <= i < len(known) else b"" for i in values]
-            joined = [b"".join(raw[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(joined, pa.binary())], ["doc_id", "ids", "decoded"])
+            values = lists.values.to_numpy(zero_copy_only=False)
+            # The bytes of all ids one after the other; a document's are those between its first and last id.
+            raw = table.take(pa.array(np.where((values >= 0) & (values < none), values, none).astype(np.int64)))
+            ends = np.frombuffer(raw.buffers()[1], np.int32)[: len(raw) + 1] if len(raw) else np.zeros(1, np.int32)
+            cuts = np.ascontiguousarray(ends[lists.offsets.to_numpy()], np.int32)
+            joined = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cuts), raw.buffers()[2] or pa.py_buffer(b"")])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, joined], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
