@@ -1,10 +1,11 @@
 """Document fingerprints of closed syncmers, in DataFrame functions only.
 
 A k-mer of K words is chosen if the smallest hash among its S-word substrings stands first or last in it. Whether a k-mer
-is chosen depends on its own words alone, so equal passages give equal anchors wherever they stand. A text with fewer
-words than K is one anchor as a whole; one without words has none. The fingerprint lists the anchors' hashes in order of
-place, in hexadecimal, so that two fingerprints can also be aligned; likeness is the Jaccard similarity of their sets (1
-for two without anchors).
+is chosen depends on its own words alone, so equal passages give equal anchors wherever they stand. One of any K - S + 1
+k-mers in a row is chosen, about one in two of all. A text of K words or more in which none is chosen (it has fewer than
+2K - S) has its k-mer of smallest hash; a text with fewer words than K is one anchor as a whole; one without words has
+none. The fingerprint lists the anchors' hashes in order of place, in hexadecimal, so that two fingerprints can also be
+aligned; likeness is the Jaccard similarity of their sets (1 for two without words).
 
 Nulls count as empty texts. Texts are split at spaces and \\x09-\\x0D and compared as they are. The document next to each is
 the one with the next smaller doc_id (after the smallest, the largest); of rows with equal doc_id, the larger text comes
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-K, S = 16, 2
+K, S = 5, 2
 
 
 def bound(value: Column, body) -> Column:
@@ -50,8 +51,13 @@ def anchors(text: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(h) - K)
         return bound(inner, lambda s: bound(ends(s), lambda e: bound(window_least(s, K - S + 1), lambda m: F.filter(places, lambda i: F.get(e, i) == F.get(m, i)))))
 
+    def mers(h: Column) -> Column:
+        some = F.transform(chosen(h), lambda i: F.xxhash64(F.slice(h, i + 1, K)))
+        every = F.transform(F.sequence(F.lit(1), F.size(h) - K + 1), lambda i: F.xxhash64(F.slice(h, i, K)))
+        return bound(some, lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(F.array_min(every))))
+
     def hashes(h: Column) -> Column:
-        return F.when(F.size(h) >= K, F.transform(chosen(h), lambda i: F.xxhash64(F.slice(h, i + 1, K)))).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(h) >= K, mers(h)).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
 
     return bound(F.transform(words, lambda w: F.xxhash64(w)), hashes)
 
@@ -87,7 +93,8 @@ def with_next(docs: DataFrame) -> DataFrame:
         return rows.select("doc_id", "text", fields["found"].alias("found"), F.col("text").alias("next_text"), fields["found"].alias("next_found"))
     heads = rows.where(key.isin(list(before))).groupBy("doc_id").agg(F.max("text").alias("text"))
     heads = heads.select("doc_id", "text", F.element_at(marks.cast("map<bigint,int>"), key).alias("bucket"), F.lit(1).alias("tail"))
-    dealt = rows.withColumn("tail", F.lit(0)).unionByName(heads).withColumn("fields", fields).drop("text")
+    # Anchors are found after the shuffle, which so carries the texts alone.
+    dealt = rows.withColumn("tail", F.lit(0)).unionByName(heads).repartition("bucket").withColumn("fields", fields).drop("text")
     order = Window.partitionBy("bucket").orderBy("tail", F.desc_nulls_last("doc_id"), F.desc("fields.text"))
     led = dealt.withColumn("next", F.lead("fields").over(order)).where("tail = 0")
     return led.select("doc_id", "fields.text", "fields.found", F.col("next.text").alias("next_text"), F.col("next.found").alias("next_found"))

@@ -333,6 +333,16 @@ def test_syncmers(spark, docs, rows, none):
     assert "Python" not in syncmers.fingerprints(docs)._jdf.queryExecution().toString()
 
 
+def test_syncmers_of_short_and_edited_texts(spark):
+    r = random.Random(6)
+    word = lambda: f"w{r.randrange(10**9)}"
+    texts = [" ".join(word() for _ in range(n)) for n in range(1, 41) for _ in range(5)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in syncmers.fingerprints(d).collect()}
+    assert all(len(x.fingerprint) >= 16 and x.near_next == 0 for x in got.values())  # none is empty, strangers share nothing
+    assert all(x.near_edited > 0 for k, x in got.items() if len(texts[k].split()) >= 20)  # the kept half is found
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     from tests.conftest import SF
