@@ -8,10 +8,9 @@ enough to link; the first of a chain is its hub. All pairs of a column's chain h
 test are those within the members of each hub. Members are taken in blocks: the product of two blocks' incidence rows
 adds up overlap counts, column block by column block, and counts below the bound that the two sizes give are dropped.
 
-Hubs with up to BLOCK members are one block. Of larger hubs, each block is first multiplied with itself and the hub; once
-these links are joined into groups, only members outside a hub's largest group are multiplied with the other members, and
-only where their distances from the hub differ by no more than a link allows (the distance is a metric). No link between
-different sets is lost that would join two groups; no pair of copies is listed.
+Each block of a hub is multiplied with itself and with every other block of it, so that all links between different sets are
+found, inside large groups too; a pair that meets at several hubs is given by the smallest. Equal sets are one class and
+no pair of copies is listed: a document's number of links adds up the sizes of the classes that its own class links with.
 
 Nulls and texts without words have empty sets and link with nothing. Rows may repeat; of rows with the same doc_id each is
 returned. Empty tables give empty results. Other columns are ignored.
@@ -214,23 +213,28 @@ def candidates(docs: DataFrame, levels: np.ndarray, n: int, share: int, of: int)
     return written(pairs.union(pairs.select("hub", F.col("hub").alias("doc")).distinct()), "hubs")
 
 
-def _links_of(ids: np.ndarray, sets: list[np.ndarray], other: slice, rest: slice, share: int, of: int, hub: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Links (as places) between the sets at `other` and those at `rest`, from the product; with the place of the hub,
-    only pairs whose distances from it allow a link are kept."""
-    left, right = sets[other], sets[rest]
+def _links_of(ids: np.ndarray, sets: list[np.ndarray], hubs: list[np.ndarray], other: slice, rest: slice, share: int, of: int) -> tuple[np.ndarray, ...]:
+    """Links (as places) between the sets at `other` and those at `rest`, and their overlaps, from the product; only those
+    of pairs that share none of the `hubs` given with them."""
     size = np.fromiter(map(len, sets), np.int64, len(sets))
-    over = overlaps(left, left if other == rest else right)
+    over = overlaps(sets[other], sets[other] if other == rest else sets[rest])
     a, b = np.nonzero(over >= needed(size[other][:, None], size[rest][None, :], share, of))
+    if len(a):
+        new = overlaps(hubs[other], hubs[other] if other == rest else hubs[rest])[a, b] == 0
+        a, b = a[new], b[new]
+    c = over[a, b]
     a, b = a + (other.start or 0), b + (rest.start or 0)
     keep = ids[a] < ids[b] if other == rest else ids[a] != ids[b]
-    return a[keep], b[keep]
+    return a[keep], b[keep], c[keep]
 
 
 def links(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100, levels: np.ndarray | None = None) -> DataFrame:
-    """Links a, b between documents (of different sets) that hold every group of linked documents together."""
+    """a, b, overlap, similarity, spans of all links between documents of different sets, each pair once with a < b. The
+    links with `spans` alone hold every group of linked documents together."""
     members = candidates(docs, levels, n, share, of)
-    sizes = members.groupBy("hub").count()
-    blocks = written(members.join(sizes, "hub").withColumn("blocks", F.ceil(F.col("count") / BLOCK)).drop("count"), "blocks")
+    sizes = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    others = members.groupBy("doc").agg(F.collect_set("hub").alias("hubs"))
+    blocks = written(members.join(small(written(sizes, "sizes")), "hub").join(others, "doc"), "blocks")
 
     def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,53 +246,47 @@ def links(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100, levels: n
         ids = small(written(wanted.select(F.col("doc").alias("doc_id")).distinct(), "ids"))
         return wanted.join(_texts(docs.join(ids, "doc_id", "left_semi")).mapInArrow(set_rows, "doc long, items binary"), "doc")
 
-    def one_block(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, sets = rows["doc"].to_numpy(), [np.frombuffer(x, np.uint64) for x in rows["items"]]
-        a, b = _links_of(ids, sets, slice(None), slice(None), share, of)
-        keep = tree(len(ids), a, b)
-        return pd.DataFrame({"a": ids[a[keep]], "b": ids[b[keep]]})
-
-    def two_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    def product(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["side", "doc"])
         ids, sets, cut = rows["doc"].to_numpy(), [np.frombuffer(x, np.uint64) for x in rows["items"]], int((rows["side"] == 0).sum())
-        a, b = _links_of(ids, sets, slice(0, cut), slice(cut, None), share, of)
-        number = {d: k for k, d in enumerate(dict.fromkeys(ids.tolist()))}
-        keep = tree(len(number), np.array([number[d] for d in ids[a].tolist()], np.int64), np.array([number[d] for d in ids[b].tolist()], np.int64))
-        return pd.DataFrame({"a": ids[a[keep]], "b": ids[b[keep]]})
-
-    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    # The hub's own row goes to each of its blocks.
-    each = F.when(F.col("doc") == F.col("hub"), F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).otherwise(F.array(block))
-    first = blocks.withColumn("block", F.explode(each))
-    found = written(with_sets(first).groupBy("hub", "block").applyInPandas(one_block, "a long, b long"), "links")
-    if not blocks.where("blocks > 1").limit(1).count():
-        return found
-    # Larger hubs: members outside the hub's largest group against all other members, in pairs of blocks.
-    large = blocks.where("blocks > 1")
-    group = components(found)
-    named = written(large.join(group, "doc", "left").select("hub", "doc", "blocks", F.coalesce("component", "doc").alias("g")), "named")
-    counted = named.groupBy("hub", "g").count()
-    main = counted.groupBy("hub").agg(F.max(F.struct("count", "g")).alias("m")).select("hub", F.col("m.g").alias("main"), F.col("m.count").alias("n_main"))
-    placed = written(named.join(main, "hub").withColumn("out", F.col("g") != F.col("main")), "placed")
-    rest = placed.where("out").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("rests"))
-    placed = placed.join(rest, "hub")
-    left = placed.where("out").select("hub", "doc", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("rests")).alias("i"), F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("j"), F.lit(0).alias("side"))
-    right = placed.select("hub", "doc", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rests") - 1)).alias("i"), block.alias("j"), F.lit(1).alias("side"))
-    more = with_sets(left.union(right)).groupBy("hub", "i", "j").applyInPandas(two_blocks, "a long, b long")
-    return found.union(written(more, "links"))
+        # A pair belongs to the smallest hub that both stand in.
+        hub = rows["hub"].iloc[0]
+        before = [np.array([h for h in x if h < hub], np.int64) for x in rows["hubs"]]
+        own = rows["i"].iloc[0] == rows["j"].iloc[0]
+        a, b, c = _links_of(ids, sets, before, *([slice(None)] * 2 if own else [slice(0, cut), slice(cut, None)]), share, of)
+        size = np.fromiter(map(len, sets), np.int64, len(sets))
+        spans = np.zeros(len(a), bool)
+        number = np.unique(ids, return_inverse=True)[1]
+        spans[tree(len(ids), number[a], number[b])] = True
+        out = pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "overlap": c, "similarity": c / (size[a] + size[b] - c), "spans": spans})
+        # Rows of one doc_id may have several texts.
+        return out.sort_values(["spans", "overlap"], ascending=False).drop_duplicates(["a", "b"]) if len(set(ids.tolist())) < len(ids) else out
+
+    # Each block with itself and with each later one: a member goes once to each block of its hub.
+    k = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    pairs = blocks.withColumn("k", k).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = pairs.select("hub", "doc", "hubs", F.least("k", "other").alias("i"), F.greatest("k", "other").alias("j"), (F.col("k") > F.col("other")).cast("int").alias("side"))
+    return written(with_sets(dealt).groupBy("hub", "i", "j").applyInPandas(product, "a long, b long, overlap long, similarity double, spans boolean"), "links")
 
 
 def join(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself included)."""
+    """Per row: doc_id, n_shingles, n_links (other doc_ids that it links with, copies included), component_id (the smallest
+    doc_id reachable by links, itself included)."""
     sets = signatures(docs, n)
     rows = sets.where("sig is not null").select("doc_id", "n_shingles", "sig")
     # Rows without words have the empty set, but do not equal each other.
-    classes = written(rows.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class")), "classes")
+    classes = written(rows.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class"), F.count_distinct("doc_id").alias("members")), "classes")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small(classes.select(F.col("class").alias("doc_id"))), "doc_id", "left_semi")
-    groups = components(links(own, n, share, of, frequencies(sets)))
-    named = classes.join(groups, classes["class"] == groups["doc"], "left").select("sig", F.coalesce("component", "class").alias("component_id"))
-    return rows.join(named, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = links(own, n, share, of, frequencies(sets))
+    groups = components(found.where("spans"))
+    ends = found.select("a", "b").union(found.select("b", "a"))
+    times = ends.join(small(classes.groupBy("class").agg(F.max("members").alias("members"))), ends["b"] == F.col("class")).groupBy("a").agg(F.sum("members").alias("near"))
+    named = classes.join(groups, classes["class"] == groups["doc"], "left").join(times, classes["class"] == times["a"], "left")
+    named = named.select("sig", F.coalesce("component", "class").alias("component_id"), (F.col("members") + F.coalesce("near", F.lit(0))).alias("reached"))
+    n_links = F.coalesce(F.col("reached") - F.col("doc_id").isNotNull().cast("long"), F.lit(0))
+    return rows.join(named, "sig", "left").select("doc_id", "n_shingles", n_links.alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents"), 3, 90, 100)
+    """The columns of the query's SQL, which has no n_links."""
+    return join(table(spark, sf_dir, "documents"), 3, 90, 100).select("doc_id", "n_shingles", "component_id")

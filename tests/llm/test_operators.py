@@ -115,6 +115,31 @@ def test_join_of_a_large_group_with_borderline_pairs(spark, monkeypatch, block):
     assert got == groups(texts, 3, 90, 100)
 
 
+@pytest.mark.parametrize("block", [8, 512])
+def test_join_gives_every_link(spark, monkeypatch, block):
+    r = random.Random(9)
+    base = [f"w{k}" for k in range(120)]
+    texts = {}
+    for k in range(60):
+        words = list(base)
+        for _ in range(r.randint(0, 5)):
+            words[r.randrange(120)] = f"v{r.randrange(10**6)}"
+        texts[k] = " ".join(words)
+    texts |= {k: texts[k - 60] for k in range(60, 75)} | {75: "", 76: None, 77: "a b c d", 78: "a b c d"}
+    sets = {k: set(shingle_hashes(word_hashes(t), 3).tolist()) for k, t in texts.items()}
+    both = {(a, b): len(sets[a] & sets[b]) for a in texts for b in texts if a < b}
+    linked = {p: c for p, c in both.items() if c and 100 * c >= 90 * len(sets[p[0]] | sets[p[1]])}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    got = {x.doc_id: x.n_links for x in ngram_join.join(d, 3, 90, 100).collect()}
+    assert got == {k: sum(k in p for p in linked) for k in texts}
+    classes = {min(k for k in texts if sets[k] == s) for s in sets.values() if s}
+    levels = ngram_join.frequencies(ngram_join.signatures(d, 3))
+    found = [tuple(x) for x in ngram_join.links(d.where(F.col("doc_id").isin(list(classes))), 3, 90, 100, levels).select("a", "b", "overlap", "similarity").collect()]
+    want = {(*p, c, c / len(sets[p[0]] | sets[p[1]])) for p, c in linked.items() if set(p) <= classes}
+    assert len(found) == len(set(found)) == len(want) > 40 and set(found) == want
+
+
 def test_decontamination(spark, docs, rows, none):
     r = random.Random(8)
     long = " ".join(prose(r, 150).split())
