@@ -1,13 +1,14 @@
 """Information-theoretic sanitisation of personal data.
 
 Patterns find the protected entities: e-mail and IP addresses, card and phone numbers. Co-occurrence over the whole corpus
-then estimates how strongly other terms reveal them. A term t (a run of letters and digits) within WINDOW terms of a
-mention of an entity e co-occurs with it; over documents (equal texts are one), its disclosure of e is
+then estimates how strongly other terms reveal them. A term t (a run of letters and digits outside entities) co-occurs with
+an entity e in each document that has both, wherever they stand; over documents (equal texts are one), its disclosure of e is
 
     PMI(t; e) / IC(e) = 1 + log(n(t, e) / n(t)) / log(N / n(e)),
 
 the share of e's information content that t gives away (1: t occurs only with e). Pairs seen in fewer than SUPPORT different
-contexts are no evidence; contexts are compared by their terms, so that copies of a document are one context. Terms whose
+contexts are no evidence; a context is a document's terms without its entities, so that copies of a document are one
+context, and an entity of fewer contexts flags no term. Terms whose
 disclosure reaches GENERALISE are replaced by their kind ([NUMBER], [NAME] or [WORD]) wherever they occur, and from REMOVE
 on they are taken out. Entities are always replaced by their kind.
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, batch_words, in_partitions, mix, small, table, written
 
-WINDOW, SUPPORT = 8, 3
+SUPPORT = 3
 GENERALISE, REMOVE = 0.7, 0.9
 KINDS = ("email", "ip", "card", "phone")
 
@@ -99,36 +100,54 @@ def _char_places(text: str, places: np.ndarray) -> np.ndarray:
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """row (of the document), entity, term, context: the terms around each mention, with term and context 0 once for each
-    entity and document."""
+    """row (of the text), context, entities and terms (each once) of the documents with an entity. Equal contexts have equal terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
             words, at, starts, ends = batch_words(column, letters=True, places=True)
             base = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-            out = [np.zeros((4, 0), np.uint64)]
+            rows = []
             for k, text in enumerate(column.to_pylist()):
                 spans = base_spans(text)
                 if not spans:
                     continue
-                row = np.uint64(xxhash.xxh3_64_intdigest(text.encode()))
                 own = words[at[k] : at[k + 1]]
                 first = _char_places(text, starts[at[k] : at[k + 1]] - (base[k] - base[0]))
                 last = _char_places(text, ends[at[k] : at[k + 1]] - (base[k] - base[0]))
                 taken = np.zeros(len(own), bool)
-                ranges = [(np.searchsorted(last, a, "right"), np.searchsorted(first, b, "left")) for a, b, _ in spans]
-                for a, b in ranges:
-                    taken[a:b] = True
-                for (a, b), span in zip(ranges, spans, strict=True):
-                    entity = np.uint64(_value(text, span))
-                    near = np.r_[own[max(0, a - WINDOW) : a][~taken[max(0, a - WINDOW) : a]], own[b : b + WINDOW][~taken[b : b + WINDOW]]]
-                    context = mix(near + np.uint64(1)).sum(dtype=np.uint64) | np.uint64(1)
-                    terms = np.unique(near)
-                    out.append(np.stack([np.full(len(terms) + 1, row), np.full(len(terms) + 1, entity), np.r_[np.uint64(0), terms], np.r_[np.uint64(0), np.full(len(terms), context)]]))
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in np.ascontiguousarray(np.unique(np.concatenate(out, axis=1), axis=1))], ["row", "entity", "term", "context"])
+                for a, b, _ in spans:
+                    taken[np.searchsorted(last, a, "right") : np.searchsorted(first, b, "left")] = True
+                free = own[~taken]
+                entities = np.unique(np.array([_value(text, s) for s in spans], np.uint64))
+                ids = np.array([xxhash.xxh3_64_intdigest(text.encode()), mix(free + np.uint64(1)).sum(dtype=np.uint64)], np.uint64).view(np.int64)
+                rows.append((int(ids[0]), int(ids[1]), entities.view(np.int64), np.unique(free).view(np.int64)))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds], ["row", "context", "entities", "terms"])
+
+    return _texts(docs).mapInArrow(run, "row long, context long, entities array<long>, terms array<long>")
+
+
+def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """term, n_term: in how many different texts each of the terms stands. A text of c rows counts c times in rows of c, so
+    that counts add up in each task before the shuffle."""
+    keep = _kept(terms.select("term"))
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    copies = written(docs.groupBy(digest.alias("digest")).count().where("count > 1"), "copies")
+    rows = docs.select("text", digest.alias("digest")).join(small(copies), "digest", "left").select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("count", F.lit(1)).alias("c"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, at = batch_words(batch.column("text"), letters=True)
+            own = [np.unique(words[a:b]).view(np.int64) for a, b in zip(at, at[1:], strict=False)]
+            pairs = np.stack([np.concatenate([np.zeros(0, np.int64), *own]), np.repeat(batch.column("c").to_numpy(), [len(x) for x in own])])
+            if keep is not None:
+                pairs = pairs[:, np.isin(pairs[0], keep.value[0])]
+            pairs, times = np.unique(pairs, axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs[0], pairs[1], times.astype(np.int64))], ["term", "c", "times"])
 
-    return _texts(docs).mapInArrow(run, "row long, entity long, term long, context long")
+    found = in_partitions(rows).mapInArrow(run, "term long, c long, times long").groupBy("term", "c").agg(F.sum("times").alias("times"))
+    return found.groupBy("term").agg(F.sum(F.expr("times div c")).alias("n_term"))
 
 
 def _kept(terms: DataFrame):
@@ -169,14 +188,19 @@ def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame) -> DataFrame:
     """term (hash), disclosure (the largest over entities), action (1 generalise, 2 remove) of the terms over the threshold."""
     seen = written(mentions(docs), "mentions")
-    pairs = seen.where("context <> 0")
-    strong = written(pairs.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("row").alias("n_both")).where(F.col("contexts") >= SUPPORT), "pairs")
-    of_entity = seen.where("context = 0").join(small(strong.select("entity").distinct()), "entity", "left_semi").groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
+    of_context = seen.select("row", "context", F.explode("entities").alias("entity")).groupBy("context", "entity").agg(F.count_distinct("row").alias("n"))
+    of_context = written(of_context, "contexts")
+    of_entity = written(of_context.groupBy("entity").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_entity")).where(F.col("contexts") >= SUPPORT), "entities")
+    # An entity of fewer contexts has no pair of enough.
+    kept = written(of_context.join(small(of_entity.select("entity")), "entity", "left_semi"), "kept")
+    words = seen.join(small(kept.select("context").distinct()), "context", "left_semi").groupBy("context").agg(F.first("terms").alias("terms"))
+    pairs = kept.join(words, "context").select("entity", "n", F.explode("terms").alias("term"))
+    strong = written(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_both")).where(F.col("contexts") >= SUPPORT), "pairs")
     terms = written(strong.select("term").distinct(), "terms")
-    of_term = occurrences(docs, terms).join(small(terms), "term", "left_semi").groupBy("term").agg(F.countDistinct("digest").alias("n_term"))
+    of_term = term_counts(docs, terms).join(small(terms), "term", "left_semi")
     total = float(docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest")).distinct().count())
     share = 1 + F.log(F.col("n_both") / F.col("n_term")) / F.log(F.lit(total) / F.col("n_entity"))
-    scored = strong.join(of_entity, "entity").join(of_term, "term").where(F.col("n_entity") < total).select("term", share.alias("disclosure"))
+    scored = strong.join(of_entity.select("entity", "n_entity"), "entity").join(of_term, "term").where(F.col("n_entity") < total).select("term", share.alias("disclosure"))
     best = scored.groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
     return written(best.withColumn("action", F.when(F.col("disclosure") >= REMOVE, 2).otherwise(1)), "disclosing")
 

@@ -212,6 +212,18 @@ def test_disclosing_terms(spark, monkeypatch):
     assert "Zorro" not in "".join(x.text for x in pii.sanitise(d).collect())
 
 
+def test_disclosing_terms_far_from_the_entity(spark):
+    r = random.Random(2)
+    filler = lambda n: " ".join(r.choice(["red", "green", "blue", "one", "two"]) + str(r.randint(0, 9)) for _ in range(n))
+    texts = [f"Zorro {filler(60)} zed@example.com" for _ in range(4)] + [filler(60) for _ in range(60)]
+    texts += [texts[0], texts[-1]]  # equal texts are one
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    flagged = {x.term: x for x in pii.disclosing_terms(d).collect()}
+    zorro = int(word_hashes("zorro").view(np.int64)[0])
+    assert flagged[zorro].disclosure == pytest.approx(1) and flagged[zorro].action == 2
+    assert [x.text.startswith("Zorro") for x in pii.sanitise(d).orderBy("doc_id").collect()[:4]] == [False] * 4
+
+
 def test_elias_fano():
     r = np.random.default_rng(0)
     for n in (0, 1, 31, 32, 33, 2000):
