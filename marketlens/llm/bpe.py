@@ -1,40 +1,33 @@
 """Byte-level BPE encoding and decoding with the tokenizers library, over Arrow batches.
 
-A byte-level pre-token never crosses from a non-space into white space, so a text may be cut there and each
-piece be encoded alone. Pieces repeat; their ids are kept in a bounded cache for each Python worker. Texts with
-white space other than space, tab, CR and LF are encoded whole, since classes of white space differ there.
+Each match of the pattern is mapped from its bytes to the characters of the byte alphabet and merged by rank, by the library,
+a few hundred texts at a time. As the ids of a text stand for all its bytes in order, their places follow from the lengths of
+the ids' bytes, for a whole batch at once; an id may begin or end within a character. Decoding looks the bytes of all ids up in
+the reversed byte table and joins them before they are read as characters, so that characters which ids split are whole again.
 
-Nulls count as empty texts; an empty text has no ids. Rows are independent: ties, repeated rows and further
-columns have no influence.
+Nulls count as empty texts; an empty text has no ids. Rows are independent: each gives a row, also repeated ones and those
+without doc_id. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
-import re
+import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from .common import CACHE_ENTRIES, in_partitions, table, text_of
+from .common import resident, slices, table, text_of
 
-CUT = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
-ODD_SPACE = re.compile("[" + "".join(map(chr, [11, 12, *range(28, 32), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF])) + "]")
-#: Texts of these characters only have the same letters and spaces in every version of Unicode.
-COMMON = re.compile("[\\t\\n\\r -~" + chr(0xC0) + "-" + chr(0xD6) + chr(0xD8) + "-" + chr(0xF6) + chr(0xF8) + "-" + chr(0x24F) + "]*")
-
-
-def pieces(text: str) -> list[str]:
-    """Parts of a text that can be encoded independently."""
-    if not text:
-        return []
-    return [text] if ODD_SPACE.search(text) else CUT.findall(text)
+#: Texts that the library is given together.
+TEXTS = 100
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -72,126 +65,117 @@ def tokenizer_from_ranks(path: str, pattern: str) -> Tokenizer:
     return out
 
 
-class Tokens(dict):
-    """Pre-token -> its ids."""
-
-    def __init__(self, model: models.Model):
-        self.model, self.letters = model, {b: c for b, c in byte_alphabet().items()}
-
-    def __missing__(self, token: str) -> list[int]:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        name = token.replace(" ", "\u0120") if token.isascii() and token.isprintable() else "".join(map(self.letters.__getitem__, token.encode()))
-        value = self[token] = [t.id for t in self.model.tokenize(name)]
-        return value
-
-
-class Pieces(dict):
-    """Piece -> its ids as bytes of little-endian int32."""
+class Coder:
+    """The tokenizer of a rank file and its table of bytes."""
 
     def __init__(self, path: str, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         self.tokenizer = tokenizer_from_ranks(path, pattern)
-        self.tokens, self.pre_tokens = Tokens(self.tokenizer.model), regex.compile(pattern).findall
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        if COMMON.fullmatch(piece):
-            ids = [i for t in self.pre_tokens(piece) for i in self.tokens[t]]
-        else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        value = np.array(ids, "<i4").tobytes()
-        if len(piece) < 100:
-            self[piece] = value
-        return value
-
-
-_caches: dict[tuple[str, str], Pieces] = {}
-_bytes: dict[str, list[bytes]] = {}
-
-
-def cache_of(path: str, pattern: str) -> Pieces:
-    if (path, pattern) not in _caches:
-        _caches[path, pattern] = Pieces(path, pattern)
-    return _caches[path, pattern]
-
-
-def byte_table(path: str) -> list[bytes]:
-    """Bytes of each id; an id that the vocabulary lacks has none."""
-    if path not in _bytes:
         ranks = read_ranks(path)
-        out = [b""] * (max(ranks.values()) + 1)
+        known = [b""] * (max(ranks.values()) + 2)  # the last stands for ids that the vocabulary lacks, which have no bytes
         for token, rank in ranks.items():
-            out[rank] = token
-        _bytes[path] = out
-    return _bytes[path]
-
-
-def offsets_of(text: str, ids: list[int], known: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each id in code points. An id that ends within a character counts that character too."""
-    ends = np.cumsum([len(known[i]) for i in ids], dtype=np.int64)
-    starts = np.r_[0, ends[:-1]] if len(ends) else ends
-    raw = np.frombuffer(text.encode(), np.uint8)
-    char_at = np.r_[np.cumsum((raw & 0xC0) != 0x80) - 1, len(text)] if len(raw) else np.zeros(1, np.int64)
-    return char_at[starts].astype(np.int32), (char_at[ends - 1] + 1).astype(np.int32)
-
-
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32)))
+            known[rank] = token
+        self.bytes, self.lengths = pa.array(known, pa.binary()), np.fromiter(map(len, known), np.int64)
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        ends, parts = [np.zeros(1, np.int64)], []
+        for a in range(0, len(texts), TEXTS):
+            found = self.tokenizer.encode_batch_fast(texts.slice(a, TEXTS).to_pylist(), add_special_tokens=False)
+            ids = [e.ids for e in found]
+            ends.append(np.cumsum([len(x) for x in ids]) + ends[-1][-1])
+            parts.append(np.fromiter((i for x in ids for i in x), np.int32))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
+
+    def places(self, texts: pa.Array, ids: pa.ListArray) -> tuple[pa.ListArray, pa.ListArray, np.ndarray]:
+        """Start and end of each id in code points of its text, where a character counts for each id that has a part of it; and
+        how many of a text's ids end within a character."""
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+        lead = np.r_[(raw & 0xC0) != 0x80, True]
+        number = np.cumsum(lead) - 1  # of the character that each byte belongs to
+        cuts = ids.offsets.to_numpy()
+        ends = np.cumsum(self.lengths[ids.values.to_numpy()])
+        first = np.repeat(number[at[:-1] - at[0]], np.diff(cuts))  # of the id's text
+        starts = np.r_[np.zeros(min(1, len(ends)), np.int64), ends[:-1]]
+        split = np.r_[0, np.cumsum(~lead[ends])][cuts]
+        lists = lambda x: pa.ListArray.from_arrays(ids.offsets, pa.array((x - first).astype(np.int32)))
+        return lists(number[starts]), lists(number[ends - 1] + 1), np.diff(split)
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of each row: those of all ids one after the other, cut where rows end."""
+        values, none = ids.flatten().to_numpy(zero_copy_only=False), len(self.bytes) - 1
+        raw = self.bytes.take(pa.array(np.where((values >= 0) & (values < none), values, none).astype(np.int64)))
+        ends = np.frombuffer(raw.buffers()[1], np.int32)[: len(raw) + 1] if len(raw) else np.zeros(1, np.int32)
+        offsets = ids.offsets.to_numpy()
+        cuts = np.ascontiguousarray(ends[offsets - offsets[0]], np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(cuts), raw.buffers()[2] or pa.py_buffer(b"")])
+
+
+def as_text(raw: pa.Array) -> pa.Array:
+    """Bytes as characters; those that make none become U+FFFD."""
+    try:
+        return raw.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([x.as_py().decode(errors="replace") for x in raw], pa.string())
+
+
+def coder_of(path: str, pattern: str = public_tokenizers.PATTERN) -> Coder:
+    return resident(("bpe", path, pattern), lambda: Coder(path, pattern))
+
+
+def _path(vocabulary: str | None) -> str:
+    return vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, offsets: bool = False) -> DataFrame:
     """doc_id, ids array<int>; with offsets also starts and ends array<int> in code points of the text."""
-    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    path = _path(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = cache_of(path, pattern)
-        known = byte_table(path)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            ids = [np.frombuffer(b"".join(map(cache.__getitem__, pieces(x))), "<i4") for x in texts]
-            columns = [batch.column("doc_id"), _lists(ids)]
-            if offsets:
-                spans = [offsets_of(x, i.tolist(), known) for x, i in zip(texts, ids, strict=True)]
-                columns += [_lists([s[0] for s in spans]), _lists([s[1] for s in spans])]
+        coder = coder_of(path, pattern)
+        for batch in slices(batches):
+            ids = coder.encode(batch.column("text"))
+            columns = [batch.column("doc_id"), ids, *(coder.places(batch.column("text"), ids)[:2] if offsets else [])]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "starts", "ends"][: len(columns)])
 
-    schema = "doc_id long, ids array<int>" + ", starts array<int>, ends array<int>" * offsets
-    return in_partitions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))).mapInArrow(run, schema)
+    return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>" + ", starts array<int>, ends array<int>" * offsets)
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """The encoded rows with the decoded bytes, and as text: a character that the ids split is whole again once the
-    bytes of all ids stand together; bytes that make no character become U+FFFD. Ids outside the vocabulary have no bytes."""
-    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    """doc_id and ids with `decoded` (bytes) and `text`. Null ids count as none."""
+    path = _path(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = byte_table(path)
-        table, none = pa.array([*known, b""], pa.binary()), len(known)
-        for batch in batches:
-            lists = batch.column("ids")
-            values = lists.values.to_numpy(zero_copy_only=False)
-            # The bytes of all ids one after the other; a document's are those between its first and last id.
-            raw = table.take(pa.array(np.where((values >= 0) & (values < none), values, none).astype(np.int64)))
-            ends = np.frombuffer(raw.buffers()[1], np.int32)[: len(raw) + 1] if len(raw) else np.zeros(1, np.int32)
-            cuts = np.ascontiguousarray(ends[lists.offsets.to_numpy()], np.int32)
-            joined = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cuts), raw.buffers()[2] or pa.py_buffer(b"")])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, joined], ["doc_id", "ids", "decoded"])
+        coder = coder_of(path)
+        for batch in slices(batches):
+            raw = coder.decode(batch.column("ids"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), raw, as_text(raw)], ["doc_id", "ids", "decoded", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    some = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
+    return encoded.select("doc_id", some).mapInArrow(run, "doc_id long, ids array<int>, decoded binary, text string")
 
 
 def digests(docs: DataFrame, vocabulary: str | None = None, keep_ids: bool = False) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, from the encoded and then decoded ids; and ids if kept."""
-    back = decode(encode(docs, vocabulary), vocabulary)
-    return back.select(
-        "doc_id",
-        *(["ids"] if keep_ids else []),
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 (of the bytes decoded from the ids), n_split (ids that end
+    within a character); and ids if kept. Encoding and decoding a batch in one task needs one worker for each core."""
+    path = _path(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = coder_of(path)
+        sha = lambda column: pa.array([hashlib.sha256(x.as_buffer() or b"").hexdigest() for x in column])
+        for batch in slices(batches):
+            ids = coder.encode(batch.column("text"))
+            *_, split = coder.places(batch.column("text"), ids)
+            said = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, pc.cast(ids.values, pa.string())), " ")
+            columns = {"doc_id": batch.column("doc_id"), "n_tokens": pc.list_value_length(ids).cast(pa.int64()), "ids_sha256": sha(said), "decoded_sha256": sha(coder.decode(ids)), "n_split": pa.array(split, pa.int64())}
+            columns |= {"ids": ids} if keep_ids else {}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return _texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split long" + ", ids array<int>" * keep_ids)
 
 
 def op5_byte_bpe(spark, sf_dir: str) -> DataFrame:

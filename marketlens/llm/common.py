@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast up to this many (small, fixed-width) rows, and shuffled beyond.
-BROADCAST_ROWS = 500_000
+#: A side of a join is broadcast up to this many bytes, and shuffled beyond; and so are sorted arrays of so many hashes.
+BROADCAST_BYTES, BROADCAST_ROWS = 8 << 20, 500_000
 
-#: Bound of a worker's caches of words, in entries.
-CACHE_ENTRIES = 400_000
+#: Bound of one of a worker's caches, in bytes.
+CACHE_BYTES = 40 << 20
+
+#: Rows and bytes of texts that a task works on together, unless a single text is larger.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 #: Bytes that are hashed together.
 SLICE_BYTES = 1 << 18
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a new temporary one where none is set, as in tests."""
+    """The folder that driver and executors share. Where none is set, as in tests, a new temporary one, in local mode only:
+    executors elsewhere would not see it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -33,20 +44,53 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Tables that `written` has made in this process, for `dropped`.
+_made: list[str] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of df from a table in the shared folder: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI; a path without a scheme is a file of the shared folder."""
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri) if ":" in uri else "file://" + uri)
+
+
+def dropped(since: int, *more: str) -> None:
+    """Deletes the tables that `written` has made since it had made so many, and others: for a caller whose output is complete."""
+    for table_path in [*_made[since:], *more]:
+        system, path = opened(table_path)
+        system.delete_dir(path)
+    del _made[since:]
+
+
+def n_made() -> int:
+    return len(_made)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table of narrow rows, hinted for broadcast only if it is counted and within the bound."""
+def small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """A written table of narrow rows, hinted for broadcast only if it is counted and its rows fit into the bound of bytes:
+    16 a row, 8 a number and 32 a digest."""
+    row = 16 + sum(32 if f.dataType.typeName() in ("string", "binary") else 8 for f in df.schema)
+    rows = (BROADCAST_BYTES if limit is None else limit) // row
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
@@ -68,14 +112,80 @@ def components(links: DataFrame) -> DataFrame:
     return links.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("doc"), F.col("b").alias("component"))
 
 
+def summed(vectors: DataFrame) -> DataFrame:
+    """slice, counts of the vectors (slice int, counts binary of float64), added up slice by slice. In two steps, so that a task
+    adds up those of a part of the tasks."""
+
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slice": parts["slice"][:1], "counts": [np.add.reduce([np.frombuffer(x, np.float64) for x in parts["counts"]]).tobytes()]})
+
+    parts = vectors.withColumn("part", (F.rand(1) * 64).cast("int")).groupBy("slice", "part").applyInPandas(lambda x: add(x), "slice int, counts binary")
+    return parts.groupBy("slice").applyInPandas(lambda x: add(x), "slice int, counts binary")
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def in_partitions(df: DataFrame, rows_per_batch: int = 1000) -> DataFrame:
-    """Smaller Arrow batches, so that a run of very long texts stays within a worker's memory."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
-    return df
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of BATCH_ROWS and BATCH_BYTES at most, or of one row, so that texts of any length stay within a
+    worker's memory whatever the session's batch size. Spark itself ends a batch at 64 MB."""
+    for batch in batches:
+        waiting = [batch]
+        while waiting:
+            part = waiting.pop()
+            n = part.num_rows
+            if n > 1 and (n > BATCH_ROWS or part.nbytes > BATCH_BYTES):
+                cut = min(n // 2, BATCH_ROWS) if part.nbytes <= BATCH_BYTES else n // 2
+                waiting += [part.slice(cut), part.slice(0, cut)]
+            else:
+                yield part
+
+
+class Bounded(dict):
+    """A dictionary of texts that fills itself by `make` and whose bytes stay within a bound: when half the bound is reached
+    its entries become the old ones, and those of the old ones that are asked for again come back."""
+
+    def __init__(self, limit: int = CACHE_BYTES):
+        super().__init__()
+        self.limit, self.held, self.old = limit, 0, {}
+
+    def make(self, key: str):
+        raise NotImplementedError
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) < 100:
+            self.held += sys.getsizeof(key) + sys.getsizeof(value) + 100  # and its place
+            if 2 * self.held > self.limit:
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self[key] = value
+        return value
+
+
+def of_letters(pattern: str, letters: str, digits: str = "0-9") -> re.Pattern:
+    """A pattern of \\p{L} and \\p{N} for texts whose letters and digits are those given."""
+
+    def known(m: re.Match) -> str:
+        plain = m[0].replace(r"\p{L}", letters).replace(r"\p{N}", digits)
+        return plain if m[0].startswith("[") else f"[{plain}]"
+
+    return re.compile(re.sub(r"\[[^\]]*\]|\\p\{[LN]\}", known, pattern))
+
+
+_resident: dict[tuple, object] = {}
+
+
+def resident(key: tuple, make: Callable[[], object]):
+    """An object that a worker keeps from task to task: one at a time, so that what one operator holds does not outlast it in
+    workers that serve another."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
 
 
 _tables: dict[str, np.ndarray] = {}

@@ -8,7 +8,8 @@ and the plane sizes of each block, and a document table the id and length of eac
 
 Documents are dealt out by ranges of doc_id, so file order is document order. A task writes its files under names of its
 own and reports them in a manifest row; a repeated task leaves only unlisted files. Rows of equal doc_id stay together,
-by text. Nulls count as empty texts, which hold just the end id. An empty table makes no files.
+by text; rows without doc_id come first and are marked so in the document table. Nulls count as empty texts, which hold
+just the end id. An empty table makes no files. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,27 +18,26 @@ import json
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import zstandard
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe import byte_alphabet
-from .common import CACHE_ENTRIES, in_partitions, new_path, table, text_of, written
+from .common import CACHE_BYTES, Bounded, new_path, of_letters, opened, resident, slices, table, text_of, written
 
 MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 26
 CHUNK = np.dtype([("offset", "<u8"), ("n_ids", "<u4"), ("sizes", "<u4", (32,))])
-DOC = np.dtype([("doc_id", "<i8"), ("n_tokens", "<u4")])
+DOC = np.dtype([("doc_id", "<i8"), ("named", "u1"), ("n_tokens", "<u4")])
 FOOTER = np.dtype([("chunks", "<u8"), ("docs", "<u8"), ("planes", "<u4"), ("block_ids", "<u4"), ("magic", "S8")])
 
 
@@ -65,8 +65,8 @@ class Writer:
         self.out.write(MAGIC)
         self.at = len(MAGIC)
 
-    def add(self, doc_id: int, ids: np.ndarray) -> None:
-        self.docs.append((doc_id, len(ids)))
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.docs.append((doc_id or 0, doc_id is not None, len(ids)))
         self.waiting.append(ids)
         self.n_waiting += len(ids)
         self.n_ids += len(ids)
@@ -114,69 +114,59 @@ class Reader:
         unzip = zstandard.ZstdDecompressor().decompress
         return ids_of([unzip(raw[b - a : b]) for a, b in zip(sizes, ends, strict=True)], int(c["n_ids"]))
 
-    def documents(self) -> Iterator[tuple[int, int, np.ndarray]]:
+    def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """doc_id, place of its first id in the file, its ids; a few blocks are held at a time."""
         held, at, k = np.zeros(0, "<u4"), 0, 0
-        for doc_id, n in self.docs.tolist():
+        for doc_id, named, n in self.docs.tolist():
             if len(held) < n:
                 more = [held]
                 while sum(map(len, more)) < n:
                     more.append(self.block(k))
                     k += 1
                 held = np.concatenate(more)
-            yield doc_id, at, held[:n]
+            yield doc_id if named else None, at, held[:n]
             held, at = held[n:], at + n
 
 
-def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI; a path without a scheme is a file of the shared folder."""
-    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri) if ":" in uri else "file://" + uri)
+#: A text of these characters is in normal form, and its letters are letters in every version of Unicode.
+LETTERS = "A-Za-z" + chr(0xC0) + "-" + chr(0xD6) + chr(0xD8) + "-" + chr(0xF6) + chr(0xF8) + "-" + chr(0xFF)
+LATIN = re.compile(f"[ -~\\n{LETTERS}]*")
 
 
-#: Such a text is in normal form, and its letters are letters in every version of Unicode.
-LATIN = re.compile("[ -~" + chr(0xC0) + "-" + chr(0xD6) + chr(0xD8) + "-" + chr(0xF6) + chr(0xF8) + "-" + chr(0xFF) + "]*")
-
-
-class Cores(dict):
+class Cores(Bounded):
     """Pre-token in lower case -> its ids as bytes of little-endian uint32."""
 
     def __init__(self, model):
+        super().__init__()
         self.model, self.letters = model, byte_alphabet()
 
-    def __missing__(self, token: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
+    def make(self, token: str) -> bytes:
         name = token if token.isascii() else "".join(map(self.letters.__getitem__, token.encode()))
-        value = self[token] = np.array([t.id for t in self.model.tokenize(name)], "<u4").tobytes()
-        return value
+        return array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
 
 
-class Words(dict):
-    """Piece without space or newline -> its ids as bytes of little-endian uint32. White space only divides, so pieces are
-    encoded alone; those in Latin letters by the library's model, a pre-token at a time, others by the whole library."""
+class Words(Bounded):
+    """Piece of Latin text without space or newline -> its ids as bytes of little-endian uint32. White space only divides, so
+    pieces are encoded alone, a pre-token at a time; texts with other characters or special strings go to the library whole."""
 
     def __init__(self, path: str):
+        super().__init__(2 * CACHE_BYTES)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.cores = Cores(self.tokenizer.model)
         split = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]
-        self.pre_tokens = regex.compile(split["pattern"]["Regex"]).findall
+        self.pre_tokens = of_letters(split["pattern"]["Regex"], LETTERS).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        if LATIN.fullmatch(piece) and not any(s in piece for s in self.special):
-            value = b"".join(map(self.cores.__getitem__, self.pre_tokens(piece.lower())))
-        else:
-            value = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(piece) < 100:
-            self[piece] = value
-        return value
+    def make(self, piece: str) -> bytes:
+        piece = piece.lower()
+        return self.cores[piece] if piece.isalpha() else b"".join(map(self.cores.__getitem__, self.pre_tokens(piece)))
 
-
-_words: dict[str, Words] = {}
+    def encode(self, text: str) -> bytes:
+        if LATIN.fullmatch(text) and not any(s in text for s in self.special):
+            return b"".join(map(self.__getitem__, filter(None, text.replace("\n", " ").split(" "))))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def write_ids(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = 2, n_files: int | None = None, bits: bool = False) -> DataFrame:
@@ -186,7 +176,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str | None = None, end_i
     path, spark = vocabulary or public_tokenizers.path("word_bpe_49k.json"), docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _words[path] = _words.get(path) or Words(path)
+        cache = resident(("id_planes", path), lambda: Words(path))
         part, k, writer, name, rows = TaskContext.get().partitionId(), 0, None, "", []
         system, top = opened(folder)
         end = np.array([end_id], "<u4").tobytes()
@@ -195,13 +185,12 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str | None = None, end_i
             writer.close()
             rows.append((part, k, name, len(writer.docs), writer.n_ids))
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if writer is None:
                     name = f"part-{part:06d}-{k:04d}-{uuid.uuid4().hex}.idp"
                     writer = Writer(system.open_output_stream(f"{top}/{name}"), bits=bits)
-                ids = b"".join(map(cache.__getitem__, filter(None, text.replace("\n", " ").split(" ")))) + end
-                writer.add(doc_id, np.frombuffer(ids, "<u4"))
+                writer.add(doc_id, np.frombuffer(cache.encode(text) + end, "<u4"))
                 if writer.n_ids >= FILE_IDS:
                     close()
                     writer, k = None, k + 1
@@ -214,7 +203,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str | None = None, end_i
     system.create_dir(top, recursive=True)
     n = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    dealt = in_partitions(rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text"))
+    dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     return written(dealt.mapInArrow(run, "part long, file long, path string, n_docs long, n_ids long"), "id-manifest")
 
 

@@ -6,20 +6,22 @@ its first successor. Level 3 holds the trigrams: the last word is written as its
 word (context-relative, and so small), added to the monotone pointer of the bigram before it. Sequences are cut into blocks
 of 32 values: a block has its first value, its high bits in unary in one 64-bit word, and its low bits. Probabilities and
 backoffs are quantised to bytes by the quantiles of each shard. Levels are written in shards of ranges of contexts with
-about equal numbers of tokens, and tasks map the files into memory; a search reads one block.
+about equal numbers of tokens, as many as the training texts' bytes ask for, so that a merging task holds as much at every
+size. Tasks map the files into memory (from a store without local paths they read a shard at a time); a search reads one
+block. Queries come sorted, so a batch goes through the shards once.
 
 Counts are of all training texts, without cutoffs. Smoothing is the hierarchical Dirichlet model of MacKay and Peto: with
 c the count of a word after a context and p' the probability in the next shorter context, p = (c + m p') / (c(context) + m);
 the lowest is add-one, (c + 1) / (N + V + 1). Contexts begin with the end token of the text before.
 
-Nulls count as empty texts, which are the end token alone. Rows may repeat; other columns are ignored. An empty table gives
-no rows; with no training texts N and V are 0 and every probability is 1.
+Nulls count as empty texts, which are the end token alone. Each row is scored, repeated ones and those without doc_id (not held
+out) too, and each training row counts; other columns are ignored. An empty table gives no rows; with no training texts N and V
+are 0 and every probability is 1.
 """
 
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -29,15 +31,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_words, in_partitions, new_path, table, written
-from .id_planes import opened
+from .common import batch_words, new_path, opened, resident, slices, table, written
 
 #: Weights of the shorter context, for bigrams and trigrams.
 WEIGHTS = (4.0, 2.0)
 #: The end token's hash (words have other hashes but for chance).
 END = np.uint64(0x9D39247E33776D41)
 #: Tokens that are counted or scored together in a task.
-BATCH_TOKENS = 1 << 21
+BATCH_TOKENS = 1 << 20
+#: Bytes of training text for each shard of a level, and of shards that a task holds from a store without local paths.
+SHARD_BYTES, HELD_BYTES = 8 << 20, 64 << 20
 #: Queries that are decoded together.
 STEP = 1 << 14
 FOLD = np.arange(32)
@@ -150,17 +153,13 @@ def put(system, path: str, arrays: dict[str, np.ndarray]) -> None:
 
 
 def mapped(folder: str, name: str) -> dict[str, np.ndarray]:
-    """The arrays of a file as memory maps: of the file itself where it has a local path, else of a copy in the worker's own
-    folder that is unlinked at once, so that nothing of it outlives the worker."""
+    """The arrays of a file: memory maps where it has a local path, else read."""
     system, top = opened(folder)
     if system.type_name == "local":
         raw = np.memmap(f"{top}/{name}", np.uint8, "r")
     else:
-        with tempfile.NamedTemporaryFile() as copy, system.open_input_stream(f"{top}/{name}") as source:
-            while part := source.read(1 << 22):
-                copy.write(part)
-            copy.flush()
-            raw = np.memmap(copy.name, np.uint8, "r")
+        with system.open_input_stream(f"{top}/{name}") as source:
+            raw = np.frombuffer(source.read(), np.uint8)
     n = int(raw[:8].view("<u8")[0])
     index = json.loads(bytes(raw[8 : 8 + n]))
     return {k: raw[8 + n + at : 8 + n + at + length * np.dtype(kind).itemsize].view(kind) for k, (kind, at, length) in index.items()}
@@ -178,7 +177,7 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and the 256 values that they stand for."""
     if not len(x):
         return np.zeros(0, np.uint8), np.zeros(256)
-    some = np.sort(x[:: max(1, len(x) // 100_000)])
+    some = np.sort(x)
     book = some[np.linspace(0, len(some) - 1, 256).round().astype(int)]
     return np.searchsorted((book[1:] + book[:-1]) / 2, x).astype(np.uint8), book
 
@@ -206,92 +205,90 @@ def unpacked(raw: bytes) -> list[np.ndarray]:
 
 
 class Trie:
+    """The shards of a model: `about` has N, V, the files and lengths of each level's shards, and the bounds of bigram keys."""
+
     def __init__(self, folder: str, about: dict):
         self.folder, self.about = folder, about
         self.V, self.N = about["V"], about["N"]
-        words = [mapped(folder, f) for f in about["words"]]
-        self.words = [Sequence(below(a, "h.")) for a in words]
-        self.counts = [a["count"] for a in words]
-        self.word_base = np.r_[0, np.cumsum([s.n for s in self.words])].astype(np.int64)
-        pairs = [mapped(folder, f) for f in about.get("pairs", [])]
-        self.pair_maps = pairs
-        self.pairs = [Sequence(below(a, "k.")) for a in pairs]
-        self.starts = [Sequence(below(a, "s.")) for a in pairs]
-        self.start_word = np.array([int(a["first_word"][0]) for a in pairs], np.int64)
-        self.pair_base = np.r_[0, np.cumsum([s.n for s in self.pairs])].astype(np.int64)
+        self.local = opened(folder)[0].type_name == "local"
+        self.open, self.held = {}, 0
+        sums = lambda name: np.r_[0, np.cumsum(about.get(name, []))].astype(np.int64)
+        self.word_base, self.pair_base = sums("n_words"), sums("n_pairs")
         self.bounds = np.array(about.get("bounds", []), np.uint64)
-        triples = [mapped(folder, f) for f in about.get("triples", [])]
-        self.triple_maps = triples
-        self.triples = [Sequence(below(a, "k.")) for a in triples]
-        self.pointers = [Sequence(below(a, "p.")) for a in triples]
+        self.start_word = np.array([-(-k // self.V) for k in about.get("bounds", [])], np.int64)
+
+    def shard(self, level: str, s: int) -> tuple[dict[str, np.ndarray], dict[str, Sequence]]:
+        """A shard's arrays and sequences. Maps stay open; arrays that had to be read go again at a bound of bytes."""
+        if (level, s) not in self.open:
+            arrays = mapped(self.folder, self.about[level][s])
+            size = 0 if self.local else sum(x.nbytes for x in arrays.values())
+            if self.held + size > HELD_BYTES:
+                self.open, self.held = {}, 0
+            self.held += size
+            self.open[level, s] = arrays, {k: Sequence(below(arrays, k + ".")) for k in "hksp" if k + ".n" in arrays}
+        return self.open[level, s]
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts of sorted hashes."""
-        ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        cuts = np.searchsorted(shard_of(hashes, len(self.words)), np.arange(len(self.words) + 1)) if self.words else []
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            at = self.words[s].find(hashes[a:b])
+        ids, counts, n = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64), len(self.about["words"])
+        for s, a, b in cuts_of(np.searchsorted(shard_of(hashes, n), np.arange(n + 1)) if n else []):
+            arrays, found = self.shard("words", s)
+            at = found["h"].find(hashes[a:b])
             ok = at >= 0
-            ids[a:b][ok], counts[a:b][ok] = at[ok] + self.word_base[s], self.counts[s][at[ok]]
+            ids[a:b][ok], counts[a:b][ok] = at[ok] + self.word_base[s], arrays["count"][at[ok]]
         return ids, counts
 
     def count_of(self, ids: np.ndarray) -> np.ndarray:
         """Counts of sorted ids."""
         out = np.zeros(len(ids), np.int64)
-        cuts = np.searchsorted(ids, self.word_base)
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            out[a:b] = self.counts[s][ids[a:b] - self.word_base[s]]
+        for s, a, b in cuts_of(np.searchsorted(ids, self.word_base)):
+            out[a:b] = self.shard("words", s)[0]["count"][ids[a:b] - self.word_base[s]]
         return out
 
     def find_pairs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places, probabilities and backoffs (log10) of sorted bigram keys; place -1 where there is none."""
         at, p, bow = np.full(len(keys), -1, np.int64), np.zeros(len(keys)), np.zeros(len(keys))
-        cuts = np.r_[np.searchsorted(keys, self.bounds), len(keys)]
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            found = self.pairs[s].find(keys[a:b])
-            ok = found >= 0
-            m = self.pair_maps[s]
-            at[a:b][ok] = found[ok] + self.pair_base[s]
-            p[a:b][ok], bow[a:b][ok] = m["p_book"][m["p"][found[ok]]], m["b_book"][m["b"][found[ok]]]
+        for s, a, b in cuts_of(np.r_[np.searchsorted(keys, self.bounds), len(keys)]):
+            m, found = self.shard("pairs", s)
+            place = found["k"].find(keys[a:b])
+            ok = place >= 0
+            at[a:b][ok] = place[ok] + self.pair_base[s]
+            p[a:b][ok], bow[a:b][ok] = m["p_book"][m["p"][place[ok]]], m["b_book"][m["b"][place[ok]]]
         return at, p, bow
 
     def start_of(self, ids: np.ndarray) -> np.ndarray:
         """The place of the first bigram of each word, of sorted ids."""
         out = np.zeros(len(ids), np.int64)
-        cuts = np.r_[np.searchsorted(ids, self.start_word), len(ids)]
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            out[a:b] = self.starts[s].get(ids[a:b] - self.start_word[s]).astype(np.int64) + self.pair_base[s]
+        for s, a, b in cuts_of(np.r_[np.searchsorted(ids, self.start_word), len(ids)]):
+            out[a:b] = self.shard("pairs", s)[1]["s"].get(ids[a:b] - self.start_word[s]).astype(np.int64) + self.pair_base[s]
         return out
 
     def find_triples(self, nodes: np.ndarray, rel: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether a sorted bigram place has the context-relative successor, and its probability (log10)."""
         ok, p = np.zeros(len(nodes), bool), np.zeros(len(nodes))
-        cuts = np.searchsorted(nodes, self.pair_base)
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            if a == b:
-                continue
+        for s, a, b in cuts_of(np.searchsorted(nodes, self.pair_base)):
+            m, found = self.shard("triples", s)
             own, at = np.unique(nodes[a:b] - self.pair_base[s], return_inverse=True)
-            low, high = self.pointers[s].get(own), self.pointers[s].get(own + 1)
+            low, high = found["p"].get(own), found["p"].get(own + 1)
             key = low[at] + rel[a:b].astype(np.uint64)
             inside = np.flatnonzero(key < high[at])
-            found = self.triples[s].find(key[inside])
-            hit = inside[found >= 0]
+            place = found["k"].find(key[inside])
+            hit = inside[place >= 0]
             ok[a:b][hit] = True
-            m = self.triple_maps[s]
-            p[a:b][hit] = m["p_book"][m["p"][found[found >= 0]]]
+            p[a:b][hit] = m["p_book"][m["p"][place[place >= 0]]]
         return ok, p
 
 
-_tries: dict[str, Trie] = {}
+def cuts_of(cuts) -> Iterator[tuple[int, int, int]]:
+    """Number, begin and end of each part between the cuts that is not empty."""
+    for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        if b > a:
+            yield s, int(a), int(b)
 
 
 def trie_of(folder: str, about: dict) -> Trie:
     """The model in this worker; one at a time is kept."""
-    key = json.dumps([folder, len(about.get("pairs", [])), len(about.get("triples", []))])
-    if key not in _tries:
-        _tries.clear()
-        _tries[key] = Trie(folder, about)
-    return _tries[key]
+    return resident(("trie", folder, len(about.get("pairs", [])), len(about.get("triples", []))), lambda: Trie(folder, about))
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -313,7 +310,7 @@ def streams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
     """Batches together, until they have BATCH_TOKENS."""
     held, n = [], 0
-    for batch in batches:
+    for batch in slices(batches):
         h, at = streams(batch.column("text"))
         held.append((batch, h, at))
         n += len(h)
@@ -334,7 +331,7 @@ def _joined(held) -> tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]:
 
 
 def _rows(docs: DataFrame, *more: Column) -> DataFrame:
-    return in_partitions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
 def held_out() -> Column:
@@ -351,7 +348,8 @@ def _file(folder: str, arrays: dict[str, np.ndarray]) -> str:
 def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGHTS) -> dict:
     """Writes the levels; returns the description of the model (names of the shards' files, N, V, bounds of the shards)."""
     spark = training.sparkSession
-    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = training.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = 1 + size // SHARD_BYTES
     system, top = opened(folder)
     system.create_dir(top, recursive=True)
     rows = _rows(training)
@@ -386,7 +384,7 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
     names = [by_shard[s]["file"] if s in by_shard else empty for s in range(shards)]
     n_words = np.array([by_shard[s]["n"] if s in by_shard else 0 for s in range(shards)])
     n_tokens = np.array([by_shard[s]["tokens"] if s in by_shard else 0 for s in range(shards)])
-    about = {"N": int(n_tokens.sum()), "V": int(n_words.sum()), "words": names}
+    about = {"N": int(n_tokens.sum()), "V": int(n_words.sum()), "words": names, "n_words": n_words.tolist()}
     V, N = about["V"], about["N"]
 
     # Bounds: bigram keys at equal shares of the tokens; a frequent word's share is cut by the next word's id.
@@ -408,7 +406,7 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
     marks = {r["k"]: r["key"] for r in found.select("shard").mapInArrow(bounds_in, "k int, key long").collect()}  # a row for each shard
     bounds = np.maximum.accumulate(np.array([0] + [marks[k] for k in range(1, shards)], np.int64)).astype(np.uint64)
     about["bounds"] = bounds.tolist()
-    begin_about = {k: about[k] for k in ("N", "V", "words")}
+    begin_about = dict(about)
 
     # Level 2: each pair of tokens with the token after it (V: none), counted; in shards of the pair.
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,23 +463,24 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
         starts = np.searchsorted(keys, np.arange(first_word, next_word, dtype=np.uint64) * np.uint64(V)).astype(np.uint64)
         pq, pb = quantised(np.log10(p))
         bq, bb = quantised(np.log10(weights[1] / (count + weights[1])))
-        name = _file(folder, named(ef_encode(keys), "k.") | named(ef_encode(starts), "s.") | {"first_word": np.array([first_word], np.int64), "p": pq, "p_book": pb, "b": bq, "b_book": bb})
+        name = _file(folder, named(ef_encode(keys), "k.") | named(ef_encode(starts), "s.") | {"p": pq, "p_book": pb, "b": bq, "b_book": bb})
         raw = packed(np.diff(node, prepend=0).astype("<u4"), third.astype("<u8"), times, count.astype("<u4"), keys % np.uint64(V))
         system, top = opened(folder)
         with system.open_output_stream(f"{top}/{name}.next") as out:
             out.write(raw)
-        return pa.table({"shard": pa.array([s], pa.int32()), "file": [name]})
+        return pa.table({"shard": pa.array([s], pa.int32()), "file": [name], "n": pa.array([len(keys)], pa.int64())})
 
-    level2 = {r["shard"]: r["file"] for r in written(rows.mapInArrow(count_pairs, "shard int, part binary").groupBy("shard").applyInArrow(merge_pairs, "shard int, file string"), "pairs").collect()}
+    counted = rows.mapInArrow(count_pairs, "shard int, part binary").groupBy("shard").applyInArrow(merge_pairs, "shard int, file string, n long")
+    level2 = {r["shard"]: (r["file"], r["n"]) for r in written(counted, "pairs").collect()}  # a row for each shard
     for s in range(shards):
         if s not in level2:
             first_word = int(-(-int(bounds[s]) // V))
             next_word = int(-(-int(bounds[s + 1]) // V)) if s + 1 < shards else V
             none = ef_encode(np.zeros(0, np.uint64))
-            level2[s] = _file(folder, named(none, "k.") | named(ef_encode(np.zeros(next_word - first_word, np.uint64)), "s.") | {"first_word": np.array([first_word], np.int64), "p": np.zeros(0, np.uint8), "p_book": np.zeros(256), "b": np.zeros(0, np.uint8), "b_book": np.zeros(256)})
-            with system.open_output_stream(f"{top}/{level2[s]}.next") as out:
+            level2[s] = _file(folder, named(none, "k.") | named(ef_encode(np.zeros(next_word - first_word, np.uint64)), "s.") | {"p": np.zeros(0, np.uint8), "p_book": np.zeros(256), "b": np.zeros(0, np.uint8), "b_book": np.zeros(256)}), 0
+            with system.open_output_stream(f"{top}/{level2[s][0]}.next") as out:
                 out.write(packed(*(np.zeros(0, t) for t in ("<u4", "<u8", "<u4", "<u4", "<u8"))))
-    about["pairs"] = [level2[s] for s in range(shards)]
+    about["pairs"], about["n_pairs"] = [level2[s][0] for s in range(shards)], [level2[s][1] for s in range(shards)]
     middle = dict(about)
 
     # Level 3: the third word of each becomes its place among the successors of the second.

@@ -27,11 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_words, components, in_partitions, mix, shingle_hashes, small, table, written
+from .common import batch_words, components, mix, shingle_hashes, slices, small, table, written
 
 #: Members of a block, and columns of a block of the product.
 BLOCK, COLUMNS = 512, 4096
 
+#: A column of at most so many members is multiplied entry by entry, and so many products at a time.
+THIN, PRODUCTS = 16, 1 << 20
+
 #: Counters for the approximate frequency of shingles, by their hash; in how many slices they are summed.
 COUNTERS, SLICES = 1 << 21, 8
 
@@ -44,7 +47,7 @@ def doc_sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return in_partitions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
@@ -55,7 +58,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
         names = ["doc_id", "n_shingles", "sig", "slice", "counts"]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
         counts = np.zeros(COUNTERS, np.uint32)
-        for batch in batches:
+        for batch in slices(batches):
             rows, seen = [], []
             for doc_id, s in doc_sets(batch, n):
                 seen.append(s)
@@ -104,27 +107,38 @@ def needed(a: np.ndarray, b: np.ndarray, share: int, of: int) -> np.ndarray:
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Overlap counts of all pairs of sets, as a sum of products over blocks of columns."""
+    """Overlap counts of all pairs of sets: the sparse product of their incidence rows, block by block of columns. Entries of
+    thin columns are multiplied one by one; the others, which most rows share, are multiplied as full blocks."""
     own = left is right
     every = left if own else left + right
     sizes = np.fromiter(map(len, every), np.int64, len(every))
+    first = 0 if own else len(left)  # of the right rows
+    out = np.zeros((len(left), len(every) - first), np.int64)
     if not sizes.sum():
-        return np.zeros((len(left), len(right)), np.int64)
-    columns, at, times = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
-    rows = np.repeat(np.arange(len(every)), sizes)
-    shared = times > 1
-    number = np.cumsum(shared) - 1
-    keep = shared[at]
-    rows, at = rows[keep], number[at[keep]]
+        return out
+    _, at, times = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
     order = np.argsort(at, kind="stable")
-    rows, at = rows[order], at[order]
-    out = np.zeros((len(left), len(right)), np.float64)
-    for first in range(0, int(shared.sum()), COLUMNS):
-        low, high = np.searchsorted(at, [first, first + COLUMNS])
-        part = np.zeros((len(every), COLUMNS), np.float32)
-        part[rows[low:high], at[low:high] - first] = 1
-        out += part @ part.T if own else part[: len(left)] @ part[len(left) :].T
-    return out.astype(np.int64)
+    rows, begin = np.repeat(np.arange(len(every)), sizes)[order], np.r_[0, np.cumsum(times)]
+
+    thin = np.flatnonzero((times > 1) & (times <= THIN))
+    for some in np.array_split(thin, 1 + int((times[thin] ** 2).sum()) // PRODUCTS):
+        t = times[some]
+        entry = np.repeat(begin[some], t) + np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
+        each = np.repeat(t, t)  # partners of each entry
+        a = np.repeat(rows[entry], each)
+        b = rows[np.repeat(np.repeat(begin[some], t), each) + np.arange(len(a)) - np.repeat(np.cumsum(each) - each, each)]
+        use = (a < len(left)) & (b >= first)
+        out += np.bincount(a[use] * out.shape[1] + b[use] - first, minlength=out.size).reshape(out.shape)
+
+    full = np.flatnonzero(times > THIN)
+    for k in range(0, len(full), COLUMNS):
+        some = full[k : k + COLUMNS]
+        t = times[some]
+        entry = np.repeat(begin[some], t) + np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
+        part = np.zeros((len(every), len(some)), np.float32)
+        part[rows[entry], np.repeat(np.arange(len(some)), t)] = 1
+        out += (part[: len(left)] @ part[first:].T).astype(np.int64)
+    return out
 
 
 def tree(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
@@ -170,7 +184,7 @@ def candidates(docs: DataFrame, levels: np.ndarray, n: int, share: int, of: int)
             yield pa.RecordBatch.from_arrays([pa.array(docs_), pa.array(size[:done][joined[:done]][at]), pa.array(times)], ["doc", "n", "times"])
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, sizes, out = [], [], []
             for doc_id, s in doc_sets(batch, n):
                 if k := len(s):
@@ -237,7 +251,7 @@ def links(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100, levels: n
     blocks = written(members.join(small(written(sizes, "sizes")), "hub").join(others, "doc"), "blocks")
 
     def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [(d, s.tobytes()) for d, s in doc_sets(batch, n)]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.binary()), strict=True)] if rows else [pa.array([], pa.int64()), pa.array([], pa.binary())], ["doc", "items"])
 
@@ -275,16 +289,19 @@ def join(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100) -> DataFra
     sets = signatures(docs, n)
     rows = sets.where("sig is not null").select("doc_id", "n_shingles", "sig")
     # Rows without words have the empty set, but do not equal each other.
-    classes = written(rows.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class"), F.count_distinct("doc_id").alias("members")), "classes")
+    classes = written(rows.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class"), F.count_distinct("doc_id").alias("members"), F.count(F.lit(1)).alias("rows")), "classes")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small(classes.select(F.col("class").alias("doc_id"))), "doc_id", "left_semi")
     found = links(own, n, share, of, frequencies(sets))
     groups = components(found.where("spans"))
     ends = found.select("a", "b").union(found.select("b", "a"))
     times = ends.join(small(classes.groupBy("class").agg(F.max("members").alias("members"))), ends["b"] == F.col("class")).groupBy("a").agg(F.sum("members").alias("near"))
-    named = classes.join(groups, classes["class"] == groups["doc"], "left").join(times, classes["class"] == times["a"], "left")
-    named = named.select("sig", F.coalesce("component", "class").alias("component_id"), (F.col("members") + F.coalesce("near", F.lit(0))).alias("reached"))
+    # A single row without links is all of its component. The others' classes are few, or are joined by sig, where a class of
+    # very many rows meets one row, so that Spark's adaptive join may split it.
+    named = classes.join(small(written(groups, "groups")), classes["class"] == F.col("doc"), "left").join(small(written(times, "times")), classes["class"] == F.col("a"), "left")
+    named = named.where("rows > 1 or component is not null").select("sig", F.coalesce("component", "class").alias("component"), (F.col("members") + F.coalesce("near", F.lit(0))).alias("reached"))
     n_links = F.coalesce(F.col("reached") - F.col("doc_id").isNotNull().cast("long"), F.lit(0))
-    return rows.join(named, "sig", "left").select("doc_id", "n_shingles", n_links.alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    with_words = rows.where("n_shingles > 0").join(small(written(named, "named")), "sig", "left").select("doc_id", "n_shingles", n_links.alias("n_links"), F.coalesce("component", "doc_id").alias("component_id"))
+    return with_words.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(0).cast("long"), "doc_id"))
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:

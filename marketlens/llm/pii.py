@@ -12,8 +12,9 @@ context, and an entity of fewer contexts flags no term. Terms whose
 disclosure reaches GENERALISE are replaced by their kind ([NUMBER], [NAME] or [WORD]) wherever they occur, and from REMOVE
 on they are taken out. Entities are always replaced by their kind.
 
-Nulls count as empty texts; an empty text has no spans. Rows may repeat. An empty table gives no rows. Other columns are
-ignored by the search and kept by the sanitiser.
+Nulls count as empty texts; an empty text has no spans. Each row gives a row, repeated ones and those without doc_id too:
+its spans follow from its text alone. An empty table gives no rows. Other columns, whatever their names, are ignored by the
+search and kept by the sanitiser.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, batch_words, in_partitions, mix, small, table, written
+from .common import BROADCAST_ROWS, batch_words, free_name, mix, slices, small, table, written
 
 SUPPORT = 3
 GENERALISE, REMOVE = 0.7, 0.9
@@ -89,7 +90,7 @@ def _value(text: str, span: tuple[int, int, int]) -> int:
 
 
 def _texts(docs: DataFrame, *more: Column) -> DataFrame:
-    return in_partitions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
 def _char_places(text: str, places: np.ndarray) -> np.ndarray:
@@ -103,7 +104,7 @@ def mentions(docs: DataFrame) -> DataFrame:
     """row (of the text), context, entities and terms (each once) of the documents with an entity. Equal contexts have equal terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             column = batch.column("text")
             words, at, starts, ends = batch_words(column, letters=True, places=True)
             base = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -137,7 +138,7 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     rows = docs.select("text", digest.alias("digest")).join(small(copies), "digest", "left").select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("count", F.lit(1)).alias("c"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words, at = batch_words(batch.column("text"), letters=True)
             own = [np.unique(words[a:b]).view(np.int64) for a, b in zip(at, at[1:], strict=False)]
             pairs = np.stack([np.concatenate([np.zeros(0, np.int64), *own]), np.repeat(batch.column("c").to_numpy(), [len(x) for x in own])])
@@ -146,7 +147,7 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
             pairs, times = np.unique(pairs, axis=1, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs[0], pairs[1], times.astype(np.int64))], ["term", "c", "times"])
 
-    found = in_partitions(rows).mapInArrow(run, "term long, c long, times long").groupBy("term", "c").agg(F.sum("times").alias("times"))
+    found = rows.mapInArrow(run, "term long, c long, times long").groupBy("term", "c").agg(F.sum("times").alias("times"))
     return found.groupBy("term").agg(F.sum(F.expr("times div c")).alias("n_term"))
 
 
@@ -164,7 +165,7 @@ def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
     keep = _kept(terms.select("term"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             column = batch.column("text")
             words, at, starts, ends = batch_words(column, letters=True, places=True)
             base = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -205,19 +206,23 @@ def disclosing_terms(docs: DataFrame) -> DataFrame:
     return written(best.withColumn("action", F.when(F.col("disclosure") >= REMOVE, 2).otherwise(1)), "disclosing")
 
 
-def with_term_spans(docs: DataFrame, flagged: DataFrame) -> tuple[DataFrame, object]:
-    """The documents' columns and `term_spans` (null where a broadcast of the flagged terms serves instead)."""
+def with_term_spans(docs: DataFrame, flagged: DataFrame) -> tuple[DataFrame, str, object]:
+    """The documents' columns and one of term spans, its name, and a broadcast of the flagged terms that serves instead where
+    they are few (the column is null then)."""
     keep = _kept(flagged.select("term", "action"))
+    name = free_name(docs, "term_spans")
     if keep is not None:
-        return docs.withColumn("term_spans", F.lit(None).cast("string")), keep
+        return docs.withColumn(name, F.lit(None).cast("string")), name, keep
     found = occurrences(docs, flagged.select("term")).join(flagged, "term")
     each = F.array_join(F.transform(F.split("spans", ","), lambda x: F.concat(x, F.lit(":"), F.col("action").cast("string"))), ",")
-    # Rows of one doc_id with different texts are told apart by the text's digest.
-    spans = found.select("doc_id", "digest", "term", each.alias("s")).distinct().groupBy("doc_id", "digest").agg(F.array_join(F.array_sort(F.collect_list("s")), ",").alias("term_spans"))
-    return docs.withColumn("digest", F.xxhash64(F.coalesce("text", F.lit("")))).join(spans, ["doc_id", "digest"], "left").drop("digest"), None
+    # Rows of one doc_id with different texts are told apart by the text's digest; rows without doc_id have it alone.
+    spans = found.select(F.col("doc_id").alias("d"), F.col("digest").alias("x"), "term", each.alias("s")).distinct().groupBy("d", "x").agg(F.array_join(F.array_sort(F.collect_list("s")), ",").alias(name))
+    digest = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    joined = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(spans["d"]) & (digest == spans["x"]), "left")
+    return joined.select(*(docs[c] for c in docs.columns), spans[name]), name, None
 
 
-def _all_spans(batch: pa.RecordBatch, keep) -> Iterator[tuple[str, list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
+def _all_spans(batch: pa.RecordBatch, name: str, keep) -> Iterator[tuple[str, list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
     """Each text with its base spans and its spans of flagged terms (start, end, action)."""
     column = batch.column("text")
     base, here = None, None
@@ -234,34 +239,34 @@ def _all_spans(batch: pa.RecordBatch, keep) -> Iterator[tuple[str, list[tuple[in
             first, last = (_char_places(text, x[w] - (base[k] - base[0])).tolist() for x in (starts, ends))
             terms = list(zip(first, last, actions, strict=True))
         else:
-            terms = [tuple(map(int, s.split(":"))) for s in (batch.column("term_spans")[k].as_py() or "").split(",") if s]
+            terms = [tuple(map(int, s.split(":"))) for s in (batch.column(name)[k].as_py() or "").split(",") if s]
         yield text, own, sorted(t for t in terms if not any(a < t[1] and t[0] < b for a, b, _ in own))
 
 
 def find(docs: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans of each document."""
+    """doc_id, n_email, n_ip, n_card, n_phone, n_term, n_spans (all of these), base_sha256, spans of each document."""
     flagged = disclosing_terms(docs) if flagged is None else flagged
-    rows, keep = with_term_spans(docs, flagged)
+    rows, name, keep = with_term_spans(docs.select("doc_id", "text"), flagged)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
-            for _, own, terms in _all_spans(batch, keep):
+            for _, own, terms in _all_spans(batch, name, keep):
                 said = ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in own)
                 every = sorted([(a, k, f"{KINDS[k]}:{a}:{b}") for a, b, k in own] + [(a, len(KINDS), f"term:{a}:{b}") for a, b, _ in terms])
                 kinds = [k for *_, k in own]
-                out.append((*(kinds.count(k) for k in range(4)), len(terms), hashlib.sha256(said.encode()).hexdigest(), ",".join(x for *_, x in every)))
-            types = [pa.int64()] * 5 + [pa.string()] * 2
-            names = ["doc_id", *(f"n_{k}" for k in KINDS), "n_term", "base_sha256", "spans"]
+                out.append((*(kinds.count(k) for k in range(4)), len(terms), len(every), hashlib.sha256(said.encode()).hexdigest(), ",".join(x for *_, x in every)))
+            types = [pa.int64()] * 6 + [pa.string()] * 2
+            names = ["doc_id", *(f"n_{k}" for k in KINDS), "n_term", "n_spans", "base_sha256", "spans"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)] if out else [pa.array([], t) for t in types])], names)
 
-    return _texts(rows, F.col("term_spans")).mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_term long, base_sha256 string, spans string")
+    return _texts(rows, F.col(name)).mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_term long, n_spans long, base_sha256 string, spans string")
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """The documents with entities replaced by their kind and disclosing terms generalised or removed; n_chars, where the
     table has it, follows the text. Null texts stay null."""
-    rows, keep = with_term_spans(docs, disclosing_terms(docs))
+    rows, name, keep = with_term_spans(docs, disclosing_terms(docs.select("doc_id", "text")))
     schema = docs.schema
     names = docs.columns
 
@@ -269,11 +274,11 @@ def sanitise(docs: DataFrame) -> DataFrame:
         return "[NUMBER]" if word.isdigit() else "[NAME]" if word[:1].isupper() else "[WORD]"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             nulls = batch.column("text").is_null().to_pylist()
             full = batch.set_column(batch.schema.get_field_index("text"), "text", batch.column("text").fill_null(""))
             texts = []
-            for text, own, terms in _all_spans(full, keep):
+            for text, own, terms in _all_spans(full, name, keep):
                 parts, done = [], 0
                 changes = sorted([(a, b, f"[{KINDS[k].upper()}]") for a, b, k in own] + [(a, b, "" if act == 2 else kind(text[a:b])) for a, b, act in terms])
                 for a, b, new in changes:
@@ -288,7 +293,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array([None if n else len(t) for n, t in zip(nulls, texts, strict=True)], pa.int64()).cast(columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return in_partitions(rows.select(*names, "term_spans")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def op1_pii(spark, sf_dir: str) -> DataFrame:

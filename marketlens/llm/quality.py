@@ -5,10 +5,12 @@ feature at a time, so that the trees of a feature add up to one lookup table; th
 of what is left get tables of their own, of shallow trees on two features, in the same way. A score is the sum of table
 entries: a vectorised lookup and addition for each table. The tables can be read as they are (`Model.tables`).
 
-The model is fitted on the driver on a bounded sample: the SAMPLE labelled rows of smallest hashed doc_id. Features are of
-whole texts. Nulls count as empty texts. Rows with null or other labels are not learnt from; a text with several labels
-is learnt from with each. With no labels every score is 0.5, with one class it is near that class. Empty tables give no
-rows; other columns are ignored.
+The model is fitted on the driver on a bounded sample: of the distinct labels (doc_id, quality) that are not held out, the SAMPLE of
+smallest hashed doc_id, each with one text (of several rows of a doc_id, the text that sorts first). Features are of whole
+texts. Nulls count as empty texts. Labels that are null or neither 0 nor 1 are not learnt from, nor are labels without doc_id;
+a doc_id with both labels is learnt from with each. With no labels every score is 0.5, with one class it is near that class.
+Every row is scored, repeated ones and those without doc_id too; empty tables give no rows. Other columns are kept; columns
+named score or predicted are replaced by the model's, in `score`, and kept in `accepted`.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_words, in_partitions, shingle_hashes, table, written
+from .common import batch_words, shingle_hashes, slices, table, written
 
 SAMPLE = 20_000
 BINS, PAIR_BINS, PAIRS = 64, 16, 8
@@ -160,31 +162,43 @@ def held_out() -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of labels.quality from the labelled rows that are not held out, at most `sample` of them."""
-    rows = labels.where(F.col("quality").isin(0, 1) & ~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    rows = labels.where(F.col("quality").isin(0, 1) & ~held_out() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct()
     chosen = written(rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample), "sample")  # bounded, so it may be broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(list(features(batch.column("text"))), pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
-    # In one order, so that the same rows always give the same model; rows of one doc_id are sorted by their features.
-    found = sorted((r["doc_id"], r["quality"], r["x"]) for r in in_partitions(texts).mapInArrow(run, "doc_id long, quality int, x array<double>").limit(2 * sample).collect())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # at most `sample` rows
+    # In one order, so that the same rows always give the same model.
+    found = sorted((r["doc_id"], r["quality"], r["x"]) for r in one.mapInArrow(run, "doc_id long, quality int, x array<double>").collect())
     return fit(np.array([r[2] for r in found]).reshape(-1, len(FEATURES)), np.array([r[1] for r in found], np.float64))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents' columns with score and predicted."""
     known = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
-    names = docs.columns
-    schema = docs.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
+    names = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    schema = docs.select(*names, F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             p = known.value.scores(features(batch.column("text")))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= threshold).astype(np.int32))], [*names, "score", "predicted"])
 
-    return in_partitions(docs).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose score reaches the threshold."""
+    known = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array(known.value.scores(features(batch.column("text"))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,9 @@ from .common import table
 
 K, S = 5, 2
 
+#: Bytes of texts in a range of documents that a task works on, and the most ranges.
+RANGE_BYTES, RANGES = 64 << 20, 10_000
+
 
 def bound(value: Column, body) -> Column:
     """body(value), with the value computed once: a one-element array binds it to a name."""
@@ -72,29 +75,40 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(shared / union)
 
 
+def bucket_of(key: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are below the key: first among every so many of them, then among those between."""
+    step = max(1, round(len(bounds) ** 0.5))
+    array = lambda some: F.array(*map(F.lit, some)).cast("array<bigint>")
+    below = lambda some: F.size(F.filter(some, lambda b: b < key))
+    parts = [bounds[k : k + step] for k in range(0, len(bounds), step)]
+    coarse = below(array([p[-1] for p in parts]))
+    return coarse * step + F.coalesce(below(F.get(F.array(*map(array, parts)), coarse)), F.lit(0)) if bounds else F.lit(0)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, found (its anchors), next_text, next_found. Rows are dealt into ranges of doc_id, each with the first row of the range after it, so
-    that one shuffle of the texts is enough and no task sees more than its range."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """doc_id, text, found (its anchors), next_text, next_found. Rows are dealt into ranges of doc_id, each with the first row of
+    the range after it, so that one shuffle of the texts is enough and no task sees more than its range. There are as many
+    ranges as shuffle partitions, and more, up to RANGES, where the texts are larger."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     fields = F.struct("text", anchors(F.col("text")).alias("found"))
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    bounds = rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10000).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))  # as many as partitions
-    bucket = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b < key)) if bounds else F.lit(0)
-    rows = rows.withColumn("bucket", bucket)
-    # The first row of each range: as many as partitions.
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = min(RANGES, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES))
+    bounds = rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 4 * RANGES).alias("b")).first()["b"] or []
+    bounds = sorted(set(bounds))  # as many as ranges
+    rows = rows.withColumn("bucket", bucket_of(key, bounds))
+    # The first row of each range: as many as ranges.
     firsts = rows.groupBy("bucket").agg(F.max(key).alias("top"))
     tops = [(r["bucket"], r["top"]) for r in firsts.collect()]
     tops.sort(reverse=True)
     before = {top: tops[k - 1][0] for k, (_, top) in enumerate(tops)}
-    marks = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else None
-    if marks is None:
+    if not before:
         return rows.select("doc_id", "text", fields["found"].alias("found"), F.col("text").alias("next_text"), fields["found"].alias("next_found"))
-    heads = rows.where(key.isin(list(before))).groupBy("doc_id").agg(F.max("text").alias("text"))
-    heads = heads.select("doc_id", "text", F.element_at(marks.cast("map<bigint,int>"), key).alias("bucket"), F.lit(1).alias("tail"))
+    marks = docs.sparkSession.range(1).select(F.inline(F.array(*(F.struct(F.lit(top).cast("long").alias("top"), F.lit(bucket).alias("bucket")) for top, bucket in before.items()))))
+    heads = rows.drop("bucket").join(F.broadcast(marks), key == F.col("top")).groupBy("doc_id", "bucket").agg(F.max("text").alias("text"))
+    heads = heads.select("doc_id", "text", "bucket", F.lit(1).alias("tail"))
     # Anchors are found after the shuffle, which so carries the texts alone.
-    dealt = rows.withColumn("tail", F.lit(0)).unionByName(heads).repartition("bucket").withColumn("fields", fields).drop("text")
+    dealt = rows.withColumn("tail", F.lit(0)).unionByName(heads).repartition(parts, "bucket").withColumn("fields", fields).drop("text")
     order = Window.partitionBy("bucket").orderBy("tail", F.desc_nulls_last("doc_id"), F.desc("fields.text"))
     led = dealt.withColumn("next", F.lead("fields").over(order)).where("tail = 0")
     return led.select("doc_id", "fields.text", "fields.found", F.col("next.text").alias("next_text"), F.col("next.found").alias("next_found"))

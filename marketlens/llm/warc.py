@@ -7,8 +7,9 @@ start of each file, which is a record for certain, doubles the length of the ver
 one entry that is reached, if any, and reads on from there. Candidates that are not reached are dropped.
 
 Pages with equal payloads of at least a given size share one response record, that of the largest page_id; the others are
-revisit records without payload. Null html is an empty payload. Repeated rows of the largest page_id are all responses.
-An empty table makes no archives. Carriage returns and line feeds in a URL are percent-encoded in the header; other
+revisit records without payload. Null html is an empty payload. Repeated rows of the largest page_id are all responses. A row
+without page_id has a record with an id of its own, which reads back as null; it revisits the response if any row of its
+payload has a page_id, and is a response otherwise. An empty table makes no archives. Carriage returns and line feeds in a URL are percent-encoded in the header; other
 columns are ignored.
 """
 
@@ -24,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_partitions, new_path, small, table, written
-from .id_planes import opened
+from .common import new_path, opened, slices, small, table, written
 
 MAGIC = b"WARC/1.0\r\n"
 #: A new archive begins after so many bytes; ranges that tasks read have so many.
@@ -34,13 +34,13 @@ READ_BYTES = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 
 
-def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
     """One record, with the digest and the length of the full payload; a revisit has the HTTP header only."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     lines = [
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{page_id}>",
+        f"WARC-Record-ID: <urn:{f'uuid:{uuid.uuid4()}' if page_id is None else f'page:{page_id}'}>",
         f"WARC-Date: {DATE}",
         "WARC-Target-URI: " + (url or "").replace("\r", "%0D").replace("\n", "%0A"),
         "WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode(),
@@ -51,27 +51,29 @@ def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None)
     return MAGIC + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """page_id, sha, refers_to of the pages whose payload a larger page_id has."""
+def shared(pages: DataFrame, least_bytes: int) -> DataFrame:
+    """sha, response (the largest page_id) of the payloads that several rows have. Counted in each task before the shuffle."""
     payload = F.coalesce("html", F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha1(payload.cast("binary")).alias("sha")).where(F.octet_length(payload) >= least_bytes)
-    rows = written(rows, "payloads")
-    last = rows.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return written(rows.join(small(written(last, "shared")), "sha").where("page_id < refers_to").select("page_id", "sha", "refers_to").distinct(), "revisits")
+    rows = pages.where(F.octet_length(payload) >= least_bytes).select(F.col("page_id").cast("long").alias("page_id"), F.sha1(payload.cast("binary")).alias("sha"))
+    return written(rows.groupBy("sha").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1 and response is not null").select("sha", "response"), "shared")
 
 
 def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
-    """Writes the archives; returns a row for each: path, size. Files of tasks that are repeated stay unlisted."""
+    """Writes the archives; returns a row for each: path, size. Files of tasks that are repeated stay unlisted.
+
+    Where the shared payloads are too many to broadcast, pages are shuffled by digest to meet them; a digest of very many pages
+    is a skewed partition on the one side and one row on the other, which Spark's adaptive join splits."""
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("html"), F.sha1(payload.cast("binary")).alias("sha"))
-    rows = rows.join(small(revisits(pages, least_bytes)), ["page_id", "sha"], "left").select("page_id", "url", "html", "refers_to")
+    later = F.col("page_id").isNull() | (F.col("page_id") < F.col("response"))
+    rows = rows.join(small(shared(pages.select("page_id", "html"), least_bytes)), "sha", "left").select("page_id", "url", "html", F.when(later, F.col("response")).alias("refers_to"))
     system, top = opened(folder)
     system.create_dir(top, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, top = opened(folder)
         stream, name, size, done = None, "", 0, []
-        for batch in batches:
+        for batch in slices(batches):
             for page_id, url, html, refers_to in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if stream is None:
                     name, size = f"{uuid.uuid4().hex}.warc", 0
@@ -89,7 +91,7 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*done, strict=True)], ["path", "size"])
 
-    return written(in_partitions(rows).mapInArrow(run, "path string, size long"), "archives")
+    return written(rows.mapInArrow(run, "path string, size long"), "archives")
 
 
 class Bytes:
@@ -209,7 +211,7 @@ def read(archives: DataFrame, folder: str) -> DataFrame:
                         length = int(re.search(rb"(?m)^Content-Length: ([0-9]+)", http)[1])
                         digest = fields[b"WARC-Payload-Digest"].removeprefix(b"sha1:").decode()
                         kind = fields[b"WARC-Type"].decode()
-                        number = lambda name, fields=fields: int(fields[name].removeprefix(b"<urn:page:").removesuffix(b">")) if name in fields else None
+                        number = lambda name, fields=fields: int(m[1]) if (m := re.fullmatch(rb"<urn:page:(-?[0-9]+)>", fields.get(name, b""))) else None
                         ok = base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest and len(payload) == length if kind == "response" else None
                         rows.append((number(b"WARC-Record-ID"), length, digest, kind, number(b"WARC-Refers-To"), ok))
                         at = end + 4

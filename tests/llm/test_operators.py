@@ -138,6 +138,7 @@ def test_join_gives_every_link(spark, monkeypatch, block):
     found = [tuple(x) for x in ngram_join.links(d.where(F.col("doc_id").isin(list(classes))), 3, 90, 100, levels).select("a", "b", "overlap", "similarity").collect()]
     want = {(*p, c, c / len(sets[p[0]] | sets[p[1]])) for p, c in linked.items() if set(p) <= classes}
     assert len(found) == len(set(found)) == len(want) > 40 and set(found) == want
+    assert ngram_join.links(d.where(F.col("doc_id").isin(list(classes))), 3, 90, 100).count() == len(want)
 
 
 def test_decontamination(spark, docs, rows, none):
@@ -283,10 +284,10 @@ def test_quality_learns_what_is_held_out(spark, none):
 def test_quality_of_odd_rows(spark, docs, rows, none):
     labels = spark.createDataFrame([(0, 1), (1, 0), (2, None), (3, 5), (4, 1), (4, 0)], "doc_id long, quality int")
     for lab in (labels, labels.limit(0)):
-        got = quality.score(docs.drop("score"), quality.train(docs, lab)).collect()
+        got = quality.score(docs, quality.train(docs, lab)).collect()
         assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
-    assert {r.score for r in quality.score(docs.drop("score"), quality.train(docs, labels.limit(0))).collect()} == {0.5}
-    assert quality.score(none.drop("score"), quality.train(none, labels)).count() == 0
+    assert {r.score for r in quality.score(docs, quality.train(docs, labels.limit(0))).collect()} == {0.5}
+    assert quality.score(none, quality.train(none, labels)).count() == 0
 
 
 def test_id_files(spark, docs, rows, none):
