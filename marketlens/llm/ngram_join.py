@@ -10,7 +10,8 @@ adds up overlap counts, column block by column block, and counts below the bound
 
 Each block of a hub is multiplied with itself and with every other block of it, so that all links between different sets are
 found, inside large groups too; a pair that meets at several hubs is given by the smallest. Equal sets are one class and
-no pair of copies is listed: a document's number of links adds up the sizes of the classes that its own class links with.
+no pair of copies is listed: a document's number of links adds up the sizes of the classes that its own class links with, in
+the block where they are found, so that links themselves are listed by `links` only.
 
 Nulls and texts without words have empty sets and link with nothing. Rows may repeat; of rows with the same doc_id each is
 returned. Empty tables give empty results. Other columns are ignored.
@@ -27,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_words, components, mix, shingle_hashes, slices, small, table, written
+from .common import batch_words, components, mix, shingle_hashes, slices, small, summed, table, written
 
 #: Members of a block, and columns of a block of the product.
-BLOCK, COLUMNS = 512, 4096
+BLOCK, COLUMNS = 256, 4096
 
 #: A column of at most so many members is multiplied entry by entry, and so many products at a time.
 THIN, PRODUCTS = 16, 1 << 20
@@ -51,13 +52,13 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """A row (doc_id, n_shingles, sig) for each document, where equal sets have equal sig; and, with null doc_id, for each
-    task the counters of its shingles in slices (slice, counts)."""
+    """A row (doc_id, n_shingles, sig) for each document, where equal sets have equal sig; and, without sig, for each task the
+    counters of its shingles in slices (slice, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_shingles", "sig", "slice", "counts"]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-        counts = np.zeros(COUNTERS, np.uint32)
+        counts = np.zeros(COUNTERS, np.float64)
         for batch in slices(batches):
             rows, seen = [], []
             for doc_id, s in doc_sets(batch, n):
@@ -66,7 +67,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 sig = np.r_[np.uint64(len(s)), h.sum(1, dtype=np.uint64), np.bitwise_xor.reduce(mix(h + np.uint64(7)), axis=1)] if len(s) else np.zeros(1, np.uint64)
                 rows.append((doc_id, len(s), sig.tobytes(), None, None))
             if seen:
-                counts += np.bincount((np.concatenate(seen) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                counts += np.bincount((np.concatenate(seen) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds], names)
         step = COUNTERS // SLICES
         rows = [(None, None, None, k, counts[k * step : (k + 1) * step].tobytes()) for k in range(SLICES) if counts.any()]
@@ -78,26 +79,9 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
 
 def frequencies(sets: DataFrame) -> np.ndarray:
     """The counters, as one byte each (a logarithm); of fixed size whatever the input."""
-
-    def add(parts: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(COUNTERS // SLICES, np.uint64)
-        for x in parts["counts"]:
-            total += np.frombuffer(x, np.uint32)
-        return pd.DataFrame({"slice": parts["slice"][:1], "levels": [np.round(4 * np.log2(1 + total.astype(float))).astype(np.uint8).tobytes()]})
-
-    # Summed in two steps, so that a task holds the counters of some hundreds of tasks at most.
-    def part_sum(parts: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(COUNTERS // SLICES, np.uint64)
-        for x in parts["counts"]:
-            total += np.frombuffer(x, np.uint32)
-        return pd.DataFrame({"slice": parts["slice"][:1], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
-
-    rows = sets.where("doc_id is null and slice is not null").select("slice", "counts", (F.rand(1) * 64).cast("int").alias("part"))
-    halves = rows.groupBy("slice", "part").applyInPandas(lambda x: part_sum(x), "slice int, counts binary")
-    out = np.zeros(COUNTERS, np.uint8)
-    for row in halves.groupBy("slice").applyInPandas(add, "slice int, levels binary").collect():  # SLICES rows
-        step = COUNTERS // SLICES
-        out[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(row["levels"], np.uint8)
+    out, step = np.zeros(COUNTERS, np.uint8), COUNTERS // SLICES
+    for row in summed(sets.where("sig is null").select("slice", "counts")).collect():  # SLICES rows
+        out[row["slice"] * step : (row["slice"] + 1) * step] = np.round(4 * np.log2(1 + np.frombuffer(row["counts"], np.float64)))
     return out
 
 
@@ -108,7 +92,8 @@ def needed(a: np.ndarray, b: np.ndarray, share: int, of: int) -> np.ndarray:
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Overlap counts of all pairs of sets: the sparse product of their incidence rows, block by block of columns. Entries of
-    thin columns are multiplied one by one; the others, which most rows share, are multiplied as full blocks."""
+    thin columns are multiplied one by one; the others, which many rows share, are multiplied as full blocks. The diagonal, which
+    no link needs, counts shared columns only."""
     own = left is right
     every = left if own else left + right
     sizes = np.fromiter(map(len, every), np.int64, len(every))
@@ -242,12 +227,13 @@ def _links_of(ids: np.ndarray, sets: list[np.ndarray], hubs: list[np.ndarray], o
     return a[keep], b[keep], c[keep]
 
 
-def links(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100, levels: np.ndarray | None = None) -> DataFrame:
-    """a, b, overlap, similarity, spans of all links between documents of different sets, each pair once with a < b. The
-    links with `spans` alone hold every group of linked documents together."""
+def products(docs: DataFrame, n: int, share: int, of: int, levels: np.ndarray, report, schema: str, weights: DataFrame | None = None) -> DataFrame:
+    """What `report` makes of the links of each two blocks: of places a, b of the linked documents, their overlaps, and the ids,
+    set sizes and weights of all. Documents that `weights` (doc, weight) lacks weigh 1."""
     members = candidates(docs, levels, n, share, of)
     sizes = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     others = members.groupBy("doc").agg(F.collect_set("hub").alias("hubs"))
+    others = others.join(small(weights), "doc", "left") if weights is not None else others.withColumn("weight", F.lit(1).cast("long"))
     blocks = written(members.join(small(written(sizes, "sizes")), "hub").join(others, "doc"), "blocks")
 
     def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,18 +255,43 @@ def links(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100, levels: n
         own = rows["i"].iloc[0] == rows["j"].iloc[0]
         a, b, c = _links_of(ids, sets, before, *([slice(None)] * 2 if own else [slice(0, cut), slice(cut, None)]), share, of)
         size = np.fromiter(map(len, sets), np.int64, len(sets))
-        spans = np.zeros(len(a), bool)
-        number = np.unique(ids, return_inverse=True)[1]
-        spans[tree(len(ids), number[a], number[b])] = True
-        out = pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "overlap": c, "similarity": c / (size[a] + size[b] - c), "spans": spans})
-        # Rows of one doc_id may have several texts.
-        return out.sort_values(["spans", "overlap"], ascending=False).drop_duplicates(["a", "b"]) if len(set(ids.tolist())) < len(ids) else out
+        if len(set(ids.tolist())) < len(ids):  # rows of one doc_id may have several texts; their largest overlap counts
+            order = np.argsort(-c, kind="stable")
+            pair = np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])])[:, order]
+            order = order[np.unique(pair, axis=1, return_index=True)[1]]
+            a, b, c = a[order], b[order], c[order]
+        return report(a, b, c, ids, size, rows["weight"].fillna(1).to_numpy(np.int64))
 
     # Each block with itself and with each later one: a member goes once to each block of its hub.
     k = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     pairs = blocks.withColumn("k", k).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = pairs.select("hub", "doc", "hubs", F.least("k", "other").alias("i"), F.greatest("k", "other").alias("j"), (F.col("k") > F.col("other")).cast("int").alias("side"))
-    return written(with_sets(dealt).groupBy("hub", "i", "j").applyInPandas(product, "a long, b long, overlap long, similarity double, spans boolean"), "links")
+    dealt = pairs.select("hub", "doc", "hubs", "weight", F.least("k", "other").alias("i"), F.greatest("k", "other").alias("j"), (F.col("k") > F.col("other")).cast("int").alias("side"))
+    return written(with_sets(dealt).groupBy("hub", "i", "j").applyInPandas(product, schema), "links")
+
+
+def links(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100, levels: np.ndarray | None = None) -> DataFrame:
+    """a, b, overlap, similarity of all links between documents of different sets, each pair once with a < b."""
+
+    def report(a, b, c, ids, size, _):
+        return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "overlap": c, "similarity": c / (size[a] + size[b] - c)})
+
+    levels = frequencies(signatures(docs, n)) if levels is None else levels
+    return products(docs, n, share, of, levels, report, "a long, b long, overlap long, similarity double")
+
+
+def summary(docs: DataFrame, weights: DataFrame, n: int, share: int, of: int, levels: np.ndarray) -> DataFrame:
+    """What components and numbers of links need of the links, in a row or two for a member of a block, not one for a link: a, b
+    of links that hold the groups of each two blocks together; and a, near: the weight that a document of a block links with."""
+
+    def report(a, b, _, ids, __, weight):
+        own, number = np.unique(ids, return_inverse=True)
+        kept = tree(len(own), number[a], number[b])
+        near = np.bincount(number[a], weight[b], len(own)) + np.bincount(number[b], weight[a], len(own))
+        some = np.flatnonzero(near)
+        ends = pd.DataFrame({"a": ids[a[kept]], "b": pd.array(ids[b[kept]], "Int64"), "near": 0})
+        return pd.concat([ends, pd.DataFrame({"a": own[some], "b": pd.array([None] * len(some), "Int64"), "near": near[some].astype(np.int64)})])
+
+    return products(docs, n, share, of, levels, report, "a long, b long, near long", weights)
 
 
 def join(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100) -> DataFrame:
@@ -291,10 +302,10 @@ def join(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100) -> DataFra
     # Rows without words have the empty set, but do not equal each other.
     classes = written(rows.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class"), F.count_distinct("doc_id").alias("members"), F.count(F.lit(1)).alias("rows")), "classes")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small(classes.select(F.col("class").alias("doc_id"))), "doc_id", "left_semi")
-    found = links(own, n, share, of, frequencies(sets))
-    groups = components(found.where("spans"))
-    ends = found.select("a", "b").union(found.select("b", "a"))
-    times = ends.join(small(classes.groupBy("class").agg(F.max("members").alias("members"))), ends["b"] == F.col("class")).groupBy("a").agg(F.sum("members").alias("near"))
+    copied = written(classes.where("members > 1").groupBy(F.col("class").alias("doc")).agg(F.max("members").alias("weight")), "copied")
+    found = summary(own, copied, n, share, of, frequencies(sets))
+    groups = components(found.where("b is not null").select("a", "b"))
+    times = found.where("b is null").groupBy("a").agg(F.sum("near").alias("near"))
     # A single row without links is all of its component. The others' classes are few, or are joined by sig, where a class of
     # very many rows meets one row, so that Spark's adaptive join may split it.
     named = classes.join(small(written(groups, "groups")), classes["class"] == F.col("doc"), "left").join(small(written(times, "times")), classes["class"] == F.col("a"), "left")
