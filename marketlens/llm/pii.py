@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, batch_words, free_name, mix, slices, small, table, written
+from .common import BROADCAST_ROWS, batch_words, free_name, mix, slices, small, summed, table, written
 
 SUPPORT = 3
 GENERALISE, REMOVE = 0.7, 0.9
@@ -130,25 +130,45 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """term, n_term: in how many different texts each of the terms stands. A text of c rows counts c times in rows of c, so
-    that counts add up in each task before the shuffle."""
+    """term, n_term: in how many different texts each of the terms stands. Each of the c rows of a text counts 1 / c, so that
+    counts add up in each task before the shuffle: in one vector over the terms where these are few."""
     keep = _kept(terms.select("term"))
     digest = F.xxhash64(F.coalesce("text", F.lit("")))
     copies = written(docs.groupBy(digest.alias("digest")).count().where("count > 1"), "copies")
-    rows = docs.select("text", digest.alias("digest")).join(small(copies), "digest", "left").select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("count", F.lit(1)).alias("c"))
+    rows = docs.select("text", digest.alias("digest")).join(small(copies), "digest", "left").select(F.coalesce("text", F.lit("")).alias("text"), (1 / F.coalesce("count", F.lit(1))).alias("share"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def distinct_words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct words of each text, and the text's share beside each."""
+        words, at = batch_words(batch.column("text"), letters=True)
+        own = [np.unique(words[a:b]).view(np.int64) for a, b in zip(at, at[1:], strict=False)]
+        return np.concatenate([np.zeros(0, np.int64), *own]), np.repeat(batch.column("share").to_numpy(), [len(x) for x in own])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words, shares = distinct_words(batch)
+            own, at = np.unique(words, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.bincount(at, shares, len(own)))], ["term", "share"])
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = keep.value[0]
+        total = np.zeros(len(known), np.float64)
         for batch in slices(batches):
-            words, at = batch_words(batch.column("text"), letters=True)
-            own = [np.unique(words[a:b]).view(np.int64) for a, b in zip(at, at[1:], strict=False)]
-            pairs = np.stack([np.concatenate([np.zeros(0, np.int64), *own]), np.repeat(batch.column("c").to_numpy(), [len(x) for x in own])])
-            if keep is not None:
-                pairs = pairs[:, np.isin(pairs[0], keep.value[0])]
-            pairs, times = np.unique(pairs, axis=1, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs[0], pairs[1], times.astype(np.int64))], ["term", "c", "times"])
-
-    found = rows.mapInArrow(run, "term long, c long, times long").groupBy("term", "c").agg(F.sum("times").alias("times"))
-    return found.groupBy("term").agg(F.sum(F.expr("times div c")).alias("n_term"))
+            words, shares = distinct_words(batch)
+            at = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
+            hit = known[at] == words if len(known) else np.zeros(len(words), bool)
+            total += np.bincount(at[hit], shares[hit], len(known))
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("counts").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(keep.value[0]), pa.array(np.frombuffer(raw, np.float64))], ["term", "share"])
+
+    if keep is None:
+        found = rows.mapInArrow(each, "term long, share double").groupBy("term").agg(F.sum("share").alias("share"))
+    else:
+        found = summed(rows.mapInArrow(vectors, "slice int, counts binary")).mapInArrow(unpacked, "term long, share double")
+    return found.select("term", F.round("share").cast("long").alias("n_term")).where("n_term > 0")
 
 
 def _kept(terms: DataFrame):
