@@ -58,6 +58,26 @@ def tick_time(tick: Column, seconds: int) -> Column:
     return F.timestamp_seconds(tick * seconds).cast("timestamp_ntz")
 
 
+def open_status(status: Column, seed: Column) -> Column:
+    """Whether a market counts as open: no status of the log or the catalog says otherwise."""
+    known = falsy_coalesce(status, seed)
+    return known.isNull() | (known == "active")
+
+
+def day_start(now: Column) -> Column:
+    return F.date_trunc("day", now).cast("timestamp_ntz")
+
+
+def in_hours(ts: Column, first: int, last: int) -> Column:
+    """first <= hour of day < last."""
+    return (F.hour(ts) >= first) & (F.hour(ts) < last)
+
+
+def retention_cutoff(now: Column, interval_seconds: int, cycles: int) -> Column:
+    """A window of `cycles` intervals and one more."""
+    return F.timestamp_micros(F.unix_micros(now.cast("timestamp")) - (cycles + 1) * interval_seconds * 1_000_000).cast("timestamp_ntz")
+
+
 def pair(a: Column, b: Column) -> tuple[Column, Column]:
     return F.least(a, b), F.greatest(a, b)
 
@@ -95,8 +115,32 @@ def clamp_unit(x: Column) -> Column:
 
 
 def strip_fence(text: Column) -> Column:
-    """Without a Markdown code fence around it."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), r"^```[A-Za-z]*\s*", ""), r"\s*```$", ""))
+    """Without a Markdown code fence around it: its first line, and its end if the text ends with it."""
+    plain = F.trim(text)
+    inner = F.trim(F.regexp_replace(F.regexp_replace(plain, r"^[^\n]*\n", ""), r"^json", ""))
+    return F.when(F.startswith(plain, F.lit("```")), F.trim(F.regexp_replace(inner, "```$", ""))).otherwise(plain)
+
+
+def one_object(text: Column) -> Column:
+    """A variant of a text that is one JSON object and nothing else; null otherwise. The parser ignores what follows a complete
+    value, so the text is parsed as the only item of a list and as a field before another one: what follows the object
+    would have to be right in both places."""
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    field = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(',"end":1}')))
+    whole = F.startswith(text, F.lit("{")) & (F.size(listed) == 1) & (F.try_variant_get(field, "$.end", "int") == 1)
+    return F.when(whole, F.get(listed, F.lit(0)))
+
+
+def truthy(doc: Column, *paths: str) -> Column:
+    """The text of the first path of a variant whose value is neither null nor empty nor the number 0 nor false."""
+
+    def one(path: str) -> Column:
+        value, text = F.try_variant_get(doc, path, "variant"), F.try_variant_get(doc, path, "string")
+        number = F.schema_of_variant(value) != "STRING"
+        empty = (text == "") | (number & ((text == "false") | F.coalesce(text.try_cast("double") == 0, F.lit(False))))
+        return F.when(~empty, text)
+
+    return F.coalesce(*map(one, paths))
 
 
 def remaining_life(closes: Column, now: Column) -> Column:

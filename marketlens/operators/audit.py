@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import audit_verdict
+from ..functions.scalars import audit_verdict, shard
 from ..params import DEFAULT, MICRO, Params
 
 
@@ -28,3 +28,14 @@ def audit(markets: DataFrame, book: DataFrame, other: DataFrame, p: Params = DEF
 
 def resets(audited: DataFrame) -> DataFrame:
     return audited.where("action_taken = 'book_reset'").select("market_id")
+
+
+def audit_rows(audited: DataFrame, at) -> DataFrame:
+    """Rows to append to audit_results, in order of the markets."""
+    details = F.to_json(F.struct("levels_diff_count", "max_size_delta_pct"))
+    return audited.select(at.cast("timestamp_ntz").alias("ts"), "market_id", "status", "levels_diff_count", "max_size_delta_pct", "action_taken", details.alias("details_json")).orderBy("market_id")
+
+
+def routed_resets(reset: DataFrame, markets: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """shard, market_id of the markets to subscribe anew, by their series; unknown markets are dropped."""
+    return reset.select("market_id").distinct().join(markets.select("market_id", shard(F.col("series_ticker"), p).alias("shard")), "market_id").select("shard", "market_id")

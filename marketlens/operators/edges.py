@@ -9,45 +9,50 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clamp_unit, strip_fence, tier
+from ..functions.scalars import clamp_unit, one_object, strip_fence, tier
 from ..params import DEFAULT, DIRECTIONS, RELATIONS, Params
 
-_OBJECT = r"(?s)^\{.*\}$"
+def _parsed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_v", one_object(strip_fence(F.col("content"))))
 
 
-def _parsed(content: Column) -> Column:
-    """A variant of the completion, null unless it is one JSON object without prose after it."""
-    body = strip_fence(content)
-    # The lenient parser accepts text after a complete value; such a text is no object once its last brace closes nothing.
-    return F.when(F.rlike(body, F.lit(_OBJECT)) & F.from_json(body, "map<string,string>", {"mode": "PERMISSIVE"}).isNotNull(), F.try_parse_json(body))
+def _said(path: str) -> Column:
+    """A value as text; JSON's null is the text None, a missing one is null."""
+    value = F.try_variant_get(F.col("_v"), path, "variant")
+    return F.when(F.is_variant_null(value), "None").otherwise(F.try_variant_get(F.col("_v"), path, "string"))
 
 
 def parse_classification(rows: DataFrame) -> DataFrame:
-    """The columns with relationship_type, direction, confidence, rationale and error (null where the completion is valid)."""
+    """The columns with relationship_type, direction, confidence, rationale and error (null where the completion is valid).
+    Names must be exact but for white space around them."""
     v = F.col("_v")
-    get = lambda path: F.try_variant_get(v, path, "string")
-    kind = F.lower(F.trim(get("$.relationship_type")))
-    way = F.coalesce(F.nullif(F.lower(F.trim(get("$.direction"))), F.lit("")), F.lit("none"))
-    confidence = clamp_unit(F.try_variant_get(v, "$.confidence", "string").try_cast("double"))
+    kind = F.trim(_said("$.relationship_type"))
+    way = F.coalesce(F.nullif(F.trim(_said("$.direction")), F.lit("")), F.lit("none"))
+    sure = F.try_variant_get(v, "$.confidence", "string")
+    confidence = clamp_unit(F.when(sure == "true", 1.0).when(sure == "false", 0.0).otherwise(sure.try_cast("double")))
     error = F.when(v.isNull(), "not an object").when(~F.coalesce(kind.isin(*RELATIONS), F.lit(False)), "relation").when(~way.isin(*DIRECTIONS), "direction").when(confidence.isNull(), "confidence")
-    out = rows.withColumn("_v", _parsed(F.col("content"))).withColumn("error", error)
+    out = _parsed(rows).withColumn("error", error)
     ok = F.col("error").isNull()
-    return out.select(*rows.columns, F.when(ok, kind).alias("relationship_type"), F.when(ok, way).alias("direction"), F.when(ok, confidence).alias("confidence"), F.when(ok, F.coalesce(get("$.rationale"), F.lit(""))).alias("rationale"), "error")
+    return out.select(*rows.columns, F.when(ok, kind).alias("relationship_type"), F.when(ok, way).alias("direction"), F.when(ok, confidence).alias("confidence"), F.when(ok, F.coalesce(_said("$.rationale"), F.lit(""))).alias("rationale"), "error")
 
 
 def parse_semantics(rows: DataFrame) -> DataFrame:
-    """The columns with the four texts, entities, dependencies (arrays of trimmed non-empty strings) and error."""
+    """The columns with the four texts, which must be there, entities, dependencies (arrays of trimmed non-empty strings; a
+    missing one is empty, one that is no array an error) and error."""
     v = F.col("_v")
-    names = ("underlying_event", "resolves_yes_when", "resolves_no_when", "resolution_timing")
-    texts = {n: F.try_variant_get(v, f"$.{n}", "string") for n in names}
-    arrays = {n: F.try_variant_get(v, f"$.{n}", "array<string>") for n in ("entities", "dependencies")}
+    texts = {n: _said(f"$.{n}") for n in ("underlying_event", "resolves_yes_when", "resolves_no_when", "resolution_timing")}
+    none = F.array().cast("array<string>")
     error = F.when(v.isNull(), "not an object")
+    arrays = {}
+    for n in ("entities", "dependencies"):
+        value = F.try_variant_get(v, f"$.{n}", "variant")
+        arrays[n] = F.when(value.isNull() | F.is_variant_null(value), none).otherwise(F.try_variant_get(v, f"$.{n}", "array<string>"))
     for n, c in (texts | arrays).items():
         error = F.coalesce(error, F.when(c.isNull(), n))
-    out = rows.withColumn("_v", _parsed(F.col("content"))).withColumn("error", error)
+    out = _parsed(rows).withColumn("error", error)
     ok = F.col("error").isNull()
-    clean = lambda a: F.filter(F.transform(a, F.trim), lambda x: x != "")
-    return out.select(*rows.columns, *(F.when(ok, F.trim(c)).alias(n) for n, c in texts.items()), *(F.when(ok, clean(c)).alias(n) for n, c in arrays.items()), "error")
+    clean = lambda a: F.filter(F.transform(a, lambda x: F.trim(x)), lambda x: x != "")
+    return out.select(*rows.columns, *(F.when(ok, c).alias(n) for n, c in texts.items()), *(F.when(ok, clean(c)).alias(n) for n, c in arrays.items()), "error")
 
 
 def trust(primary: DataFrame, verify: DataFrame, live: DataFrame | None = None, p: Params = DEFAULT) -> DataFrame:

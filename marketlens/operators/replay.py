@@ -1,8 +1,10 @@
 """Order books from the event log, as window functions.
 
-An epoch of a market begins with each snapshot. Within it a delta counts unless both sequences are known and its own does
-not exceed the largest before. A level's size is a running sum clamped at zero, which is the sum minus its running minimum
-below zero. All windows stand on prefixes of one sort order, so the log is shuffled by market once. Everything is integer.
+An epoch of a market begins with each snapshot, and with each reset from outside, which leaves the book empty until the next
+snapshot. Within an epoch a delta counts unless both sequences are known and its own does not exceed the largest before. A
+level's size is a running sum clamped at zero, which is the sum minus its running minimum below zero. Everything is integer.
+Windows over the log stand on prefixes of one sort order. `accepted` is what the other operators read; where several do, write
+it first.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import dollars, in_band, strong_status, tick_before, tick_time
+from ..functions.scalars import dollars, in_band, open_status, strong_status, tick_before, tick_time, to_micro
 from ..params import DEFAULT, MICRO, Params
 
 _TIME = ("received_ts", "ingest_seq")
@@ -18,38 +20,82 @@ _BEFORE = (Window.unboundedPreceding, -1)
 _SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
+def with_resets(events: DataFrame, resets: DataFrame) -> DataFrame:
+    """Decoded events with a reset for each row of `resets` (market_id, received_ts), after the events received until then."""
+    rows = resets.select("market_id", "received_ts", F.lit((1 << 63) - 1).alias("ingest_seq"), F.lit("book_reset").alias("event_type"))
+    return events.unionByName(rows, allowMissingColumns=True)
+
+
+def of_active(events: DataFrame, active: DataFrame) -> DataFrame:
+    """The events of the active markets."""
+    return events.join(active.select("market_id").distinct(), "market_id", "left_semi")
+
+
 def accepted(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Decoded events with epoch, accepted (a delta that counts for the sequence) and applied (it changes a level)."""
+    """Decoded events with epoch, ended (when the next epoch begins), accepted (a delta that counts for the sequence), applied
+    (it changes a level) and floor (the largest sequence of the epoch before the row)."""
     market = Window.partitionBy("market_id").orderBy(*_TIME)
     in_epoch = Window.partitionBy("market_id", "epoch").orderBy(*_TIME)
     is_snapshot, is_delta = F.col("event_type") == "orderbook_snapshot", F.col("event_type") == "orderbook_delta"
-    rows = events.withColumn("epoch", F.sum(is_snapshot.cast("int")).over(market.rowsBetween(*_SO_FAR)))
+    begins = is_snapshot | (F.col("event_type") == "book_reset")
+    rows = events.withColumn("epoch", F.sum(begins.cast("int")).over(market.rowsBetween(*_SO_FAR)))
+    rows = rows.withColumn("anchored", F.coalesce(F.last(F.when(begins, is_snapshot), ignorenulls=True).over(market.rowsBetween(*_SO_FAR)), F.lit(False)))
+    rows = rows.withColumn("ended", F.first(F.when(begins, F.col("received_ts")), ignorenulls=True).over(market.rowsBetween(1, Window.unboundedFollowing)))
     rows = rows.withColumn("floor", F.max(F.when(is_snapshot | is_delta, F.col("sequence"))).over(in_epoch.rowsBetween(*_BEFORE)))
     fits = F.col("sequence").isNull() | F.col("floor").isNull() | (F.col("sequence") > F.col("floor"))
-    rows = rows.withColumn("accepted", is_delta & (F.col("epoch") > 0) & fits)
+    rows = rows.withColumn("accepted", is_delta & F.col("anchored") & fits)
     well = F.col("side").isin("yes", "no") & F.col("delta").isNotNull() & in_band(F.col("price"), p)
     return rows.withColumn("applied", F.col("accepted") & F.coalesce(well, F.lit(False)))
 
 
 def level_changes(rows: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """market_id, epoch, side, price, received_ts, ingest_seq, size of each change of a level; size 0 is no level."""
-    keep = lambda side: F.filter(F.transform(side, lambda x, i: F.struct(x["price"].alias("price"), x["size"].alias("size"), i.alias("at"))), lambda x: in_band(x["price"], p) & (x["size"] > 0))
-    # Of several entries for a price in one snapshot the last counts.
-    last = lambda side: F.filter(keep(side), lambda x: ~F.exists(keep(side), lambda y: (y["price"] == x["price"]) & (y["at"] > x["at"])))
-    tagged = lambda side: F.transform(last(F.col(side)), lambda x: F.struct(F.lit(side).alias("side"), x["price"].alias("price"), x["size"].alias("qty")))
+    """market_id, epoch, ended, side, price, received_ts, ingest_seq, size of each change of a level; size 0 is no level."""
+    # Of several entries for a price in one snapshot the last counts: sorted by price and place, that before another price.
+    kept = lambda side: F.array_sort(F.filter(F.transform(side, lambda x, i: F.struct(x["price"].alias("price"), i.alias("at"), x["size"].alias("size"))), lambda x: in_band(x["price"], p) & (x["size"] > 0)))
+    last = lambda x: F.filter(F.zip_with(x, F.slice(x, 2, F.size(x)), lambda a, b: F.when(~a["price"].eqNullSafe(b["price"]), a)), lambda a: a.isNotNull())
+    sides = rows.withColumns({"_yes": kept("yes"), "_no": kept("no")})
+    tagged = lambda side: F.transform(last(F.col(f"_{side}")), lambda x: F.struct(F.lit(side).alias("side"), x["price"].alias("price"), x["size"].alias("qty")))
     one = F.array(F.struct(F.col("side").alias("side"), F.col("price").alias("price"), F.col("delta").alias("qty")))
     changes = F.when(F.col("event_type") == "orderbook_snapshot", F.concat(tagged("yes"), tagged("no"))).when(F.col("applied"), one)
-    each = rows.select("market_id", "epoch", *_TIME, F.explode(changes).alias("c")).select("market_id", "epoch", *_TIME, "c.*")
+    each = sides.select("market_id", "epoch", "ended", *_TIME, F.explode(changes).alias("c")).select("market_id", "epoch", "ended", *_TIME, "c.*")
     level = Window.partitionBy("market_id", "epoch", "side", "price").orderBy(*_TIME)
     each = each.withColumn("s", F.sum("qty").over(level.rowsBetween(*_SO_FAR)))
     each = each.withColumn("m", F.min(F.least(F.col("s"), F.lit(0))).over(level.rowsBetween(*_SO_FAR)))
-    return each.select("market_id", "epoch", "side", "price", *_TIME, (F.col("s") - F.col("m")).alias("size"), F.lead("received_ts").over(level).alias("next_ts"))
+    return each.select("market_id", "epoch", "ended", "side", "price", *_TIME, (F.col("s") - F.col("m")).alias("size"), F.lead("received_ts").over(level).alias("next_ts"))
 
 
 def last_levels(changes: DataFrame) -> DataFrame:
     """The levels of each market's newest epoch: market_id, side, price, size."""
-    newest = Window.partitionBy("market_id")
-    return changes.withColumn("top", F.max("epoch").over(newest)).where("epoch = top and next_ts is null and size > 0").select("market_id", "side", "price", "size")
+    return changes.where("ended is null and next_ts is null and size > 0").select("market_id", "side", "price", "size")
+
+
+# ---- checkpoints
+
+
+def checkpoint(rows: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The book_state table of accepted events: market_id, last_sequence, last_ts, serialized_book (JSON of price to size in
+    dollars and contracts for each side, and whether the book is anchored, which an empty one may be)."""
+    books = last_levels(level_changes(rows, p)).groupBy("market_id")
+    side = lambda s: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct(dollars(F.col("price")).cast("string").alias("p"), dollars(F.col("size")).alias("n"))))))
+    levels = books.agg(side("yes").alias("yes"), side("no").alias("no"))
+    new = F.col("ended").isNull()
+    facts = rows.groupBy("market_id").agg(F.max("received_ts").alias("last_ts"), F.bool_or(new & F.col("anchored")).alias("anchored"), F.max(F.when(new & F.col("anchored") & F.col("event_type").isin("orderbook_snapshot", "orderbook_delta"), F.col("sequence"))).alias("last_sequence"))
+    none = F.create_map().cast("map<string,double>")
+    book = F.to_json(F.struct(F.coalesce("yes", none).alias("yes"), F.coalesce("no", none).alias("no"), "anchored"))
+    return facts.join(levels, "market_id", "left").select("market_id", "last_sequence", "last_ts", book.alias("serialized_book"))
+
+
+def resumed(state: DataFrame, events: DataFrame) -> DataFrame:
+    """Decoded events that continue a checkpoint: for each anchored book of it a snapshot at its time, and the events received
+    after that. Markets without a checkpoint have all their events."""
+    kind = "struct<yes:map<string,double>,no:map<string,double>,anchored:boolean>"
+    entry = lambda e: F.struct(to_micro(e["key"]).alias("price"), to_micro(e["value"].cast("decimal(30,9)").cast("string")).alias("size"))
+    side = lambda s: F.transform(F.map_entries(F.col(f"b.{s}")), entry).cast("array<struct<price bigint, size bigint>>").alias(s)
+    books = state.withColumn("b", F.from_json("serialized_book", kind)).where("b.anchored")
+    books = books.select("market_id", F.col("last_ts").alias("received_ts"), F.lit(-1).cast("long").alias("ingest_seq"), F.lit("orderbook_snapshot").alias("event_type"), F.col("last_sequence").alias("sequence"), side("yes"), side("no"))
+    floors = state.select("market_id", F.col("last_ts").alias("_floor"))
+    later = events.join(floors, "market_id", "left").where("_floor is null or received_ts > _floor").drop("_floor")
+    return later.unionByName(books, allowMissingColumns=True)
 
 
 def tops(levels: DataFrame, keys: list[str], p: Params = DEFAULT) -> DataFrame:
@@ -72,26 +118,27 @@ def tops(levels: DataFrame, keys: list[str], p: Params = DEFAULT) -> DataFrame:
 
 
 def book_cells(rows: DataFrame, end: Column, p: Params = DEFAULT) -> DataFrame:
-    """Books at each tick at which a market has levels, with `crossed` and without the ticks after an epoch's first
-    crossed one. A tick sees what was received strictly before it."""
+    """Books of accepted events at the ticks at which they change: market_id, epoch, tick, until (the last tick that sees the
+    same book), the columns of `tops`, and crossed. An epoch ends with its first crossed tick. A tick sees what was received
+    strictly before it. Levels meet only the ticks of their epoch at which some level changes, however fine the grid is."""
     step = p.interval_seconds
-    changes = level_changes(rows, p)
-    begins = Window.partitionBy("market_id").orderBy("epoch")
-    epochs = rows.where("event_type = 'orderbook_snapshot'").select("market_id", "epoch", F.col("received_ts").alias("began"))
-    epochs = epochs.withColumn("ended", F.lead("began").over(begins)).select("market_id", "epoch", "ended")
-    spans = changes.where("size > 0").join(epochs, ["market_id", "epoch"])
-    first, last = tick_before(F.col("received_ts"), step) + 1, tick_before(F.coalesce("next_ts", "ended", end), step)
-    cells = spans.where(last >= first).select("market_id", "epoch", "side", "price", "size", F.explode(F.sequence(first, last)).alias("tick"))
-    books = tops(cells, ["market_id", "epoch", "tick"], p).withColumn("crossed", F.coalesce(F.col("bid") > F.col("ask"), F.lit(False)))
-    epoch = Window.partitionBy("market_id", "epoch")
-    return books.withColumn("reset", F.min(F.when(F.col("crossed"), F.col("tick"))).over(epoch)).where("reset is null or tick <= reset")
-
-
-def grid(events: DataFrame, end: Column, status: DataFrame | None = None, p: Params = DEFAULT) -> DataFrame:
-    """A row for each market and tick from its first event to `end`: top of book, depths, volume of the interval, last trade
-    price, status (of the log, else of the catalog rows market_id, status). `events` are decoded."""
+    changes = level_changes(rows, p).withColumn("final", tick_before(F.coalesce("ended", end), step)).withColumn("tick", tick_before(F.col("received_ts"), step) + 1)
+    in_epoch = Window.partitionBy("market_id", "epoch").orderBy("tick")
+    ticks = changes.where("tick <= final").select("market_id", "epoch", "final", "tick").distinct()
+    ticks = ticks.withColumn("until", F.coalesce(F.lead("tick").over(in_epoch) - 1, "final")).drop("final")
+    last = F.coalesce(tick_before(F.col("next_ts"), step), F.col("final"))
+    spans = changes.where("size > 0").select("market_id", "epoch", "side", "price", "size", F.col("tick").alias("first"), last.alias("last")).where("last >= first")
+    cells = spans.join(ticks, ["market_id", "epoch"]).where("tick between first and last")
+    books = tops(cells, ["market_id", "epoch", "tick", "until"], p).withColumn("crossed", F.coalesce(F.col("bid") > F.col("ask"), F.lit(False)))
+    books = books.withColumn("reset", F.min(F.when(F.col("crossed"), F.col("tick"))).over(Window.partitionBy("market_id", "epoch"))).where("reset is null or tick <= reset")
+    return books.withColumn("until", F.when(F.col("crossed"), F.col("tick")).otherwise(F.col("until"))).drop("reset")
+
+
+def grid(rows: DataFrame, end: Column, active: DataFrame | None = None, begin: Column | None = None, p: Params = DEFAULT) -> DataFrame:
+    """A row for each market and tick to `end`: top of book, depths, volume of the interval, last trade price, status. `rows` are
+    accepted events, of which several parts of the plan read. Markets begin with their first event; with `active` (market_id,
+    status) only its markets have rows, each of them from `begin` on, with the catalog's status until the log tells one."""
     step = p.interval_seconds
-    rows = accepted(events, p)
     by_tick = rows.withColumn("tick", tick_before(F.col("received_ts"), step) + 1)
     strong = strong_status(F.col("lifecycle"), F.col("deactivated"))
     order = F.struct("received_ts", "ingest_seq")
@@ -100,33 +147,44 @@ def grid(events: DataFrame, end: Column, status: DataFrame | None = None, p: Par
         F.max_by(F.when(F.col("trade_price").isNotNull(), F.col("trade_price")), F.when(F.col("trade_price").isNotNull(), order)).alias("traded"),
         F.max_by(strong, F.when(strong.isNotNull(), order)).alias("strong"),
         F.bool_or(F.col("lifecycle") == "created").alias("created"),
+        F.max("received_ts").alias("seen"),
     )
     final = tick_before(end, step)
-    ticks = by_tick.groupBy("market_id").agg(F.min("tick").alias("t")).where(F.col("t") <= final).select("market_id", F.explode(F.sequence(F.col("t"), final)).alias("tick"))
-    so_far = Window.partitionBy("market_id").orderBy("tick").rowsBetween(*_SO_FAR)
-    lined = ticks.join(facts, ["market_id", "tick"], "left").join(book_cells(rows, end, p).drop("epoch", "reset"), ["market_id", "tick"], "left")
-    if status is None:
-        lined = lined.withColumn("seed", F.lit(None).cast("string"))
+    if active is None:
+        starts = by_tick.groupBy("market_id").agg(F.min("tick").alias("t")).withColumn("seed", F.lit(None).cast("string"))
     else:
-        lined = lined.join(status.select("market_id", F.col("status").alias("seed")), "market_id", "left")
+        starts = active.groupBy("market_id").agg(F.max("status").alias("seed")).withColumn("t", tick_before(begin, step))
+    ticks = starts.where(F.col("t") <= final).select("market_id", "seed", F.explode(F.sequence(F.col("t"), final)).alias("tick"))
+    so_far = Window.partitionBy("market_id").orderBy("tick").rowsBetween(*_SO_FAR)
+    book = book_cells(rows, end, p)
+    book = book.select("market_id", "tick", F.struct("until", "bid", "ask", "bid_value", "ask_value", "bid_levels", "ask_levels", "crossed").alias("book"))
+    lined = ticks.join(facts, ["market_id", "tick"], "left").join(book, ["market_id", "tick"], "left")
+    lined = lined.withColumn("book", F.last("book", ignorenulls=True).over(so_far)).withColumn("book", F.when(F.col("book.until") >= F.col("tick"), F.col("book")))
     kept = F.last("strong", ignorenulls=True).over(so_far)
     made = F.when(F.coalesce(F.max("created").over(so_far), F.lit(False)), "active")
     return lined.select(
         tick_time(F.col("tick"), step).alias("ts"),
         "market_id",
-        F.col("bid").cast("bigint").alias("bid_micro"),
-        F.col("ask").cast("bigint").alias("ask_micro"),
-        F.coalesce("bid_value", F.lit(0)).cast("decimal(38,0)").alias("bid_value"),
-        F.coalesce("ask_value", F.lit(0)).cast("decimal(38,0)").alias("ask_value"),
-        F.coalesce("bid_levels", F.lit(0)).alias("bid_levels"),
-        F.coalesce("ask_levels", F.lit(0)).alias("ask_levels"),
+        F.col("book.bid").cast("bigint").alias("bid_micro"),
+        F.col("book.ask").cast("bigint").alias("ask_micro"),
+        F.coalesce("book.bid_value", F.lit(0)).cast("decimal(38,0)").alias("bid_value"),
+        F.coalesce("book.ask_value", F.lit(0)).cast("decimal(38,0)").alias("ask_value"),
+        F.coalesce("book.bid_levels", F.lit(0)).alias("bid_levels"),
+        F.coalesce("book.ask_levels", F.lit(0)).alias("ask_levels"),
         F.coalesce("volume", F.lit(0)).cast("bigint").alias("volume_micro"),
         F.last("traded", ignorenulls=True).over(so_far).alias("last_trade_micro"),
         F.coalesce(kept, F.col("seed"), made).alias("status"),
-        F.coalesce("crossed", F.lit(False)).alias("crossed"),
+        F.coalesce("book.crossed", F.lit(False)).alias("crossed"),
+        F.max("seen").over(so_far).alias("seen_ts"),
     )
 
 
+def stale_counts(cells: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """ts, stale: how many open markets of the grid had no event for the stale limit at each tick."""
+    idle = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("seen_ts").cast("timestamp"))) > p.stale_seconds * 1_000_000
+    return cells.groupBy("ts").agg(F.count_if(idle & open_status(F.col("status"), F.lit(None).cast("string"))).alias("stale"))
+
+
 def snapshots(cells: DataFrame, platform: str = DEFAULT.platform) -> DataFrame:
     """Grid rows in dollars and contracts, as the snapshots table has them."""
     mid = F.when(F.col("bid_micro").isNotNull() & F.col("ask_micro").isNotNull(), F.round((F.col("bid_micro") + F.col("ask_micro")) / 2 / MICRO, 6))

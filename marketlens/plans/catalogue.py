@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import floor_to, strong_status
-from ..operators import audit, discovery, edges, normalize, pairs, replay, retention, tables
-from ..params import RELATIONS, Params
-from ..sources.adapters import NOW, catalog, markets, raw_events
-
+from ..functions.scalars import best_volume, floor_to, strong_status
+from ..operators import audit, discovery, edges, extraction, normalize, pairs, replay, retention, tables
+from ..params import DEFAULT, RELATIONS, Params
+from ..sources.adapters import NOW, catalog, catalog_docs, markets, raw_events
+from ..sources.stage import staged
+
+#: The whole grid is registered by the hour, so that its rows can be compared; what the grid of the default minute gives is
+#: registered as resets and as sums by market.
 HOURLY = Params(interval_seconds=3600)
 END = f"TIMESTAMP '{NOW}'"
 QUERIES: dict = {}
@@ -34,6 +37,11 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.decoded(raw_events(spark, sf_dir))
 
 
+def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accepted events, written once for the parts of a plan that read them."""
+    return staged(replay.accepted(log(spark, sf_dir)), "accepted")
+
+
 # ---- SQL parts
 
 _E0 = "e0 AS (SELECT event_id, ts, user_id, event_type AS kind, CAST(round(value * 100) AS BIGINT) AS q, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events)"
@@ -45,22 +53,40 @@ ev AS (SELECT ts AS received_ts, event_id AS ingest_seq, 'M' || lpad(CAST(user_i
   CASE WHEN event_id % 3 = 0 THEN -q ELSE q END AS dqty,
   CASE k % 6 WHEN 0 THEN 'activated' WHEN 1 THEN 'created' WHEN 2 THEN 'deactivated' WHEN 3 THEN 'determined' WHEN 4 THEN 'settled' ELSE 'close_date_updated' END AS life
   FROM e0)"""
-_ACC = f"""{_EV},
-ep AS (SELECT *, count(*) FILTER (event_type = 'orderbook_snapshot') OVER (PARTITION BY market_id ORDER BY received_ts, ingest_seq) AS epoch FROM ev),
+_BOUND = "event_type IN ('orderbook_snapshot', 'book_reset')"
+
+
+def _acc(ev: str) -> str:
+    return f"""{ev},
+ep AS (SELECT *, count(*) FILTER ({_BOUND}) OVER w AS epoch, coalesce(last_value(CASE WHEN {_BOUND} THEN event_type END IGNORE NULLS) OVER w, '') = 'orderbook_snapshot' AS anchored FROM ev
+  WINDOW w AS (PARTITION BY market_id ORDER BY received_ts, ingest_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 ac AS (SELECT *, max(CASE WHEN event_type IN ('orderbook_snapshot', 'orderbook_delta') THEN sequence END) OVER (PARTITION BY market_id, epoch ORDER BY received_ts, ingest_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS fl FROM ep),
-ok AS (SELECT *, event_type = 'orderbook_delta' AND epoch > 0 AND (sequence IS NULL OR fl IS NULL OR sequence > fl) AS accepted FROM ac)"""
-_LV = f"""{_ACC},
+ok AS (SELECT *, event_type = 'orderbook_delta' AND anchored AND (sequence IS NULL OR fl IS NULL OR sequence > fl) AS accepted FROM ac)"""
+
+
+def _lv(ev: str) -> str:
+    return f"""{_acc(ev)},
 seed AS (SELECT market_id, epoch, received_ts, ingest_seq, unnest([
   {{'side': 'yes', 'price': b, 'qty': q}}, {{'side': 'yes', 'price': b - 1, 'qty': q + 100}}, {{'side': 'yes', 'price': b - 2, 'qty': q + 200}}, {{'side': 'yes', 'price': b - 5, 'qty': q + 300}},
   {{'side': 'no', 'price': 98 - b, 'qty': q}}, {{'side': 'no', 'price': 97 - b, 'qty': q + 50}}, {{'side': 'no', 'price': 95 - b, 'qty': q + 75}}]) AS c FROM ok WHERE event_type = 'orderbook_snapshot'),
 ch AS (SELECT market_id, epoch, received_ts, ingest_seq, c.side AS side, c.price AS price, c.qty AS qty FROM seed WHERE c.qty > 0 AND c.price BETWEEN 1 AND 99
   UNION ALL SELECT market_id, epoch, received_ts, ingest_seq, dside, dprice, dqty FROM ok WHERE accepted AND dprice BETWEEN 1 AND 99),
 su AS (SELECT *, sum(qty) OVER w AS s FROM ch WINDOW w AS (PARTITION BY market_id, epoch, side, price ORDER BY received_ts, ingest_seq)),
-lv AS (SELECT *, s - min(least(s, 0)) OVER w AS size, lead(received_ts) OVER w AS next_ts FROM su WINDOW w AS (PARTITION BY market_id, epoch, side, price ORDER BY received_ts, ingest_seq))"""
-_T = "epoch_us({0}) // 3600000000"
-_GRID = f"""{_LV},
-sn AS (SELECT market_id, epoch, lead(received_ts) OVER (PARTITION BY market_id ORDER BY epoch) AS ended FROM ok WHERE event_type = 'orderbook_snapshot'),
-sp AS (SELECT lv.*, {_T.format("lv.received_ts")} + 1 AS t0, {_T.format(f"coalesce(next_ts, ended, {END})")} AS t1 FROM lv JOIN sn USING (market_id, epoch) WHERE size > 0),
+lv AS (SELECT *, s - min(least(s, 0)) OVER w AS size, lead(received_ts) OVER w AS next_ts FROM su WINDOW w AS (PARTITION BY market_id, epoch, side, price ORDER BY received_ts, ingest_seq)),
+mx AS (SELECT market_id, max(epoch) AS epoch FROM ok GROUP BY 1),
+fi AS (SELECT lv.market_id, side, price, size FROM lv JOIN mx ON lv.market_id = mx.market_id AND lv.epoch = mx.epoch WHERE next_ts IS NULL AND size > 0)"""
+
+
+def _t(ts: str, step: int) -> str:
+    return f"epoch_us({ts}) // {step * 1_000_000}"
+
+
+def _grid(ev: str, step: int = 3600, ticks: str | None = None) -> str:
+    """The grid by cells of each level and tick. ticks: market_id, seed, tick; else from each market's first event."""
+    own = ticks or f"SELECT market_id, NULL AS seed, unnest(range(min(tick), {_t(END, step)} + 1)) AS tick FROM ft GROUP BY market_id"
+    return f"""{_lv(ev)},
+sn AS (SELECT market_id, epoch, lead(received_ts) OVER (PARTITION BY market_id ORDER BY epoch) AS ended FROM ok WHERE {_BOUND}),
+sp AS (SELECT lv.*, {_t("lv.received_ts", step)} + 1 AS t0, {_t(f"coalesce(next_ts, ended, {END})", step)} AS t1 FROM lv JOIN sn USING (market_id, epoch) WHERE size > 0),
 ce AS (SELECT market_id, epoch, side, price, size, unnest(range(t0, t1 + 1)) AS tick FROM sp WHERE t1 >= t0),
 be AS (SELECT market_id, epoch, tick, max(price) FILTER (side = 'yes') AS y, max(price) FILTER (side = 'no') AS n FROM ce GROUP BY ALL),
 bk AS (SELECT market_id, epoch, tick, y, n,
@@ -68,25 +94,33 @@ bk AS (SELECT market_id, epoch, tick, y, n,
   count(*) FILTER (side = 'yes' AND price >= y - 3) AS bl, count(*) FILTER (side = 'no' AND price >= n - 3) AS al FROM ce JOIN be USING (market_id, epoch, tick) GROUP BY ALL),
 rs AS (SELECT *, min(CASE WHEN y > 100 - n THEN tick END) OVER (PARTITION BY market_id, epoch) AS reset FROM bk),
 bs AS (SELECT * FROM rs WHERE reset IS NULL OR tick <= reset),
-ft AS (SELECT *, {_T.format("received_ts")} + 1 AS tick, CASE life WHEN 'activated' THEN 'active' WHEN 'deactivated' THEN 'inactive' WHEN 'determined' THEN life WHEN 'settled' THEN life END AS strong FROM ev),
-tk AS (SELECT market_id, unnest(range(min(tick), {_T.format(END)} + 1)) AS tick FROM ft GROUP BY market_id),
-ag AS (SELECT market_id, tick, sum(q) FILTER (event_type = 'trade') AS vol, arg_max(k, (received_ts, ingest_seq)) FILTER (event_type = 'trade') AS px,
+ft AS (SELECT *, {_t("received_ts", step)} + 1 AS tick, CASE life WHEN 'activated' THEN 'active' WHEN 'deactivated' THEN 'inactive' WHEN 'determined' THEN life WHEN 'settled' THEN life END AS strong FROM ev),
+tk AS ({own}),
+ag AS (SELECT market_id, tick, sum(q) FILTER (event_type = 'trade') AS vol, arg_max(k, (received_ts, ingest_seq)) FILTER (event_type = 'trade') AS px, max(received_ts) AS seen,
   arg_max(strong, (received_ts, ingest_seq)) FILTER (event_type = 'lifecycle' AND strong IS NOT NULL) AS st, bool_or(event_type = 'lifecycle' AND life = 'created') AS mk FROM ft GROUP BY ALL),
-gr AS (SELECT tk.market_id, tk.tick, y, n, bv, av, bl, al, reset, vol, last_value(px IGNORE NULLS) OVER w AS lastpx,
-  coalesce(last_value(st IGNORE NULLS) OVER w, CASE WHEN max(CASE WHEN mk THEN 1 ELSE 0 END) OVER w = 1 THEN 'active' END) AS status
+gr AS (SELECT tk.market_id, tk.tick, y, n, bv, av, bl, al, reset, vol, last_value(px IGNORE NULLS) OVER w AS lastpx, max(seen) OVER w AS seen_ts,
+  coalesce(last_value(st IGNORE NULLS) OVER w, seed, CASE WHEN max(CASE WHEN mk THEN 1 ELSE 0 END) OVER w = 1 THEN 'active' END) AS status
   FROM tk LEFT JOIN ag USING (market_id, tick) LEFT JOIN bs USING (market_id, tick) WINDOW w AS (PARTITION BY tk.market_id ORDER BY tk.tick ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+_ACC, _LV, _GRID = _acc(_EV), _lv(_EV), _grid(_EV)
+_ACTIVE = f"""SELECT market_id, 'active' AS seed, unnest(range({_t("TIMESTAMP '2024-01-01 00:00:00'", 3600)}, {_t(END, 3600)} + 1)) AS tick FROM (SELECT DISTINCT market_id FROM ev WHERE CAST(substr(market_id, 2) AS BIGINT) % 3 <> 0)
+  UNION ALL SELECT 'X000001', 'paused', unnest(range({_t("TIMESTAMP '2024-01-01 00:00:00'", 3600)}, {_t(END, 3600)} + 1))"""
+_RESET = "TIMESTAMP '2024-01-20 00:00:00'"
+_EVR = _EV.replace("ev AS (", "ev1 AS (") + f""",
+ev AS (SELECT * FROM ev1 UNION ALL BY NAME SELECT DISTINCT {_RESET} AS received_ts, 9223372036854775807 AS ingest_seq, market_id, 'book_reset' AS event_type FROM ev1 WHERE CAST(substr(market_id, 2) AS BIGINT) % 2 = 0)"""
 _TS = "CAST(make_timestamp(tick * 3600000000) AS TIMESTAMP)"
 _MK = f"""vo AS (SELECT l_partkey, sum(CAST(l_quantity AS DOUBLE)) AS v FROM lineitem GROUP BY 1),
 mk AS (SELECT 'P' || p_partkey AS market_id, p_partkey AS ordinal, p_brand AS series_ticker, p_brand || '|' || p_type || '|' || p_size AS event_ticker, p_size % 2 = 0 AS mutex,
-  CASE WHEN p_size % 10 <> 0 THEN 'active' ELSE 'closed' END AS status, p_name AS label, coalesce(v, 0.0) AS volume,
+  CASE WHEN p_size % 10 <> 0 THEN 'active' ELSE 'closed' END AS status, p_name AS label, CASE WHEN p_partkey % 7 = 0 THEN 'cap_strike=' || p_size ELSE p_name END AS tag, p_size AS size, coalesce(v, 0.0) AS volume,
   CASE WHEN p_partkey % 13 <> 0 THEN {END} + to_hours(CAST(p_partkey % 97 AS INTEGER)) END AS closes_at,
   list_sort(list_distinct([lower(trim(x)) FOR x IN [split_part(p_name, ' ', 1), split_part(p_name, ' ', 2), p_brand, p_type, 'size' || p_size] IF x <> ''])) AS ent
   FROM part LEFT JOIN vo ON l_partkey = p_partkey)"""
 _SS = f"""{_MK},
-pe AS (SELECT series_ticker, event_ticker, mutex, count(*) FILTER (status = 'active') AS n, count(DISTINCT label) FILTER (status = 'active' AND label <> '') AS nd, coalesce(sum(volume) FILTER (status = 'active'), 0) AS v FROM mk GROUP BY ALL),
-ss AS (SELECT series_ticker, count(*) AS n_events, CAST(count(*) FILTER (mutex AND n >= 3) AS INTEGER) AS n_partition_events, CAST(count(*) FILTER (nd >= 2) AS INTEGER) AS n_hierarchy_events, sum(v) AS volume_24h FROM pe GROUP BY 1),
+pe AS (SELECT series_ticker, event_ticker, mutex, count(*) FILTER (status = 'active') AS n, count(DISTINCT tag) FILTER (status = 'active' AND tag <> '') AS nd, min(ordinal) AS fs, coalesce(sum(volume) FILTER (status = 'active'), 0) AS v FROM mk GROUP BY ALL),
+ss AS (SELECT series_ticker, count(*) AS n_events, CAST(count(*) FILTER (mutex AND n >= 3) AS INTEGER) AS n_partition_events, CAST(count(*) FILTER (nd >= 2) AS INTEGER) AS n_hierarchy_events, sum(v) AS volume_24h, min(fs) AS fs FROM pe GROUP BY 1),
 sv AS (SELECT *, n_partition_events >= 1 AS passes_p1, n_hierarchy_events >= 1 AS passes_p2, volume_24h >= 1000 AS passes_p3, (n_partition_events >= 1 OR n_hierarchy_events >= 1) AND volume_24h >= 1000 AS admit FROM ss),
-rk AS (SELECT *, CAST(row_number() OVER (ORDER BY passes_p1 DESC, n_partition_events DESC, n_hierarchy_events DESC, volume_24h DESC, series_ticker) AS INTEGER) AS rank_position FROM sv WHERE admit)"""
+rk AS (SELECT *, CAST(row_number() OVER (ORDER BY passes_p1 DESC, n_partition_events DESC, n_hierarchy_events DESC, volume_24h DESC, fs) AS INTEGER) AS rank_position FROM sv WHERE admit)"""
 _PR = f"""{_MK},
 evp AS (SELECT x.market_id AS a, y.market_id AS b FROM mk x JOIN mk y ON x.event_ticker = y.event_ticker AND x.market_id < y.market_id),
 en AS (SELECT market_id, unnest(ent) AS e FROM mk),
@@ -96,6 +130,14 @@ pr AS (SELECT * FROM evp UNION SELECT * FROM enp)"""
 # ---- D1-D3: events, books, grid
 
 
+def _whole(cells: DataFrame) -> DataFrame:
+    return cells.drop("seen_ts").withColumns({c: F.col(c).cast("bigint") for c in ("bid_value", "ask_value")})
+
+
+_CELL = """market_id, y * 10000 AS bid_micro, (100 - n) * 10000 AS ask_micro, CAST(coalesce(bv, 0) * 100000000 AS BIGINT) AS bid_value, CAST(coalesce(av, 0) * 100000000 AS BIGINT) AS ask_value,
+  CAST(coalesce(bl, 0) AS INTEGER) AS bid_levels, CAST(coalesce(al, 0) AS INTEGER) AS ask_levels, CAST(coalesce(vol, 0) * 10000 AS BIGINT) AS volume_micro, lastpx * 10000 AS last_trade_micro, status, coalesce(y > 100 - n, false) AS crossed"""
+
+
 @query(f"WITH {_EV} SELECT event_type, count(*) AS n, count(sequence) AS with_sequence FROM ev GROUP BY 1")
 def events_by_type(spark, sf_dir):
     return raw_events(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count("sequence").alias("with_sequence"))
@@ -149,13 +191,12 @@ def seq_guard_accepted(spark, sf_dir):
     return replay.accepted(log(spark, sf_dir)).where("event_type = 'orderbook_delta'").select("market_id", "ingest_seq", "epoch", "accepted", "applied")
 
 
-@query(f"""WITH {_LV}, mx AS (SELECT market_id, max(epoch) AS epoch FROM lv GROUP BY 1) SELECT market_id, side, price * 10000 AS price, CAST(size * 10000 AS BIGINT) AS size FROM lv JOIN mx USING (market_id, epoch) WHERE next_ts IS NULL AND size > 0""")
+@query(f"""WITH {_LV} SELECT market_id, side, price * 10000 AS price, CAST(size * 10000 AS BIGINT) AS size FROM fi""")
 def level_sizes_final(spark, sf_dir):
     return replay.last_levels(replay.level_changes(replay.accepted(log(spark, sf_dir))))
 
 
-@query(f"""WITH {_LV}, mx AS (SELECT market_id, max(epoch) AS epoch FROM lv GROUP BY 1), fi AS (SELECT lv.* FROM lv JOIN mx USING (market_id, epoch) WHERE next_ts IS NULL AND size > 0),
-  bb AS (SELECT market_id, max(price) FILTER (side = 'yes') AS y, max(price) FILTER (side = 'no') AS n FROM fi GROUP BY 1)
+@query(f"""WITH {_LV}, bb AS (SELECT market_id, max(price) FILTER (side = 'yes') AS y, max(price) FILTER (side = 'no') AS n FROM fi GROUP BY 1)
   SELECT market_id, y * 10000 AS bid, (100 - n) * 10000 AS ask, CAST(coalesce(sum(price * size) FILTER (side = 'yes' AND price >= y - 3), 0) * 100000000 AS BIGINT) AS bid_value, CAST(coalesce(sum((100 - price) * size) FILTER (side = 'no' AND price >= n - 3), 0) * 100000000 AS BIGINT) AS ask_value,
   CAST(count(*) FILTER (side = 'yes' AND price >= y - 3) AS INTEGER) AS bid_levels, CAST(count(*) FILTER (side = 'no' AND price >= n - 3) AS INTEGER) AS ask_levels FROM fi JOIN bb USING (market_id) GROUP BY market_id, y, n""")
 def depth_within_band(spark, sf_dir):
@@ -163,27 +204,80 @@ def depth_within_band(spark, sf_dir):
     return books.select("market_id", "bid", "ask", F.col("bid_value").cast("bigint").alias("bid_value"), F.col("ask_value").cast("bigint").alias("ask_value"), "bid_levels", "ask_levels")
 
 
-@query(f"""WITH {_GRID} SELECT {_TS} AS ts, market_id, y * 10000 AS bid_micro, (100 - n) * 10000 AS ask_micro, CAST(coalesce(bv, 0) * 100000000 AS BIGINT) AS bid_value, CAST(coalesce(av, 0) * 100000000 AS BIGINT) AS ask_value,
-  CAST(coalesce(bl, 0) AS INTEGER) AS bid_levels, CAST(coalesce(al, 0) AS INTEGER) AS ask_levels, CAST(coalesce(vol, 0) * 10000 AS BIGINT) AS volume_micro, lastpx * 10000 AS last_trade_micro, status, coalesce(y > 100 - n, false) AS crossed FROM gr""")
+@query(f"WITH {_GRID} SELECT {_TS} AS ts, {_CELL} FROM gr")
 def grid_with_depth(spark, sf_dir):
-    cells = replay.grid(log(spark, sf_dir), end(), p=HOURLY)
-    return cells.withColumns({c: F.col(c).cast("bigint") for c in ("bid_value", "ask_value")})
+    return _whole(replay.grid(accepted(spark, sf_dir), end(), p=HOURLY))
 
 
 @query(f"""WITH {_GRID} SELECT {_TS} AS ts, market_id, y / 100 AS yes_bid, (100 - n) / 100 AS yes_ask, round((y + 100 - n) / 200, 6) AS yes_mid, CAST(coalesce(vol, 0) AS DOUBLE) / 100 AS volume, lastpx / 100 AS last_trade_price, status FROM gr""")
 def snapshot_table(spark, sf_dir):
-    return replay.snapshots(replay.grid(log(spark, sf_dir), end(), p=HOURLY)).select("ts", "market_id", "yes_bid", "yes_ask", "yes_mid", "volume", "last_trade_price", "status")
+    return replay.snapshots(replay.grid(accepted(spark, sf_dir), end(), p=HOURLY)).select("ts", "market_id", "yes_bid", "yes_ask", "yes_mid", "volume", "last_trade_price", "status")
 
 
 @query(f"""WITH {_GRID} SELECT {_TS} AS ts, market_id, lastpx * 10000 AS last_trade_micro FROM gr WHERE lastpx IS NOT NULL""")
 def locf_grid(spark, sf_dir):
-    return replay.grid(log(spark, sf_dir), end(), p=HOURLY).where("last_trade_micro is not null").select("ts", "market_id", "last_trade_micro")
+    return replay.grid(accepted(spark, sf_dir), end(), p=HOURLY).where("last_trade_micro is not null").select("ts", "market_id", "last_trade_micro")
 
 
-@query(f"""WITH {_GRID} SELECT {_TS} AS ts, market_id FROM bs WHERE tick = reset""")
+@query(f"""WITH {_grid(_EV, 60)} SELECT CAST(make_timestamp(tick * 60000000) AS TIMESTAMP) AS ts, market_id FROM bs WHERE tick = reset""")
 def crossed_book_resets(spark, sf_dir):
-    cells = replay.book_cells(replay.accepted(log(spark, sf_dir)), end(), HOURLY)
-    return cells.where("crossed").select(F.timestamp_seconds(F.col("tick") * 3600).cast("timestamp_ntz").alias("ts"), "market_id")
+    cells = replay.book_cells(accepted(spark, sf_dir), end(), DEFAULT)
+    return cells.where("crossed").select(F.timestamp_seconds(F.col("tick") * 60).cast("timestamp_ntz").alias("ts"), "market_id")
+
+
+@query(f"""WITH {_grid(_EV, 60)} SELECT market_id, count(*) AS ticks, count(y) AS with_bid, count(n) AS with_ask, CAST(sum(y) * 10000 AS BIGINT) AS bids, CAST(sum(100 - n) * 10000 AS BIGINT) AS asks, CAST(sum(coalesce(bl, 0)) AS BIGINT) AS bid_levels,
+  CAST(sum(coalesce(bv, 0)) AS DOUBLE) AS bid_value, CAST(sum(coalesce(vol, 0)) * 10000 AS BIGINT) AS volume, count(*) FILTER (y > 100 - n) AS crossed FROM gr GROUP BY 1""")
+def grid_minutes_by_market(spark, sf_dir):
+    """Sums over the whole grid of the default interval, a minute."""
+    cells = replay.grid(accepted(spark, sf_dir), end(), p=DEFAULT)
+    return cells.groupBy("market_id").agg(
+        F.count(F.lit(1)).alias("ticks"), F.count("bid_micro").alias("with_bid"), F.count("ask_micro").alias("with_ask"), F.sum("bid_micro").alias("bids"), F.sum("ask_micro").alias("asks"),
+        F.sum("bid_levels").cast("bigint").alias("bid_levels"), (F.sum("bid_value") / 100_000_000).cast("double").alias("bid_value"), F.sum("volume_micro").alias("volume"), F.count_if("crossed").alias("crossed"),
+    )
+
+
+@query(f"WITH {_grid(_EV, 3600, _ACTIVE)} SELECT {_TS} AS ts, {_CELL} FROM gr")
+def grid_of_active_set(spark, sf_dir):
+    rows = log(spark, sf_dir)
+    live = rows.select("market_id").distinct().where("cast(substr(market_id, 2) as long) % 3 <> 0").select("market_id", F.lit("active").alias("status"))
+    active = live.union(spark.range(1).select(F.lit("X000001"), F.lit("paused")))
+    kept = staged(replay.accepted(replay.of_active(rows, active)), "accepted")
+    return _whole(replay.grid(kept, end(), active, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), HOURLY))
+
+
+@query(f"WITH {_grid(_EVR)} SELECT {_TS} AS ts, {_CELL} FROM gr")
+def grid_after_audit_reset(spark, sf_dir):
+    rows = log(spark, sf_dir)
+    resets = rows.select("market_id").distinct().where("cast(substr(market_id, 2) as long) % 2 = 0").select("market_id", F.lit("2024-01-20 00:00:00").cast("timestamp_ntz").alias("received_ts"))
+    return _whole(replay.grid(staged(replay.accepted(replay.with_resets(rows, resets)), "accepted"), end(), p=HOURLY))
+
+
+@query(f"""WITH {_GRID} SELECT {_TS} AS ts, count(*) FILTER (tick * 3600000000 - epoch_us(seen_ts) > 3600000000 AND coalesce(status = 'active', true)) AS stale FROM gr GROUP BY tick""")
+def stale_per_tick(spark, sf_dir):
+    return replay.stale_counts(replay.grid(accepted(spark, sf_dir), end(), p=HOURLY))
+
+
+_MID = "TIMESTAMP '2024-01-15 00:00:00'"
+
+
+def _state(spark, sf_dir):
+    early = log(spark, sf_dir).where(F.col("received_ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    return replay.checkpoint(staged(replay.accepted(early), "accepted"))
+
+
+@query(f"""WITH {_lv(_EV.replace("FROM e0)", f"FROM e0 WHERE ts < {_MID})"))}, c AS (SELECT market_id, count(*) AS levels FROM fi GROUP BY 1)
+  SELECT ok.market_id, max(sequence) FILTER (anchored AND ok.epoch = mx.epoch AND event_type IN ('orderbook_snapshot', 'orderbook_delta')) AS last_sequence, max(received_ts) AS last_ts, bool_or(anchored AND ok.epoch = mx.epoch) AS anchored, coalesce(max(levels), 0) AS levels
+  FROM ok JOIN mx ON ok.market_id = mx.market_id LEFT JOIN c ON c.market_id = ok.market_id GROUP BY 1""")
+def book_checkpoint(spark, sf_dir):
+    book = F.from_json("serialized_book", "struct<yes:map<string,double>,no:map<string,double>,anchored:boolean>")
+    return _state(spark, sf_dir).withColumn("b", book).select("market_id", "last_sequence", "last_ts", "b.anchored", (F.size("b.yes") + F.size("b.no")).cast("bigint").alias("levels"))
+
+
+@query(f"WITH {_LV} SELECT market_id, side, price * 10000 AS price, CAST(size * 10000 AS BIGINT) AS size FROM fi")
+def resume_from_checkpoint(spark, sf_dir):
+    """The last books, from those of the middle of the month and the events after it: the same as of all events."""
+    later = log(spark, sf_dir).where(F.col("received_ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    return replay.last_levels(replay.level_changes(replay.accepted(replay.resumed(staged(_state(spark, sf_dir), "state"), later))))
 
 
 @query(f"""WITH {_EV} SELECT market_id, coalesce(arg_max(CASE life WHEN 'activated' THEN 'active' WHEN 'deactivated' THEN 'inactive' ELSE life END, (received_ts, ingest_seq)) FILTER (life IN ('activated', 'deactivated', 'determined', 'settled')), CASE WHEN bool_or(life = 'created') THEN 'active' END) AS status FROM ev WHERE event_type = 'lifecycle' GROUP BY 1""")
@@ -208,7 +302,7 @@ def keyset_page(spark, sf_dir):
 
 
 def _book(spark, sf_dir):
-    return replay.last_levels(replay.level_changes(replay.accepted(log(spark, sf_dir))))
+    return staged(replay.last_levels(replay.level_changes(replay.accepted(log(spark, sf_dir)))), "book")
 
 
 def _second_source(book: DataFrame) -> DataFrame:
@@ -217,8 +311,7 @@ def _second_source(book: DataFrame) -> DataFrame:
     return book.where(mark % 5 != 0).withColumn("size", F.when(mark % 7 == 0, F.col("size") * 3).otherwise(F.col("size")))
 
 
-_AU = f"""{_LV}, mx AS (SELECT market_id, max(epoch) AS epoch FROM lv GROUP BY 1), fi AS (SELECT market_id, side, price, size FROM lv JOIN mx USING (market_id, epoch) WHERE next_ts IS NULL AND size > 0),
- o AS (SELECT market_id, side, price, CASE WHEN (CAST(substr(market_id, 2) AS BIGINT) + price) % 7 = 0 THEN size * 3 ELSE size END AS osize FROM fi WHERE (CAST(substr(market_id, 2) AS BIGINT) + price) % 5 <> 0),
+_AU = f"""{_LV}, o AS (SELECT market_id, side, price, CASE WHEN (CAST(substr(market_id, 2) AS BIGINT) + price) % 7 = 0 THEN size * 3 ELSE size END AS osize FROM fi WHERE (CAST(substr(market_id, 2) AS BIGINT) + price) % 5 <> 0),
  df AS (SELECT market_id, side, price, size, osize FROM fi FULL JOIN o USING (market_id, side, price)),
  vd AS (SELECT market_id, count(*) FILTER ((size IS NULL) <> (osize IS NULL)) AS n, coalesce(max(CASE WHEN size <> osize THEN abs(size - osize) / 100 / greatest(size / 100, osize / 100, 1.0) * 100.0 END), 0) AS pct FROM df GROUP BY 1),
  al AS (SELECT DISTINCT market_id FROM ev)"""
@@ -237,12 +330,40 @@ def audit_verdicts(spark, sf_dir):
     return audit.audit(raw_events(spark, sf_dir).select("market_id"), book, _second_source(book))
 
 
+@query(f"""WITH {_AU} SELECT {END} AS ts, market_id, CASE WHEN coalesce(n, 0) = 0 AND coalesce(pct, 0) = 0 THEN 'no_diff' WHEN coalesce(n, 0) <= 4 AND coalesce(pct, 0) <= 50 THEN 'small_diff' ELSE 'large_diff' END AS status FROM al LEFT JOIN vd USING (market_id) ORDER BY market_id""")
+def audit_log_rows(spark, sf_dir):
+    return audit.audit_rows(audit_verdicts(spark, sf_dir), end()).select("ts", "market_id", "status")
+
+
 # ---- D5-D6: discovery and catalog
 
 
+@query(f"WITH {_SS} SELECT series_ticker, volume_24h FROM sv WHERE NOT admit ORDER BY volume_24h DESC, fs LIMIT 15")
+def discovery_rejects(spark, sf_dir):
+    return discovery.rejected(discovery.verdicts(discovery.series_stats(catalog(spark, sf_dir)))).select("series_ticker", "volume_24h")
+
+
+_SUB = "CASE WHEN ordinal % 4 <> 0 THEN label ELSE 'No. ' || ordinal END"
+_TITLE = "CASE WHEN ordinal % 3 <> 0 THEN 'Will ' || label || '?' ELSE 'Event ' || event_ticker END"
+
+
+@query(f"""WITH {_MK} SELECT market_id, CASE WHEN contains({_TITLE}, {_SUB}) THEN {_TITLE} ELSE {_TITLE} || ' — ' || {_SUB} END AS title, CASE WHEN ordinal % 2 = 0 THEN 'primary' END AS description,
+  CASE WHEN ordinal % 6 = 0 THEN 'secondary' WHEN ordinal % 2 = 0 THEN 'primary' END AS resolution_criteria, series_ticker, event_ticker, CASE WHEN ordinal % 5 <> 1 THEN closes_at END AS closes_at, status FROM mk""")
+def catalog_rows(spark, sf_dir):
+    return discovery.catalog_rows(catalog_docs(spark, sf_dir), end()).select("market_id", "title", "description", "resolution_criteria", "series_ticker", "event_ticker", "closes_at", "status")
+
+
+@query(f"WITH {_SS} SELECT market_id, CASE WHEN volume >= 900 THEN 'add' ELSE 'remove' END AS change FROM mk WHERE (volume >= 900 AND ordinal % 2 = 0) OR (volume < 700 AND ordinal % 2 = 1)")
+def membership_changes(spark, sf_dir):
+    """Who joins and who leaves the active set: of even markets the larger ones join, of odd ones the smaller ones leave."""
+    m = markets(spark, sf_dir).withColumn("v", best_volume(F.col("volume_fp"), F.col("volume_text")))
+    odd = F.col("ordinal") % 2 == 1
+    return tables.changes(m.where(odd), m.where((odd & (F.col("v") >= 700)) | (~odd & (F.col("v") >= 900))))
+
+
 @query(f"WITH {_SS} SELECT series_ticker, n_events, n_partition_events, n_hierarchy_events, volume_24h FROM ss")
 def series_stats(spark, sf_dir):
-    return discovery.series_stats(catalog(spark, sf_dir))
+    return discovery.series_stats(catalog(spark, sf_dir)).drop("first_seen")
 
 
 @query(f"""WITH {_SS} SELECT series_ticker, passes_p1, passes_p2, passes_p3, admit, (CASE WHEN admit THEN 'admit' ELSE 'reject' END) || CASE WHEN passes_p1 AND passes_p2 AND passes_p3 THEN '' ELSE ' (failed: ' || concat_ws(',', CASE WHEN NOT passes_p1 THEN 'P1' END, CASE WHEN NOT passes_p2 THEN 'P2' END, CASE WHEN NOT passes_p3 THEN 'P3' END) || ')' END AS reason FROM sv""")
@@ -259,7 +380,7 @@ def rank_and_cap(spark, sf_dir):
     return _tracked(spark, sf_dir).select("series_ticker", "volume_24h", "rank_position")
 
 
-@query(f"WITH {_SS} SELECT series_ticker, CAST(row_number() OVER (ORDER BY passes_p1 DESC, n_partition_events DESC, n_hierarchy_events DESC, volume_24h DESC, series_ticker) AS INTEGER) AS rank_position FROM sv WHERE series_ticker LIKE 'Brand#2%'")
+@query(f"WITH {_SS} SELECT series_ticker, CAST(row_number() OVER (ORDER BY passes_p1 DESC, n_partition_events DESC, n_hierarchy_events DESC, volume_24h DESC, fs) AS INTEGER) AS rank_position FROM sv WHERE series_ticker LIKE 'Brand#2%'")
 def allowlist_admit(spark, sf_dir):
     return _tracked(spark, sf_dir, Params(allowlist=("Brand#2",))).select("series_ticker", "rank_position")
 
@@ -273,9 +394,7 @@ def active_set_floor_cap(spark, sf_dir):
   SELECT n, max(volume) AS max, count(*) FILTER (volume < 1) AS below_1, count(*) FILTER (volume < 10) AS below_10, count(*) FILTER (volume < 100) AS below_100, count(*) FILTER (volume < 1000) AS below_1000,
   max(CASE WHEN i = least(n - 1, CAST(floor(0.5 * n) AS BIGINT)) THEN volume END) AS p50, max(CASE WHEN i = least(n - 1, CAST(floor(0.9 * n) AS BIGINT)) THEN volume END) AS p90, max(CASE WHEN i = least(n - 1, CAST(floor(0.99 * n) AS BIGINT)) THEN volume END) AS p99 FROM o GROUP BY n""")
 def volume_distribution(spark, sf_dir):
-    from ..functions.scalars import best_volume
-
-    return discovery.volume_distribution(markets(spark, sf_dir).select(best_volume(F.col("volume_fp")).alias("volume")))
+    return discovery.volume_distribution(markets(spark, sf_dir).select(best_volume(F.col("volume_fp"), F.col("volume_text")).alias("volume")))
 
 
 @query(f"""WITH {_SS} SELECT series_ticker, CASE WHEN rank_position % 2 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-01-31 00:00:00' END AS admitted_at, rank_position FROM rk WHERE rank_position <= 10""")
@@ -300,13 +419,18 @@ def markets_upsert(spark, sf_dir):
 @query(f"WITH {_SS} SELECT market_id, mk.status = 'active' AND volume >= 500 AS subscribed FROM mk")
 def active_flag_rewrite(spark, sf_dir):
     m = markets(spark, sf_dir).withColumn("subscribed", F.lit(True))
-    ids = m.where("status = 'active' and cast(volume_fp as double) >= 500").select("market_id")
+    ids = m.where((F.col("status") == "active") & (best_volume(F.col("volume_fp"), F.col("volume_text")) >= 500)).select("market_id")
     return tables.flag_members(m, ids).select("market_id", "subscribed")
 
 
 # ---- D7: pairs
 
 
+def _pairable(spark, sf_dir):
+    """What pairs need of the markets, written once: both sides of each self-join and the lives read it."""
+    return staged(markets(spark, sf_dir).select("market_id", "ordinal", "series_ticker", "event_ticker", "status", "closes_at", "entities"), "markets")
+
+
 def _semantics(spark, sf_dir):
     return markets(spark, sf_dir).where("ordinal % 4 <> 1").select("market_id", F.col("entities"), (1 + F.col("ordinal") % 2).cast("int").alias("extraction_version"))
 
@@ -327,17 +451,17 @@ def active_with_semantics(spark, sf_dir):
 
 @query(f"WITH {_PR} SELECT a, b FROM evp")
 def pairs_same_event(spark, sf_dir):
-    return pairs.same(markets(spark, sf_dir), "event_ticker", "event").select("a", "b")
+    return pairs.same(_pairable(spark, sf_dir), "event_ticker", "event").select("a", "b")
 
 
 @query(f"WITH {_PR} SELECT a, b FROM enp")
 def pairs_entity_overlap(spark, sf_dir):
-    return pairs.entity_pairs(markets(spark, sf_dir), 3).select("a", "b")
+    return pairs.entity_pairs(_pairable(spark, sf_dir), 3).select("a", "b")
 
 
 @query(f"WITH {_PR} SELECT (SELECT count(*) FROM evp) AS event, CAST(0 AS BIGINT) AS series, (SELECT count(*) FROM enp) AS entity, (SELECT count(*) FROM pr) AS total")
 def pair_breakdown(spark, sf_dir):
-    return pairs.breakdown(pairs.candidates(markets(spark, sf_dir)))
+    return pairs.breakdown(pairs.candidates(_pairable(spark, sf_dir)))
 
 
 def _known(found: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -350,7 +474,7 @@ _N = "(CAST(substr(a, 2) AS BIGINT) * 7 + CAST(substr(b, 2) AS BIGINT))"
 
 @query(f"WITH {_PR} SELECT a, b FROM pr WHERE {_N} % 10 > 3")
 def pair_todo_anti(spark, sf_dir):
-    found = pairs.candidates(markets(spark, sf_dir))
+    found = staged(pairs.candidates(_pairable(spark, sf_dir)), "candidates")
     return pairs.todo(found, *_known(found))
 
 
@@ -360,13 +484,13 @@ _RT = f"""{_PR}, lf AS (SELECT market_id, date_diff('second', {END}, closes_at)
 
 @query(f"WITH {_RT} SELECT a, b, life, CASE WHEN life IS NULL THEN 'sync' WHEN life < 86400 THEN 'skip' WHEN life < 172800 THEN 'sync' ELSE 'batch' END AS route FROM rt")
 def route_pairs(spark, sf_dir):
-    m = markets(spark, sf_dir)
+    m = _pairable(spark, sf_dir)
     return pairs.with_route(pairs.todo(pairs.candidates(m)), m, end())
 
 
 @query(f"WITH {_RT} SELECT a, b, life FROM rt ORDER BY life DESC NULLS FIRST, a, b LIMIT 1500")
 def daily_budget(spark, sf_dir):
-    m = markets(spark, sf_dir)
+    m = _pairable(spark, sf_dir)
     return pairs.within_budget(pairs.with_route(pairs.todo(pairs.candidates(m)), m, end()), 300, 200).select("a", "b", "life")
 
 
@@ -374,20 +498,27 @@ def daily_budget(spark, sf_dir):
 
 
 def _completions(spark, sf_dir):
-    """A completion for each pair of one event or of shared entities, by arithmetic on the ids."""
-    found = pairs.todo(pairs.candidates(markets(spark, sf_dir)))
+    """A completion for each pair of one event or of shared entities, by arithmetic on the ids: some in a fence, some with prose,
+    braces or a second object after the first, some with names in capitals."""
+    found = pairs.todo(pairs.candidates(_pairable(spark, sf_dir)))
     n = F.substring("a", 2, 9).cast("bigint") * 7 + F.substring("b", 2, 9).cast("bigint")
     kind = F.get(F.array(*map(F.lit, (*RELATIONS, "unheard_of"))), (n % 8).cast("int"))
+    kind = F.when(n % 17 == 0, F.upper(kind)).otherwise(F.concat(F.lit(" "), kind))
     confidence = ((n * 37 % 100).cast("decimal(10,0)") / 100).cast("decimal(10,2)").cast("string")
-    body = F.concat(F.lit('{"relationship_type":"'), kind, F.lit('","direction":"'), F.when(n % 3 == 0, "").when(n % 3 == 1, "symmetric").otherwise("first_implies_second"), F.lit('","confidence":'), confidence, F.lit(',"rationale":"r"}'))
-    fenced = F.when(n % 5 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(n % 11 == 0, F.concat(body, F.lit(" and so on"))).otherwise(body)
+    body = F.concat(F.lit('{"relationship_type":"'), kind, F.lit('","direction":"'), F.when(n % 3 == 0, "").when(n % 3 == 1, "symmetric").otherwise("first_implies_second"), F.lit('","confidence":'), confidence, F.lit(',"rationale":"r {1}"}'))
+    odd = F.when(n % 2 == 0, F.concat(body, F.lit(" and so {on}"))).otherwise(F.concat(body, F.lit(" and so on")))
+    fenced = F.when(n % 5 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(n % 11 == 0, odd).when(n % 13 == 0, F.concat(body, body)).otherwise(body)
     return found.select("a", "b", n.alias("n"), fenced.alias("content"))
 
 
+def _classified(spark, sf_dir):
+    return staged(edges.parse_classification(_completions(spark, sf_dir)), "classified")
+
+
 _REL = ", ".join(f"'{r}'" for r in RELATIONS)
 _CP = f"""{_PR}, cp AS (SELECT a, b, {_N} AS n FROM pr),
  cl AS (SELECT a, b, n, [{_REL}, 'unheard_of'][n % 8 + 1] AS relationship_type, CASE n % 3 WHEN 1 THEN 'symmetric' WHEN 2 THEN 'first_implies_second' ELSE 'none' END AS direction, (n * 37 % 100) / 100 AS confidence,
- CASE WHEN n % 5 <> 0 AND n % 11 = 0 THEN 'not an object' WHEN n % 8 = 7 THEN 'relation' END AS error FROM cp)"""
+ CASE WHEN n % 5 <> 0 AND (n % 11 = 0 OR n % 13 = 0) THEN 'not an object' WHEN n % 8 = 7 OR n % 17 = 0 THEN 'relation' END AS error FROM cp)"""
 
 
 @query(f"WITH {_CP} SELECT a, b, CASE WHEN error IS NULL THEN relationship_type END AS relationship_type, CASE WHEN error IS NULL THEN direction END AS direction, CASE WHEN error IS NULL THEN confidence END AS confidence, error FROM cl")
@@ -396,7 +527,7 @@ def parse_classification(spark, sf_dir):
 
 
 def _trusted(spark, sf_dir):
-    primary = edges.parse_classification(_completions(spark, sf_dir))
+    primary = _classified(spark, sf_dir)
     second = primary.where("n % 4 <> 0").withColumn("relationship_type", F.when(F.col("error").isNull() & (F.col("n") % 6 == 0), "unrelated").otherwise(F.col("relationship_type"))).withColumn("model", F.lit("second"))
     return edges.trust(primary, second)
 
@@ -411,7 +542,7 @@ def trust_tier(spark, sf_dir):
 
 
 def _edges(spark, sf_dir):
-    rows = _trusted(spark, sf_dir).select(F.lit("venue").alias("platform"), F.col("a").alias("market_id_a"), F.col("b").alias("market_id_b"), "relationship_type", "confidence", "trust_tier")
+    rows = staged(_trusted(spark, sf_dir), "trusted").select(F.lit("venue").alias("platform"), F.col("a").alias("market_id_a"), F.col("b").alias("market_id_b"), "relationship_type", "confidence", "trust_tier")
     n = F.substring("market_id_a", 2, 9).cast("bigint") + F.substring("market_id_b", 2, 9).cast("bigint")
     old = rows.where(n % 3 == 0).withColumn("trust_tier", F.lit("old")).withColumn("review_status", F.when(n % 2 == 0, "approved").otherwise("pending"))
     return tables.upsert(old, rows.where(n % 5 != 0), ["platform", "market_id_a", "market_id_b"], ("review_status",), {"review_status": "pending"})
@@ -440,6 +571,165 @@ def token_usage_rollup(spark, sf_dir):
     return edges.usage(rows)
 
 
+# ---- D8: the cycle of extraction
+
+
+def _payload(rows: DataFrame, purpose: str, context, key) -> DataFrame:
+    """Open batches (of at most a few hundred thousand requests, as these tables give) with the context of each custom_id."""
+    grouped = rows.select((key % 5).alias("k"), F.struct(F.concat(F.lit("r"), F.xxhash64(context).cast("string")), context.alias("v")).alias("e")).groupBy("k").agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("payload"))
+    return grouped.select(F.concat(F.lit(purpose + "-"), F.col("k").cast("string")).alias("batch_id"), F.lit(purpose).alias("purpose"), F.lit("first").alias("model"), end().alias("submitted_at"), "payload")
+
+
+def _pair_text():
+    return F.to_json(F.array("a", "b"))
+
+
+def _pair_number():
+    return F.substring("a", 2, 9).cast("bigint") * 7 + F.substring("b", 2, 9).cast("bigint")
+
+
+@query(f"WITH {_MK}, bl AS (SELECT market_id FROM mk WHERE status = 'active' AND NOT (ordinal % 4 <> 1 AND 1 + ordinal % 2 = 1) AND ordinal % 17 <> 0) SELECT market_id, CASE WHEN (SELECT count(*) FROM bl) >= 100 THEN 'batch' ELSE 'sync' END AS route FROM bl ORDER BY market_id LIMIT (SELECT CASE WHEN count(*) >= 100 THEN 1000 ELSE 50 END FROM bl)")
+def semantics_work(spark, sf_dir):
+    flying = _payload(markets(spark, sf_dir).where("ordinal % 17 = 0"), "semantics", F.col("market_id"), F.col("ordinal"))
+    return extraction.semantics_work(_subscribed(spark, sf_dir), _semantics(spark, sf_dir), flying, 1)
+
+
+def _cycle(spark, sf_dir):
+    """Candidates, known edges and open batches: a tenth of the pairs has an edge of today, two tenths an older one of the
+    current version, one tenth one of another version; a twentieth is in flight, half of it for a second opinion."""
+    found = staged(pairs.todo(pairs.candidates(_pairable(spark, sf_dir))), "candidates")
+    n = _pair_number()
+    known = found.where(n % 40 < 16).select(F.col("a").alias("market_id_a"), F.col("b").alias("market_id_b"), F.when(n % 40 >= 12, 2).otherwise(1).alias("extraction_version"), F.when(n % 40 == 0, end()).otherwise(F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")).alias("classified_at"))
+    second = F.to_json(F.struct(F.array("a", "b").alias("pair")))
+    batches = _payload(found.where(n % 40 == 20), "primary", _pair_text(), n).union(_payload(found.where(n % 40 == 21), "verify", second, n))
+    return found, known, staged(batches, "batches")
+
+
+_BL = f"""{_RT}, bl AS (SELECT a, b, life, CASE WHEN life IS NULL THEN 'sync' WHEN life < 86400 THEN 'skip' WHEN life < 172800 THEN 'sync' ELSE 'batch' END AS route FROM rt WHERE {_N} % 40 >= 12 AND {_N} % 40 NOT IN (20, 21)),
+ lf2 AS (SELECT greatest(0, 2000 - count(*) FILTER ({_N} % 40 = 0) - count(*) FILTER ({_N} % 40 IN (20, 21))) AS l FROM pr),
+ dp AS (SELECT a, b, life, CASE WHEN row_number() OVER (ORDER BY life DESC NULLS FIRST, a, b) <= (SELECT l FROM lf2) THEN route ELSE 'deferred' END AS route FROM bl)"""
+
+
+@query(f"WITH {_BL} SELECT a, b FROM bl")
+def pair_backlog(spark, sf_dir):
+    return extraction.pair_backlog(*_cycle(spark, sf_dir), 1)
+
+
+def _plan(spark, sf_dir):
+    found, known, batches = _cycle(spark, sf_dir)
+    return extraction.day_plan(staged(extraction.pair_backlog(found, known, batches, 1), "backlog"), markets(spark, sf_dir), known, batches, end())
+
+
+@query(f"WITH {_BL} SELECT a, b, life, route FROM dp")
+def day_plan(spark, sf_dir):
+    return _plan(spark, sf_dir)
+
+
+@query(f"WITH {_BL} SELECT route, count(*) AS n FROM dp GROUP BY 1")
+def route_report(spark, sf_dir):
+    return extraction.report(_plan(spark, sf_dir))
+
+
+@query(f"""WITH {_BL} (SELECT a, b, 'sync' AS mode FROM dp WHERE route = 'sync' ORDER BY life DESC NULLS FIRST, a, b LIMIT 50) UNION ALL (SELECT a, b, 'batch' AS mode FROM dp WHERE route = 'batch' ORDER BY life DESC NULLS FIRST, a, b LIMIT 1000)""")
+def dispatch_pairs(spark, sf_dir):
+    return extraction.dispatch(staged(_plan(spark, sf_dir), "plan"))
+
+
+@query(f"WITH {_BL} SELECT a, b, 'sync' AS mode FROM dp WHERE route IN ('sync', 'batch') ORDER BY route = 'batch', life DESC NULLS FIRST, a, b LIMIT 50")
+def dispatch_without_batches(spark, sf_dir):
+    return extraction.dispatch(_plan(spark, sf_dir), batch_service=False)
+
+
+@query(f"WITH {_BL} SELECT count(*) FILTER ({_N} % 40 = 0) AS n FROM pr")
+def classified_today(spark, sf_dir):
+    return extraction.classified_since(_cycle(spark, sf_dir)[1], F.date_trunc("day", end()))
+
+
+@query(f"""WITH {_MK}, w AS (SELECT market_id, label, ordinal FROM mk WHERE status = 'active' AND ordinal % 4 = 1 ORDER BY market_id LIMIT 1000)
+  SELECT 'r' || (row_number() OVER (ORDER BY market_id) - 1) AS custom_id, market_id AS context, 'm' AS model, 'Title: ' || label || chr(10) || 'Description: ' || CASE WHEN ordinal % 8 = 1 THEN '—' ELSE 'closes' END || chr(10) || 'Resolution: —' AS prompt FROM w""")
+def semantics_requests(spark, sf_dir):
+    work = _subscribed(spark, sf_dir).where("subscribed and ordinal % 4 = 1").orderBy("market_id").limit(1000)
+    prompt = extraction.semantics_prompt(F.col("yes_sub_title"), F.when(F.col("ordinal") % 8 != 1, "closes"), F.lit(""))
+    return extraction.requests(work, ["market_id"], F.col("market_id"), prompt, "m")
+
+
+def _open_batches(spark, sf_dir, rows: DataFrame, purpose: str, context):
+    """Five open batches with the answers of their requests: 0 and 3 have ended, 1 goes on, 2 and 4 are too old."""
+    asked = rows.select(F.concat(F.lit(purpose + "-"), (F.col("n") % 5).cast("string")).alias("batch_id"), F.concat(F.lit("r"), F.col("n").cast("string"), F.lit("-"), "key").alias("custom_id"), context.alias("context"), "content")
+    asked = staged(asked, "asked")
+    old = F.col("batch_id").endswith("2") | F.col("batch_id").endswith("4")
+    batches = asked.groupBy("batch_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("custom_id", "context")))).alias("payload"))
+    batches = batches.select("batch_id", F.lit(purpose).alias("purpose"), F.lit("model").alias("model"), F.when(old, F.lit("2024-01-28 00:00:00")).otherwise("2024-01-30 00:00:00").cast("timestamp_ntz").alias("submitted_at"), "payload")
+    ended = F.col("batch_id").endswith("0") | F.col("batch_id").endswith("3")
+    polled = batches.select("batch_id", F.when(ended, "ended").when(~F.col("batch_id").endswith("2"), "in_progress").alias("status"))
+    results = asked.select("batch_id", "custom_id", "content", F.lit(None).cast("string").alias("error"))
+    stray = results.withColumn("custom_id", F.concat(F.lit("x"), "custom_id"))
+    return batches, polled, results.union(stray)
+
+
+def _answers(spark, sf_dir, rows, purpose, context):
+    batches, polled, results = _open_batches(spark, sf_dir, rows, purpose, context)
+    batches = staged(batches, "batches")
+    return extraction.answered(batches, results, extraction.settled(batches, polled, end()), purpose)
+
+
+def _keyed(spark, sf_dir):
+    return _completions(spark, sf_dir).withColumn("key", F.concat("a", "b"))
+
+
+@query(f"""WITH {_CP} SELECT DISTINCT 'primary-' || n % 5 AS batch_id, CASE WHEN n % 5 IN (0, 3) THEN 'written' WHEN n % 5 IN (2, 4) THEN 'abandoned' ELSE 'open' END AS outcome FROM cp""")
+def batch_outcomes(spark, sf_dir):
+    batches, polled, _ = _open_batches(spark, sf_dir, _keyed(spark, sf_dir), "primary", _pair_text())
+    return extraction.settled(batches, polled, end())
+
+
+_RC = f"""{_CP}, rc AS (SELECT cl.*, x.status = 'active' AND y.status = 'active' AS live FROM cl JOIN mk x ON x.market_id = a JOIN mk y ON y.market_id = b WHERE n % 5 IN (0, 3) AND error IS NULL)"""
+_WAY = "CASE direction WHEN 'first_implies_second' THEN 'a_implies_b' ELSE direction END"
+
+
+@query(f"""WITH {_RC} SELECT a AS market_id_a, b AS market_id_b, relationship_type, {_WAY} AS direction, confidence, CASE WHEN confidence >= 0.6 THEN 'soft' ELSE 'review' END AS trust_tier, 'single' AS agreement_status, 'model' AS model, 'written' AS kind FROM rc WHERE confidence < 0.85 OR NOT live
+  UNION ALL SELECT a, b, relationship_type, direction, confidence, NULL, NULL, 'model', 'verify' FROM rc WHERE confidence >= 0.85 AND live""")
+def reconcile_primary(spark, sf_dir):
+    live = markets(spark, sf_dir).where("status = 'active'")
+    edge, verify = extraction.primary_rows(staged(_answers(spark, sf_dir, _keyed(spark, sf_dir), "primary", _pair_text()), "answers"), live)
+    columns = ("market_id_a", "market_id_b", "relationship_type", "direction", "confidence", "trust_tier", "agreement_status", "model")
+    second = verify.select(F.col("a").alias("market_id_a"), F.col("b").alias("market_id_b"), "relationship_type", "direction", "confidence", F.lit(None).cast("string").alias("trust_tier"), F.lit(None).cast("string").alias("agreement_status"), "model")
+    return edge.select(*columns, F.lit("written").alias("kind")).union(second.select(*columns, F.lit("verify")))
+
+
+@query(f"""WITH {_CP}, rc AS (SELECT * FROM cl WHERE n % 5 IN (0, 3)) SELECT a AS market_id_a, b AS market_id_b, 'implies' AS relationship_type, 'a_implies_b' AS direction, 0.9 AS confidence,
+  CASE WHEN error IS NOT NULL THEN 'soft' WHEN relationship_type = 'implies' THEN 'trusted' ELSE 'review' END AS trust_tier, CASE WHEN error IS NOT NULL THEN 'single' WHEN relationship_type = 'implies' THEN 'agreed' ELSE 'disagreed' END AS agreement_status,
+  'earlier' AS model, CASE WHEN error IS NULL THEN 'model' END AS verify_model FROM rc""")
+def reconcile_verify(spark, sf_dir):
+    first = {"relationship_type": "implies", "direction": "first_implies_second", "rationale": "r"}
+    rows = _keyed(spark, sf_dir).withColumns({k: F.lit(v) for k, v in first.items()} | {"confidence": F.lit(0.9), "model": F.lit("earlier")})
+    return extraction.verify_rows(_answers(spark, sf_dir, rows, "verify", extraction.verify_context())).drop("rationale", "raw_response")
+
+
+def _descriptions(spark, sf_dir):
+    """A completion about each market; some lack a key, have a text instead of an array, or an empty answer."""
+    n = F.col("ordinal")
+    entities = F.when(n % 7 == 0, F.lit('"none"')).when(n % 7 == 1, F.lit("null")).otherwise(F.concat(F.lit('[" '), F.col("yes_sub_title"), F.lit('", "", " x "]')))
+    body = F.concat(F.lit('{"underlying_event":"'), F.col("series_ticker"), F.lit('","resolves_yes_when":" y "'), F.when(n % 9 == 0, "").otherwise(',"resolves_no_when":5'), F.lit(',"resolution_timing":null,"entities":'), entities, F.lit("}"))
+    return markets(spark, sf_dir).select("market_id", n.alias("n"), F.when(n % 10 != 3, body).alias("content"))
+
+
+_SM = f"""{_MK}, sm AS (SELECT market_id, ordinal AS n, series_ticker AS underlying_event, label, CASE WHEN ordinal % 10 = 3 THEN 'not an object' WHEN ordinal % 9 = 0 THEN 'resolves_no_when' WHEN ordinal % 7 = 0 THEN 'entities' END AS error FROM mk)"""
+
+
+@query(f"""WITH {_SM} SELECT market_id, CASE WHEN error IS NULL THEN underlying_event END AS underlying_event, CASE WHEN error IS NULL THEN ' y ' END AS resolves_yes_when, CASE WHEN error IS NULL THEN '5' END AS resolves_no_when, CASE WHEN error IS NULL THEN 'None' END AS resolution_timing,
+  CASE WHEN error IS NULL THEN CASE WHEN n % 7 = 1 THEN '' ELSE trim(label) || ',x' END END AS entities, error FROM sm""")
+def parse_semantics(spark, sf_dir):
+    rows = edges.parse_semantics(_descriptions(spark, sf_dir))
+    return rows.select("market_id", "underlying_event", "resolves_yes_when", "resolves_no_when", "resolution_timing", F.array_join("entities", ",").alias("entities"), "error")
+
+
+@query(f"WITH {_SM} SELECT market_id, underlying_event, 'model' AS model FROM sm WHERE error IS NULL AND n % 5 IN (0, 3)")
+def reconcile_semantics(spark, sf_dir):
+    rows = _descriptions(spark, sf_dir).withColumn("key", F.col("market_id"))
+    return extraction.semantics_rows(_answers(spark, sf_dir, rows, "semantics", F.col("market_id"))).select("market_id", "underlying_event", "model")
+
+
 @query()
 def shard_assignment(spark, sf_dir):
     from ..functions.scalars import shard
@@ -491,6 +781,17 @@ def prune_resolved_graph(spark, sf_dir):
     return s.select(F.lit("semantics").alias("kind"), F.col("market_id").alias("a"), F.lit(None).cast("string").alias("b")).union(e.select(F.lit("edge"), "market_id_a", "market_id_b"))
 
 
+@query(f"""WITH {_LM}, pd AS (SELECT market_id FROM lm WHERE NOT subscribed AND resolved_at IS NULL AND market_id IN (SELECT market_id FROM sem UNION SELECT a FROM evp UNION SELECT b FROM evp) ORDER BY market_id LIMIT 200)
+  SELECT market_id, coalesce(resolved_at, CASE WHEN market_id IN (SELECT market_id FROM pd) AND ordinal % 3 <> 0 THEN CASE WHEN ordinal % 3 = 1 THEN TIMESTAMP '2024-01-10 00:00:00' ELSE {END} END END) AS resolved_at FROM lm""")
+def resolution_reconcile(spark, sf_dir):
+    """Of the looked-up markets a third is open, a third has a result and a time, a third is finalized without any."""
+    m = _lifecycle_markets(spark, sf_dir)
+    n = F.col("ordinal") % 3
+    doc = F.when(n == 0, '{"result":" ","status":"active"}').when(n == 1, '{"result":"yes","status":"closed","close_time":"2024-01-10T00:00:00Z"}').otherwise('{"status":" Finalized "}')
+    lookup = m.select(F.col("market_id").alias("key"), doc.alias("doc"))
+    return retention.reconcile_resolutions(m, _semantics(spark, sf_dir), _edge_ids(spark, sf_dir), lookup, end(), 200).select("market_id", "resolved_at")
+
+
 @query(f"""WITH {_PR} SELECT (SELECT count(*) FROM mk WHERE status = 'active') AS active, (SELECT count(*) FROM mk WHERE status = 'active' AND NOT (ordinal % 4 <> 1 AND 1 + ordinal % 2 = 1)) AS to_extract, (SELECT count(*) FROM pr) AS candidate_pairs""")
 def work_plan(spark, sf_dir):
     m, s = _subscribed(spark, sf_dir), _semantics(spark, sf_dir)

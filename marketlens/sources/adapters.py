@@ -41,8 +41,24 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested events of the catalog: series_ticker, event_ticker, mutually_exclusive, markets array<struct>."""
-    return markets(spark, sf_dir).groupBy("series_ticker", "event_ticker", "mutually_exclusive").agg(F.sort_array(F.collect_list(F.struct("ordinal", "market_id", "status", "yes_sub_title", "subtitle", "volume_fp", "closes_at"))).alias("markets"))
+    """Nested events of the catalog: series_ticker, event_ticker, mutually_exclusive, ordinal, markets array<struct>."""
+    strike = F.when(F.col("yes_sub_title").isNull(), F.col("size")).alias("cap_strike")
+    none = lambda name: F.lit(None).cast("string").alias(name)
+    market = F.struct("ordinal", "market_id", "status", "yes_sub_title", "subtitle", strike, none("floor_strike"), none("strike"), none("expiration_value"), "volume_fp", F.col("volume_text").alias("volume"), "volume_24h_fp", "closes_at")
+    rows = markets(spark, sf_dir).withColumn("yes_sub_title", F.when(F.col("ordinal") % 7 != 0, F.col("yes_sub_title")))
+    return rows.groupBy("series_ticker", "event_ticker", "mutually_exclusive").agg(F.min("ordinal").alias("ordinal"), F.sort_array(F.collect_list(market)).alias("markets"))
+
+
+def catalog_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog as JSON documents of events (column doc). Some markets lack a title, rules or a time, or have an odd one."""
+    n, at = F.col("ordinal"), F.date_format("closes_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    text = F.when(n % 5 == 0, F.unix_seconds(F.col("closes_at").cast("timestamp")).cast("string")).when(n % 5 == 1, "soon").otherwise(at)
+    market = F.struct(
+        F.col("market_id").alias("ticker"), F.when(n % 3 != 0, F.concat(F.lit("Will "), "yes_sub_title", F.lit("?"))).alias("title"), F.when(n % 4 != 0, F.col("yes_sub_title")).otherwise(F.lit("")).alias("yes_sub_title"),
+        F.when(n % 4 == 0, F.concat(F.lit("No. "), n.cast("string"))).alias("subtitle"), F.when(n % 2 == 0, F.lit("primary")).alias("rules_primary"), F.when(n % 6 == 0, F.lit("secondary")).otherwise(F.lit("")).alias("rules_secondary"), text.alias("close_time"), "status",
+    )
+    events = markets(spark, sf_dir).groupBy("series_ticker", "event_ticker").agg(F.collect_list(market).alias("markets"))
+    return events.select(F.to_json(F.struct("series_ticker", "event_ticker", F.concat(F.lit("Event "), "event_ticker").alias("title"), "markets")).alias("doc"))
 
 
 def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +75,10 @@ def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") % 10 != 0, "active").otherwise("closed").alias("status"),
         F.col("p_name").alias("yes_sub_title"),
         F.lit(None).cast("string").alias("subtitle"),
-        F.col("v").cast("string").alias("volume_fp"),
+        F.col("p_size").alias("size"),
+        F.when(F.col("p_partkey") % 11 == 0, "n/a").otherwise(F.col("v").cast("string")).alias("volume_fp"),
+        F.col("v").cast("string").alias("volume_text"),
+        F.lit(None).cast("string").alias("volume_24h_fp"),
         F.when(F.col("p_partkey") % 13 != 0, closes).alias("closes_at"),
         F.array(F.get(words, F.lit(0)), F.get(words, F.lit(1)), F.col("p_brand"), F.col("p_type"), F.concat(F.lit("size"), F.col("p_size").cast("string"))).alias("entities"),
     )

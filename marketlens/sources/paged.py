@@ -1,11 +1,12 @@
-"""Reading paged services as a data source: one partition for each key, pages followed by their cursor.
+"""Reading paged services as a data source: keys are dealt to a few connections, pages followed by their cursor.
 
     spark.dataSource.register(PagedSource)
     spark.read.format("paged").schema("doc string").option("client", "package.module:factory").option("keys", "A,B").load()
 
 The factory makes, on the executor, a client whose page(key, cursor) returns (documents, next cursor or None). Calls are
-paced by a token bucket and retried with a jittered, growing delay; a client raises Missing for a key that does not exist,
-which gives no rows.
+retried with a jittered, growing delay and paced: `persecond` is the rate of all `connections` together, each of which has its
+share of it. A client raises Missing for a key that does not exist, which gives no rows, or a null document with the option
+`misses`.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ class Temporary(Exception):
 
 
 class TokenBucket:
-    def __init__(self, per_second: float, burst: int, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+    def __init__(self, per_second: float, burst: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
         self.rate, self.burst, self.clock, self.sleep = per_second, burst, clock, sleep
         self.tokens, self.at = float(burst), clock()
 
@@ -53,38 +54,43 @@ def retried(call: Callable, tries: int = 5, first: float = 0.5, most: float = 30
             sleep(random.random() * min(most, first * 2**k))
 
 
-class KeyPartition(InputPartition):
-    def __init__(self, key: str):
-        super().__init__(key)
-        self.key = key
+class Connection(InputPartition):
+    def __init__(self, keys: list[str], share: float):
+        super().__init__(keys)
+        self.keys, self.share = keys, share
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = dict(options)
 
-    def partitions(self) -> list[KeyPartition]:
-        return [KeyPartition(k) for k in self.options.get("keys", "").split(",") if k]
+    def partitions(self) -> list[Connection]:
+        keys = [k for k in self.options.get("keys", "").split(",") if k]
+        n = min(len(keys), int(self.options.get("connections", 4)))
+        return [Connection(keys[k::n], 1 / n) for k in range(n)]
 
-    def read(self, partition: KeyPartition) -> Iterator[tuple]:
+    def read(self, partition: Connection) -> Iterator[tuple]:
         module, _, name = self.options["client"].partition(":")
         client = getattr(importlib.import_module(module), name)()
-        bucket = TokenBucket(float(self.options.get("persecond", 8)), int(self.options.get("burst", 8)))
-        cursor = None
-        while True:
-
-            def page(cursor=cursor):
-                bucket.take()
-                return client.page(partition.key, cursor)
-
-            try:
-                documents, cursor = retried(page, int(self.options.get("tries", 5)))
-            except Missing:
-                return
-            for d in documents:
-                yield (partition.key, json.dumps(d))
-            if not cursor:
-                return
+        rate, burst = float(self.options.get("persecond", 8)), float(self.options.get("burst", 8))
+        bucket = TokenBucket(rate * partition.share, max(1, burst * partition.share))
+        tries, misses = int(self.options.get("tries", 5)), self.options.get("misses", "false") == "true"
+        for key in partition.keys:
+            cursor = None
+            while True:
+
+                def page(key=key, cursor=cursor):
+                    bucket.take()
+                    return client.page(key, cursor)
+
+                try:
+                    documents, cursor = retried(page, tries)
+                except Missing:
+                    documents, cursor = [None] if misses else [], None
+                for d in documents:
+                    yield (key, None if d is None else json.dumps(d))
+                if not cursor:
+                    break
 
 
 class PagedSource(DataSource):

@@ -33,7 +33,7 @@ def test_scalars(spark):
     assert one(spark, "", "string", lambda c: scalars.label(c, F.lit(None), cap_strike=F.lit(5))) == "cap_strike=5"
 
 
-@pytest.mark.parametrize(("a", "b", "want"), [(1, 100, "skip"), (36, 200, "sync"), (200, 400, "batch"), (None, None, "sync"), (None, 400, "batch"), (24, 48, "sync"), (48, 48, "batch")])
+@pytest.mark.parametrize(("a", "b", "want"), [(5, 90, "skip"), (23.99, None, "skip"), (30, 31, "sync"), (24, 48, "sync"), (47.99, 500, "sync"), (48, 48, "batch"), (None, 75, "batch"), (None, None, "sync")])
 def test_routes(spark, a, b, want):
     row = spark.createDataFrame([(a and a * 3600.0, b and b * 3600.0)], "a double, b double")
     assert row.select(scalars.route(F.col("a"), F.col("b"))).first()[0] == want
@@ -100,23 +100,87 @@ def test_provider_failures_are_rows(spark):
     assert got == {"1": ("X", None), "2": (None, "ValueError: no")}
 
 
-def test_versioned_table(spark, tmp_path):
-    t = tables.VersionedTable(spark, f"file://{tmp_path}", "tracked_series")
-    row = lambda k, when, rank: (k, when, when, True, True, True, 1, 1, 5.0, rank)
+def test_swap_and_upsert(spark):
     from marketlens.schemas import SCHEMAS
 
+    row = lambda k, when, rank: (k, when, when, True, True, True, 1, 1, 5.0, rank)
     make = lambda *rows: spark.createDataFrame(list(rows), SCHEMAS["tracked_series"])
-    one_, two = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    assert t.read().count() == 0
-    t.swap(make(row("A", one_, 1), row("B", one_, 2)))
-    t.swap(make(row("B", two, 1), row("C", two, 2)))
-    assert {r.series_ticker: r.admitted_at for r in t.read().collect()} == {"B": one_, "C": two}
-    with pytest.raises(ValueError):
-        t.swap(make(row(None, two, 1)))
-    t.swap(make())
-    assert {r.series_ticker for r in t.read().collect()} == {"B", "C"}
-    t.upsert(make(row("C", one_, 9), row("D", two, 3)), preserve=("admitted_at",))
-    assert {r.series_ticker: r.rank_position for r in t.read().collect()} == {"B": 1, "C": 9, "D": 3}
+    one_, two = dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 2)
+    old, new = make(row("Q", one_, 1), row("R", one_, 2)), make(row("R", two, 1), row("S", two, 2))
+    after = tables.swap(old, new)
+    assert {r.series_ticker: r.admitted_at for r in after.collect()} == {"R": one_, "S": two}
+    assert {r.series_ticker for r in tables.swap(old, make()).collect()} == {"Q", "R"}
+    with pytest.raises(Exception, match="without key"):
+        tables.swap(old, make(row(None, two, 1))).collect()
+    twice = make(row("S", one_, 9), row("S", one_, 7), row("T", two, 3))
+    assert {r.series_ticker: r.rank_position for r in tables.upsert(after, twice, ["series_ticker"], ("admitted_at",), order="rank_position").collect()} == {"R": 1, "S": 9, "T": 3}
+    with pytest.raises(Exception, match="already there"):
+        tables.insert(old, make(row("R", two, 1)), "series_ticker").collect()
+    assert tables.insert(old, make(row("U", two, 1)), "series_ticker").count() == 3
+
+
+def completion(spark, *texts):
+    return edges.parse_classification(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, content string")).orderBy("k").collect()
+
+
+def test_completions_are_taken_as_they_are(spark):
+    good = '{"relationship_type":" implies ","direction":"","confidence":"1.7","rationale":"{x}"}'
+    rows = completion(spark, good, good + " and {so} on", good + good, good + "]} {", f"```json\n{good}\n```", f"```{good}```", f"[{good}]", good.replace("implies", "Implies"), good.replace('""', '"None"'), good.replace('""', "null"), good.replace('"1.7"', "true"), good.replace('"1.7"', '"x"'), None)
+    assert [r.error for r in rows] == [None, "not an object", "not an object", "not an object", None, "not an object", "not an object", "relation", "direction", "direction", None, "confidence", "not an object"]
+    assert (rows[0].relationship_type, rows[0].direction, rows[0].confidence, rows[0].rationale) == ("implies", "none", 1.0, "{x}") and rows[10].confidence == 1.0
+
+
+def test_semantics_need_their_keys(spark):
+    text = '{"underlying_event":" e ","resolves_yes_when":"y","resolves_no_when":7,"resolution_timing":null,"entities":[" a ","",3],"dependencies":null}'
+    rows = edges.parse_semantics(spark.createDataFrame([(0, text), (1, text.replace("underlying", "under")), (2, text.replace('[" a ","",3]', '"a"')), (3, text.replace('"entities":[" a ","",3],', ""))], "k int, content string")).orderBy("k").collect()
+    assert [r.error for r in rows] == [None, "underlying_event", "entities", None]
+    assert (rows[0].underlying_event, rows[0].resolves_no_when, rows[0].resolution_timing, rows[0].entities, rows[0].dependencies, rows[3].entities) == (" e ", "7", "None", ["a", "3"], [], [])
+
+
+def test_wire_messages_of_both_names_and_zeros(spark):
+    import json
+
+    from marketlens.operators import normalize
+
+    said = lambda kind, **msg: json.dumps({"type": kind, "seq": 3, "msg": msg})
+    bodies = [
+        said("market_lifecycle", market_id="L", ts=86400, ts_ms=5, event_type="created"), said("orderbook_delta", market_ticker="", market_id="D", price_dollars=0, price="0.20", delta_fp=0, delta=4, side="yes", ts=86400),
+        said("trade", market_ticker="T", ts_ms=0, ts=86400, yes_price_dollars="0.3", no_price_dollars="0.7", taker_side="no", trade_id="x"), said("ok", market_ticker="C"), said("trade"), "[]", "no",
+    ]
+    frames = spark.createDataFrame([(dt.datetime(2024, 3, 1), k, b) for k, b in enumerate(bodies)], "received_ts timestamp_ntz, ingest_seq long, body string")
+    rows = normalize.from_wire(frames)
+    day = dt.datetime(1970, 1, 2)
+    assert {(r.market_id, r.event_type, r.ts) for r in rows.collect()} == {("L", "lifecycle", day), ("D", "orderbook_delta", None), ("T", "trade", day)}
+    got = {r.market_id: r for r in normalize.decoded(rows).collect()}
+    assert (got["D"].price, got["D"].delta) == (200_000, 0) and (got["T"].trade_price, got["T"].no_price, got["T"].taker_side, got["T"].trade_id) == (300_000, 700_000, "no", "x")
+    docs = spark.createDataFrame([("A", '{"orderbook_fp":{"yes_dollars":[["0.3","5"],["x"]],"no":[[0.6,1]]}}'), ("B", '{"orderbook":{"yes":[]}}'), ("C", None)], "key string, doc string")
+    assert {tuple(r) for r in normalize.fetched_book(docs).collect()} == {("A", "yes", 300_000, 5_000_000), ("A", "no", 600_000, 1_000_000)}
+
+
+def test_ranks_of_equal_series_keep_the_order_they_were_seen_in(spark):
+    rows = spark.createDataFrame([("Z", True, 1, 1, 5.0, 1), ("A", True, 1, 1, 5.0, 2), ("B", False, 9, 9, 9.0, 0)], "series_ticker string, passes_p1 boolean, n_partition_events int, n_hierarchy_events int, volume_24h double, first_seen long")
+    assert [r.series_ticker for r in discovery.ranked(rows).orderBy("rank_position").collect()] == ["Z", "A", "B"]
+
+
+@pytest.mark.parametrize("values", [[], [0.0], [-1.0, 0.0, 0.0, 2.0], [float(k * k % 97) for k in range(1, 500)], [1e-9, 1e12, 3.0] * 7])
+def test_volume_distribution(spark, values):
+    r = discovery.volume_distribution(spark.createDataFrame([(v,) for v in values], "volume double").repartition(3)).first()
+    order, n = sorted(values), len(values)
+    assert (r.n, r.max) == (n, order[-1] if n else None) and r.below_100 == sum(v < 100 for v in values)
+    assert [r.p50, r.p90, r.p99] == [order[min(n - 1, int(q * n))] if n else None for q in (0.5, 0.9, 0.99)]
+
+
+def test_few_markets_are_extracted_one_by_one(spark):
+    from marketlens.operators import extraction
+
+    m = spark.createDataFrame([(f"m{k}", True) for k in range(9)], "market_id string, subscribed boolean")
+    none = spark.createDataFrame([], "market_id string, extraction_version int")
+    open_ = spark.createDataFrame([("b", "semantics", '{"r0":"m1"}')], "batch_id string, purpose string, payload string")
+    p = Params(sync_cap=3, batch_cap=5, bulk_threshold=8)
+    work = lambda batches, p=p: [(r.market_id, r.route) for r in extraction.semantics_work(m, none, batches, 1, p).orderBy("market_id").collect()]
+    assert work(open_) == [(f"m{k}", "batch") for k in (0, 2, 3, 4, 5)]
+    assert work(open_, Params(sync_cap=3, batch_cap=5, bulk_threshold=9)) == [(f"m{k}", "sync") for k in (0, 2, 3)]
+    assert work(None) == [(f"m{k}", "sync") for k in (0, 1, 2)]
 
 
 def test_prune_keeps_rows_without_time(spark):
@@ -139,6 +203,8 @@ def test_paged_source(spark):
     spark.dataSource.register(PagedSource)
     rows = spark.read.format("paged").option("client", "tests.test_operators:Service").option("keys", "A,gone,B").option("perSecond", "1000").load()
     assert rows.groupBy("key").count().orderBy("key").collect() == [("A", 3), ("B", 3)]
+    misses = spark.read.format("paged").option("client", "tests.test_operators:Service").option("keys", "A,gone,B").option("perSecond", "1000").option("misses", "true").option("connections", "2").load()
+    assert {(r.key, r.doc is None) for r in misses.collect()} == {("A", False), ("B", False), ("gone", True)}
 
 
 def test_pacing_and_retries():

@@ -33,34 +33,67 @@ def books(spark, rows):
 
 
 def test_snapshot_and_delta(spark):
-    rows = [snapshot(1, [["0.40", "100"], ["0.38", "50"]], [["0.55", "80"]], 5), delta(2, "yes", "0.41", "30", 6)]
+    rows = [snapshot(1, [["0.23", "7"], ["0.19", "12"]], [["0.66", "9"]], 31), delta(2, "yes", "0.27", "4", 32)]
     found = books(spark, rows)
-    assert found == {("A", "yes", 40): 100, ("A", "yes", 38): 50, ("A", "yes", 41): 30, ("A", "no", 55): 80}
+    assert found == {("A", "yes", 23): 7, ("A", "yes", 19): 12, ("A", "yes", 27): 4, ("A", "no", 66): 9}
     end = F.lit(T0 + dt.timedelta(seconds=120)).cast("timestamp_ntz")
-    last = replay.grid(normalize.decoded(spark.createDataFrame(rows, SCHEMA)), end).orderBy("ts").collect()[-1]
-    assert (last.bid_micro, last.ask_micro) == (410_000, 450_000)
+    last = replay.grid(replay.accepted(normalize.decoded(spark.createDataFrame(rows, SCHEMA))), end).orderBy("ts").collect()[-1]
+    assert (last.bid_micro, last.ask_micro) == (270_000, 340_000)
 
 
 def test_guards(spark):
-    base = snapshot(1, [["0.40", "100"]], [], 5)
-    assert books(spark, [base, delta(2, "yes", "0.42", "1", 8)])["A", "yes", 42] == 1  # a gap is tolerated
-    assert books(spark, [base, delta(2, "yes", "0.40", "1", 6), delta(3, "yes", "0.40", "1", 6)])["A", "yes", 40] == 101
-    assert books(spark, [delta(1, "yes", "0.40", "1", 6)]) == {}  # nothing before a snapshot
-    assert books(spark, [base, delta(2, "yes", "0.40", "-150", 6)]) == {}
+    base = snapshot(1, [["0.33", "20"]], [], 70)
+    assert books(spark, [base, delta(2, "yes", "0.35", "2", 77)])["A", "yes", 35] == 2  # a gap is tolerated
+    assert books(spark, [base, delta(2, "yes", "0.33", "3", 71), delta(3, "yes", "0.33", "3", 71)])["A", "yes", 33] == 23
+    assert books(spark, [delta(1, "yes", "0.33", "3", 71)]) == {}  # nothing before a snapshot
+    assert books(spark, [base, delta(2, "yes", "0.33", "-21", 71)]) == {}
     # Out-of-band and malformed deltas count for the sequence.
-    assert books(spark, [base, delta(2, "yes", "1.00", "5", 9), delta(3, "yes", "0.40", "1", 9)]) == {("A", "yes", 40): 100}
-    assert books(spark, [base, delta(2, "yes", "x", "5", 9), delta(3, "yes", "0.40", "1", 9)]) == {("A", "yes", 40): 100}
+    assert books(spark, [base, delta(2, "yes", "0.995", "8", 90), delta(3, "yes", "0.33", "3", 90)]) == {("A", "yes", 33): 20}
+    assert books(spark, [base, delta(2, "yes", "a price", "8", 90), delta(3, "yes", "0.33", "3", 90)]) == {("A", "yes", 33): 20}
 
 
 def test_malformed_levels_and_repeated_prices(spark):
-    found = books(spark, [snapshot(1, [["0.40", "100"], ["bad"], "nope", [1], None, ["0.00", "5"], ["0.40", "7"], ["0.40", "-1"]], [])])
-    assert found == {("A", "yes", 40): 7}
+    found = books(spark, [snapshot(1, [["0.62", "4"], {"p": 1}, 17, ["0.61"], "0.6", ["0.005", "2"], ["0.62", "6"], ["0.62", "0"], ["0.5", "x"]], [])])
+    assert found == {("A", "yes", 62): 6}
+
+
+def decoded(spark, rows):
+    return normalize.decoded(spark.createDataFrame(rows, SCHEMA))
+
+
+def ends(seconds):
+    return F.lit(T0 + dt.timedelta(seconds=seconds)).cast("timestamp_ntz")
+
+
+def test_a_reset_from_outside_empties_the_book_until_the_next_snapshot(spark):
+    rows = [snapshot(1, [["0.3", "5"]], [], 1), delta(130, "yes", "0.31", "5", 2), snapshot(190, [["0.2", "1"]], [], 1)]
+    resets = spark.createDataFrame([("A", T0 + dt.timedelta(seconds=70))], "market_id string, received_ts timestamp_ntz")
+    cells = replay.grid(replay.accepted(replay.with_resets(decoded(spark, rows), resets)), ends(240)).orderBy("ts").collect()
+    assert [c.bid_micro for c in cells] == [300_000, None, None, 200_000]
+    assert replay.last_levels(replay.level_changes(replay.accepted(replay.with_resets(decoded(spark, rows[:2]), resets)))).count() == 0
+
+
+def test_every_active_market_has_a_row_and_no_other(spark):
+    rows = [snapshot(1, [["0.3", "5"]], [], 1, "A"), snapshot(1, [["0.3", "5"]], [], 1, "B")]
+    active = spark.createDataFrame([("A", "active"), ("C", "paused")], "market_id string, status string")
+    cells = replay.grid(replay.accepted(replay.of_active(decoded(spark, rows), active)), ends(120), active, ends(0)).orderBy("market_id", "ts").collect()
+    assert [(c.market_id, c.bid_micro, c.status) for c in cells] == [("A", None, "active"), ("A", 300_000, "active"), ("A", 300_000, "active")] + [("C", None, "paused")] * 3
+
+
+def test_resume_from_any_checkpoint_equals_all_events(spark):
+    r = random.Random(12)
+    rows = [snapshot(k, [["0.44", "3"]], [["0.21", "2"]], r.choice([None, k]), r.choice("ABCD")) if r.random() < 0.15 else delta(k, r.choice(["yes", "no"]), r.choice(["0.44", "0.43", "0.21"]), str(r.randint(-5, 4)), r.choice([None, k, k - 3]), r.choice("ABCD")) for k in range(400)]
+    want = books(spark, rows)
+    for cut in (3, 90, 250, 399):
+        state = replay.checkpoint(replay.accepted(decoded(spark, rows[:cut])))
+        left = replay.level_changes(replay.accepted(replay.resumed(state, decoded(spark, rows[max(0, cut - 5) :]))))
+        assert {(x.market_id, x.side, x.price // 10_000): x["size"] / 1e6 for x in replay.last_levels(left).collect()} == want
 
 
 def test_crossed_book_is_emitted_once_and_reset(spark):
     rows = [snapshot(1, [["0.60", "10"]], [["0.50", "10"]], 1), delta(70, "yes", "0.61", "1", 2)]
     end = F.lit(T0 + dt.timedelta(seconds=240)).cast("timestamp_ntz")
-    cells = replay.grid(normalize.decoded(spark.createDataFrame(rows, SCHEMA)), end).orderBy("ts").collect()
+    cells = replay.grid(replay.accepted(normalize.decoded(spark.createDataFrame(rows, SCHEMA))), end).orderBy("ts").collect()
     assert [(c.crossed, c.bid_micro) for c in cells] == [(True, 600_000), (False, None), (False, None), (False, None)]
 
 
