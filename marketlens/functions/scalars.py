@@ -40,7 +40,7 @@ def parse_time(text: Column) -> Column:
     number = text.try_cast("double")
     micros = F.when(F.abs(number) > 1e12, number * 1000).otherwise(number * 1_000_000)
     by_number = F.when(number != 0, F.timestamp_micros(micros.cast("bigint")))
-    return F.coalesce(by_number, F.when(number.isNull(), F.try_to_timestamp(F.nullif(F.trim(text), F.lit("")))))
+    return F.coalesce(by_number, F.when(number.isNull(), F.try_to_timestamp(F.nullif(strip(text), F.lit("")))))
 
 
 def floor_to(ts: Column, seconds: int) -> Column:
@@ -84,7 +84,7 @@ def pair(a: Column, b: Column) -> tuple[Column, Column]:
 
 def entities(names: Column) -> Column:
     """Trimmed, lower-cased, distinct, without empty ones."""
-    clean = F.transform(names, lambda x: F.lower(F.trim(x)))
+    clean = F.transform(names, lambda x: F.lower(strip(x)))
     return F.array_sort(F.array_distinct(F.filter(clean, lambda x: x.isNotNull() & (x != ""))))
 
 
@@ -106,19 +106,24 @@ def strong_status(event: Column, deactivated: Column) -> Column:
 
 
 def resolved_at(result: Column, status: Column, settled: Column, closed: Column, now: Column) -> Column:
-    done = (F.coalesce(F.trim(result), F.lit("")) != "") | F.coalesce(F.lower(F.trim(status)).isin(*TERMINAL), F.lit(False))
+    done = (F.coalesce(strip(result), F.lit("")) != "") | F.coalesce(F.lower(strip(status)).isin(*TERMINAL), F.lit(False))
     return F.when(done, F.coalesce(settled, closed, now))
 
 
 def clamp_unit(x: Column) -> Column:
-    return F.when(F.isnan(x), 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
+    return F.when(F.isnan(x), 1.0).when(x.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
+
+
+def strip(text: Column) -> Column:
+    """Without white space of any kind at its ends."""
+    return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def strip_fence(text: Column) -> Column:
     """Without a Markdown code fence around it: its first line, and its end if the text ends with it."""
-    plain = F.trim(text)
-    inner = F.trim(F.regexp_replace(F.regexp_replace(plain, r"^[^\n]*\n", ""), r"^json", ""))
-    return F.when(F.startswith(plain, F.lit("```")), F.trim(F.regexp_replace(inner, "```$", ""))).otherwise(plain)
+    plain = strip(text)
+    inner = strip(F.regexp_replace(F.regexp_replace(plain, r"^[^\n]*\n", ""), r"^json", ""))
+    return F.when(F.startswith(plain, F.lit("```")), strip(F.regexp_replace(inner, "```$", ""))).otherwise(plain)
 
 
 def one_object(text: Column) -> Column:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clamp_unit, one_object, strip_fence, tier
+from ..functions.scalars import clamp_unit, one_object, strip, strip_fence, tier
 from ..params import DEFAULT, DIRECTIONS, RELATIONS, Params
 
 def _parsed(rows: DataFrame) -> DataFrame:
@@ -26,8 +26,8 @@ def parse_classification(rows: DataFrame) -> DataFrame:
     """The columns with relationship_type, direction, confidence, rationale and error (null where the completion is valid).
     Names must be exact but for white space around them."""
     v = F.col("_v")
-    kind = F.trim(_said("$.relationship_type"))
-    way = F.coalesce(F.nullif(F.trim(_said("$.direction")), F.lit("")), F.lit("none"))
+    kind = strip(_said("$.relationship_type"))
+    way = F.coalesce(F.nullif(strip(_said("$.direction")), F.lit("")), F.lit("none"))
     sure = F.try_variant_get(v, "$.confidence", "string")
     confidence = clamp_unit(F.when(sure == "true", 1.0).when(sure == "false", 0.0).otherwise(sure.try_cast("double")))
     error = F.when(v.isNull(), "not an object").when(~F.coalesce(kind.isin(*RELATIONS), F.lit(False)), "relation").when(~way.isin(*DIRECTIONS), "direction").when(confidence.isNull(), "confidence")
@@ -51,7 +51,7 @@ def parse_semantics(rows: DataFrame) -> DataFrame:
         error = F.coalesce(error, F.when(c.isNull(), n))
     out = _parsed(rows).withColumn("error", error)
     ok = F.col("error").isNull()
-    clean = lambda a: F.filter(F.transform(a, lambda x: F.trim(x)), lambda x: x != "")
+    clean = lambda a: F.filter(F.transform(a, lambda x: strip(x)), lambda x: x != "")
     return out.select(*rows.columns, *(F.when(ok, c).alias(n) for n, c in texts.items()), *(F.when(ok, clean(c)).alias(n) for n, c in arrays.items()), "error")
 
 

@@ -70,5 +70,6 @@ def fetched_book(docs: DataFrame) -> DataFrame:
     malformed levels give no rows."""
     v = F.try_parse_json("doc")
     sides = [(s, level_list(F.col("v"), f"$.orderbook_fp.{s}_dollars", f"$.orderbook_fp.{s}", f"$.orderbook.{s}_dollars", f"$.orderbook.{s}")) for s in ("yes", "no")]
-    tagged = F.concat(*(F.transform(c, lambda x, s=s: F.struct(F.lit(s).alias("side"), x["price"].alias("price"), x["size"].alias("size"))) for s, c in sides))
+    named = lambda side: lambda x: F.struct(F.lit(side).alias("side"), x["price"].alias("price"), x["size"].alias("size"))
+    tagged = F.concat(*(F.transform(levels, named(side)) for side, levels in sides))
     return docs.withColumn("v", v).select(F.col("key").alias("market_id"), F.explode(tagged).alias("c")).select("market_id", "c.*")
