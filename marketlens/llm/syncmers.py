@@ -82,7 +82,7 @@ def bucket_of(key: Column, bounds: list[int]) -> Column:
     below = lambda some: F.size(F.filter(some, lambda b: b < key))
     parts = [bounds[k : k + step] for k in range(0, len(bounds), step)]
     coarse = below(array([p[-1] for p in parts]))
-    return coarse * step + F.coalesce(below(F.get(F.array(*map(array, parts)), coarse)), F.lit(0)) if bounds else F.lit(0)
+    return F.least(F.lit(len(bounds)), coarse * step + F.coalesce(below(F.get(F.array(*map(array, parts)), coarse)), F.lit(0))) if bounds else F.lit(0)
 
 
 def with_next(docs: DataFrame) -> DataFrame:
