@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from marketlens.operators import normalize, replay
 from marketlens.params import Params
 
+from tests.conftest import same_rows
+
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "received_ts timestamp_ntz, ingest_seq long, market_id string, event_type string, sequence long, payload string"
 
@@ -156,3 +158,33 @@ def test_stream_equals_batch(spark, tmp_path):
         assert newest[m].bid == (max(yes) * 10_000 if yes else None)
         assert newest[m].ask == (1_000_000 - max(no) * 10_000 if no else None)
     assert live.volumes(stream, p=Params(interval_seconds=3600)).isStreaming
+
+
+def test_grid_of_a_stream_equals_batch(spark, tmp_path):
+    from marketlens.streaming import live
+
+    r, rows = random.Random(5), []
+    for k in range(200):
+        m, kind = r.choice("AB"), r.random()
+        if kind < 0.08:
+            rows.append(snapshot(k, [["0.41", "5"], ["0.37", "2"]], [["0.33", "5"]], k, m))
+        elif kind < 0.2:
+            rows.append(event(k, "trade", None, m, yes_price_dollars=r.choice(["0.41", "0.52"]), count_fp=str(r.randint(1, 9))))
+        elif kind < 0.26:
+            rows.append(event(k, "lifecycle", None, m, event_type=r.choice(["created", "activated", "deactivated", "settled"])))
+        else:
+            rows.append(delta(k, r.choice(["yes", "no"]), r.choice(["0.41", "0.37", "0.33", "0.66"]), str(r.randint(-4, 6)), k - r.choice([0, 0, 3]), m))
+    early, late = rows[:100] + rows[105:112], rows[100:105] + rows[112:]  # out of order within the delay
+    r.shuffle(late)
+    for i, part in enumerate((early, late, [delta(400, "yes", "0.41", "1", 1, "Z")], [delta(401, "yes", "0.41", "1", 2, "Z")])):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    p = Params(interval_seconds=10)
+    want = replay.grid(replay.accepted(decoded(spark, rows), p), ends(370), p=p).toPandas()
+    assert want["crossed"].any()
+    for name, idle in (("grid", None), ("grid_idle", 60)):
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+        q = live.grid(stream, "30 seconds", idle, p).writeStream.outputMode("append").format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        kept = want if idle is None else want[want["ts"] - want["seen_ts"] <= dt.timedelta(seconds=idle)]
+        assert same_rows(spark.table(name).toPandas(), kept)
+        assert idle is None or len(kept) < len(want)
