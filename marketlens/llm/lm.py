@@ -43,6 +43,8 @@ BATCH_TOKENS = 1 << 20
 SHARD_BYTES, HELD_BYTES = 8 << 20, 64 << 20
 #: Queries that are decoded together.
 STEP = 1 << 14
+#: Words that a model may have: a key of two is id * V + id, in a signed 64-bit column.
+MOST_WORDS = 3_000_000_000
 FOLD = np.arange(32)
 
 
@@ -287,8 +289,14 @@ def cuts_of(cuts) -> Iterator[tuple[int, int, int]]:
 
 
 def trie_of(folder: str, about: dict) -> Trie:
-    """The model in this worker; one at a time is kept."""
-    return resident(("trie", folder, len(about.get("pairs", [])), len(about.get("triples", []))), lambda: Trie(folder, about))
+    """The model in this worker; one at a time is kept. Each description has an id of its own, so that a worker which holds
+    another model of the folder, or this one half built, does not take it for this."""
+    return resident(("trie", folder, about["id"]), lambda: Trie(folder, about))
+
+
+def described(about: dict) -> dict:
+    """The description as it is now, with a new id."""
+    return about | {"id": uuid.uuid4().hex}
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -346,7 +354,8 @@ def _file(folder: str, arrays: dict[str, np.ndarray]) -> str:
 
 
 def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGHTS) -> dict:
-    """Writes the levels; returns the description of the model (names of the shards' files, N, V, bounds of the shards)."""
+    """Writes the levels; returns the description of the model (its id, names of the shards' files, N, V, bounds of the shards).
+    A folder may hold several models: files have names of their own, and a description names those of its model."""
     spark = training.sparkSession
     size = training.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = 1 + size // SHARD_BYTES
@@ -378,7 +387,7 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
     found = written(rows.mapInArrow(count_words, "shard int, part binary").groupBy("shard").applyInArrow(merge_words, "shard int, file string, n long, tokens long"), "words")
     level1 = sorted(found.collect())  # a row for each shard
     if not level1:
-        return {"N": 0, "V": 0, "words": []}
+        return described({"N": 0, "V": 0, "words": []})
     by_shard = {r["shard"]: r for r in level1}
     empty = _file(folder, named(ef_encode(np.zeros(0, np.uint64)), "h.") | {"count": np.zeros(0, "<u8")})
     names = [by_shard[s]["file"] if s in by_shard else empty for s in range(shards)]
@@ -386,6 +395,8 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
     n_tokens = np.array([by_shard[s]["tokens"] if s in by_shard else 0 for s in range(shards)])
     about = {"N": int(n_tokens.sum()), "V": int(n_words.sum()), "words": names, "n_words": n_words.tolist()}
     V, N = about["V"], about["N"]
+    if V > MOST_WORDS:
+        raise ValueError(f"{V} words: keys of two words need at most {MOST_WORDS}")
 
     # Bounds: bigram keys at equal shares of the tokens; a frequent word's share is cut by the next word's id.
     token_base, word_base = np.r_[0, np.cumsum(n_tokens)], np.r_[0, np.cumsum(n_words)]
@@ -406,7 +417,7 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
     marks = {r["k"]: r["key"] for r in found.select("shard").mapInArrow(bounds_in, "k int, key long").collect()}  # a row for each shard
     bounds = np.maximum.accumulate(np.array([0] + [marks[k] for k in range(1, shards)], np.int64)).astype(np.uint64)
     about["bounds"] = bounds.tolist()
-    begin_about = dict(about)
+    begin_about = described(about)
 
     # Level 2: each pair of tokens with the token after it (V: none), counted; in shards of the pair.
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -448,7 +459,7 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
         times = np.concatenate(times)
         count = np.bincount(at, times, len(keys))
         full, back = np.unique(at.astype(np.uint64) * np.uint64(V + 1) + np.concatenate(thirds).astype(np.uint64), return_inverse=True)
-        times = np.bincount(back, times, len(full)).astype("<u4")
+        times = np.bincount(back, times, len(full)).astype("<u8")
         third = full % np.uint64(V + 1)
         keep = third < V
         node, third, times = (full // np.uint64(V + 1))[keep].astype(np.int64), third[keep], times[keep]
@@ -464,7 +475,7 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
         pq, pb = quantised(np.log10(p))
         bq, bb = quantised(np.log10(weights[1] / (count + weights[1])))
         name = _file(folder, named(ef_encode(keys), "k.") | named(ef_encode(starts), "s.") | {"p": pq, "p_book": pb, "b": bq, "b_book": bb})
-        raw = packed(np.diff(node, prepend=0).astype("<u4"), third.astype("<u8"), times, count.astype("<u4"), keys % np.uint64(V))
+        raw = packed(np.diff(node, prepend=0).astype("<u4"), third.astype("<u8"), times, count.astype("<u8"), keys % np.uint64(V))
         system, top = opened(folder)
         with system.open_output_stream(f"{top}/{name}.next") as out:
             out.write(raw)
@@ -479,9 +490,9 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
             none = ef_encode(np.zeros(0, np.uint64))
             level2[s] = _file(folder, named(none, "k.") | named(ef_encode(np.zeros(next_word - first_word, np.uint64)), "s.") | {"p": np.zeros(0, np.uint8), "p_book": np.zeros(256), "b": np.zeros(0, np.uint8), "b_book": np.zeros(256)}), 0
             with system.open_output_stream(f"{top}/{level2[s][0]}.next") as out:
-                out.write(packed(*(np.zeros(0, t) for t in ("<u4", "<u8", "<u4", "<u4", "<u8"))))
+                out.write(packed(*(np.zeros(0, t) for t in ("<u4", "<u8", "<u8", "<u8", "<u8"))))
     about["pairs"], about["n_pairs"] = [level2[s][0] for s in range(shards)], [level2[s][1] for s in range(shards)]
-    middle = dict(about)
+    middle = described(about)
 
     # Level 3: the third word of each becomes its place among the successors of the second.
     def build_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -513,7 +524,7 @@ def learn(training: DataFrame, folder: str, weights: tuple[float, float] = WEIGH
     about["triples"] = [level3[s] for s in range(shards)]
     for f in about["pairs"]:
         system.delete_file(f"{top}/{f}.next")
-    return about
+    return described(about)
 
 
 # ---- scoring

@@ -267,6 +267,26 @@ def test_language_model(spark, docs, rows, none):
     assert {r.score for r in lm.score(docs, folder, about).collect()} == {0.0}
 
 
+def test_two_language_models_of_one_folder(spark, docs):
+    """Each model scores every row as it does in a folder of its own, though workers hold the other when they begin."""
+    folder, spread = new_path(spark, "t"), docs.repartition(16)
+    scores = lambda where, about: {(r.doc_id, r.train_tokens, r.n_known, r.score) for r in lm.score(spread, where, about).collect()}
+    first, second = docs.where("doc_id % 2 = 0"), docs
+    a = lm.learn(first, folder)
+    of_a = scores(folder, a)
+    b = lm.learn(second, folder)
+    of_b = scores(folder, b)
+    assert scores(folder, a) == of_a != of_b == scores(folder, b)
+    alone = new_path(spark, "t")
+    assert scores(alone, lm.learn(second, alone)) == of_b
+
+
+def test_language_model_of_too_many_words(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "MOST_WORDS", 3)
+    with pytest.raises(ValueError, match="words"):
+        lm.learn(docs, new_path(spark, "t"))
+
+
 def test_quality_learns_what_is_held_out(spark, none):
     from tests.conftest import SF
 
