@@ -14,6 +14,7 @@ just the end id. An empty table makes no files. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import uuid
@@ -36,6 +37,8 @@ from .common import CACHE_BYTES, Bounded, new_path, of_letters, opened, resident
 MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 26
+#: and so many documents, whose names and lengths a task holds; and documents that it hands on together when it reads.
+FILE_DOCS, READ_DOCS = 1 << 20, 1 << 16
 CHUNK = np.dtype([("offset", "<u8"), ("n_ids", "<u4"), ("sizes", "<u4", (32,))])
 DOC = np.dtype([("doc_id", "<i8"), ("named", "u1"), ("n_tokens", "<u4")])
 FOOTER = np.dtype([("chunks", "<u8"), ("docs", "<u8"), ("planes", "<u4"), ("block_ids", "<u4"), ("magic", "S8")])
@@ -191,7 +194,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str | None = None, end_i
                     name = f"part-{part:06d}-{k:04d}-{uuid.uuid4().hex}.idp"
                     writer = Writer(system.open_output_stream(f"{top}/{name}"), bits=bits)
                 writer.add(doc_id, np.frombuffer(cache.encode(text) + end, "<u4"))
-                if writer.n_ids >= FILE_IDS:
+                if writer.n_ids >= FILE_IDS or len(writer.docs) >= FILE_DOCS:
                     close()
                     writer, k = None, k + 1
         if writer is not None:
@@ -218,8 +221,9 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 with system.open_input_file(f"{top}/{row['path']}") as source:
-                    found = [(d, row["base"] + at, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())) for d, at, ids in Reader(source).documents()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    found = ((d, row["base"] + at, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())) for d, at, ids in Reader(source).documents())
+                    while some := list(itertools.islice(found, READ_DOCS)):
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*some, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     order = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))

@@ -14,7 +14,8 @@ no pair of copies is listed: a document's number of links adds up the sizes of t
 the block where they are found, so that links themselves are listed by `links` only.
 
 Nulls and texts without words have empty sets and link with nothing. Rows may repeat; of rows with the same doc_id each is
-returned. Empty tables give empty results. Other columns are ignored.
+returned. A row without doc_id has no name by which it could be linked: `join` returns it with the size of its set, no links and
+no component, and it takes no part in other rows' links; `links` leaves it out. Empty tables give empty results. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -275,6 +276,7 @@ def links(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100, levels: n
     def report(a, b, c, ids, size, _):
         return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "overlap": c, "similarity": c / (size[a] + size[b] - c)})
 
+    docs = docs.where("doc_id is not null")
     levels = frequencies(signatures(docs, n)) if levels is None else levels
     return products(docs, n, share, of, levels, report, "a long, b long, overlap long, similarity double")
 
@@ -298,7 +300,8 @@ def join(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100) -> DataFra
     """Per row: doc_id, n_shingles, n_links (other doc_ids that it links with, copies included), component_id (the smallest
     doc_id reachable by links, itself included)."""
     sets = signatures(docs, n)
-    rows = sets.where("sig is not null").select("doc_id", "n_shingles", "sig")
+    rows = sets.where("sig is not null and doc_id is not null").select("doc_id", "n_shingles", "sig")
+    nameless = sets.where("sig is not null and doc_id is null")
     # Rows without words have the empty set, but do not equal each other.
     classes = written(rows.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class"), F.count_distinct("doc_id").alias("members"), F.count(F.lit(1)).alias("rows")), "classes")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small(classes.select(F.col("class").alias("doc_id"))), "doc_id", "left_semi")
@@ -310,9 +313,10 @@ def join(docs: DataFrame, n: int = 5, share: int = 80, of: int = 100) -> DataFra
     # very many rows meets one row, so that Spark's adaptive join may split it.
     named = classes.join(small(written(groups, "groups")), classes["class"] == F.col("doc"), "left").join(small(written(times, "times")), classes["class"] == F.col("a"), "left")
     named = named.where("rows > 1 or component is not null").select("sig", F.coalesce("component", "class").alias("component"), (F.col("members") + F.coalesce("near", F.lit(0))).alias("reached"))
-    n_links = F.coalesce(F.col("reached") - F.col("doc_id").isNotNull().cast("long"), F.lit(0))
+    n_links = F.coalesce(F.col("reached") - 1, F.lit(0))
     with_words = rows.where("n_shingles > 0").join(small(written(named, "named")), "sig", "left").select("doc_id", "n_shingles", n_links.alias("n_links"), F.coalesce("component", "doc_id").alias("component_id"))
-    return with_words.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(0).cast("long"), "doc_id"))
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(0).cast("long"), "doc_id")
+    return with_words.union(alone).union(nameless.select("doc_id", "n_shingles", F.lit(0).cast("long"), F.lit(None).cast("long")))
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:

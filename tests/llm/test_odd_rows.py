@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, common, decontaminate, id_planes, pii, quality, syncmers, warc
+from marketlens.llm import bpe, common, decontaminate, id_planes, ngram_join, pii, quality, syncmers, warc
 from marketlens.llm.common import batch_words, new_path, word_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, predicted int, digest long, term_spans string, words long, size long"
@@ -211,3 +211,23 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     documents.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).columns[0] == "doc_id"
     assert len(word_hashes(long)) > 200_000
+
+
+def test_rows_without_ids_link_with_nothing(spark):
+    r = random.Random(4)
+    text = prose(r, 40)
+    rows = [(None, text), (1, text), (None, text), (2, text), (3, text + " more"), (None, None), (4, "")]
+    got = sorted(((x.doc_id, x.n_shingles, x.n_links, x.component_id) for x in ngram_join.join(table(spark, rows)).collect()), key=str)
+    assert got == sorted([(None, 36, 0, None), (1, 36, 2, 1), (None, 36, 0, None), (2, 36, 2, 1), (3, 37, 2, 1), (None, 0, 0, None), (4, 0, 0, 4)], key=str)
+    assert all(x.a is not None and x.b is not None for x in ngram_join.links(table(spark, rows)).collect())
+
+
+def test_id_files_end_by_documents_too(spark, monkeypatch):
+    monkeypatch.setattr(id_planes, "FILE_DOCS", 2)
+    monkeypatch.setattr(id_planes, "READ_DOCS", 3)
+    rows = [(k, "of the quiet" if k % 3 else "") for k in range(11)]
+    folder = new_path(spark, "t")
+    files = id_planes.write_ids(table(spark, rows).coalesce(1), folder, n_files=1)
+    assert sorted(x.n_docs for x in files.collect()) == [1, 2, 2, 2, 2, 2]
+    got = id_planes.read_ids(files, folder).orderBy("doc_id").collect()
+    assert [x.doc_id for x in got] == list(range(11)) and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
