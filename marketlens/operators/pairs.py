@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import entities, remaining_life, route
 from ..params import DEFAULT, Params
+from ..sources.stage import staged
 
 
 def same(markets: DataFrame, key: str, name: str) -> DataFrame:
@@ -17,17 +19,46 @@ def same(markets: DataFrame, key: str, name: str) -> DataFrame:
     return left.join(right, key).where("a < b").select("a", "b", F.lit(name).alias("bucket"))
 
 
-def entity_pairs(markets: DataFrame, least: int) -> DataFrame:
-    """Pairs that share at least `least` entities. The join key is a set of `least` entities, so that only pairs of the
-    result meet, whatever the size of an entity's bucket; a market has one row for each such set of its entities."""
-    rows = markets.groupBy("market_id").agg(entities(F.flatten(F.collect_list("entities"))).alias("e"))
+def _sets_of(rows: DataFrame, least: int) -> DataFrame:
+    """Pairs that meet on a set of `least` entities: only pairs of the result do, whatever the size of an entity's bucket."""
     rows = rows.withColumn("k0", F.lit(-1))
     for n in range(1, least + 1):
         rows = rows.withColumn(f"k{n}", F.explode(F.expr(f"filter(sequence(0, size(e)), i -> i > k{n - 1} and i < size(e))")))
     key = F.array(*(F.get(F.col("e"), F.col(f"k{n}")) for n in range(1, least + 1)))
     keyed = rows.select("market_id", key.alias("key"))
     left, right = keyed.withColumnRenamed("market_id", "a"), keyed.withColumnRenamed("market_id", "b")
-    return left.join(right, "key").where("a < b").select("a", "b").distinct().withColumn("bucket", F.lit("entity"))
+    return left.join(right, "key").where("a < b").select("a", "b").distinct()
+
+
+def _by_prefix(rows: DataFrame, least: int, most: int) -> DataFrame:
+    """Pairs of which one market has more than `most` entities. Of m entities in order of rarity, the first m - least + 1 are
+    enough: two sets that share `least` share one of those. Each pair is then checked once, by its sets."""
+    each = rows.where(F.size("e") >= least).select("market_id", F.size("e").alias("m"), F.explode("e").alias("x"))
+    counts = each.groupBy("x").count()
+    order = Window.partitionBy("market_id").orderBy("count", "x")
+    first = each.join(counts, "x").withColumn("n", F.row_number().over(order)).where(F.col("n") <= F.col("m") - least + 1)
+    left = first.where(F.col("m") > most).select(F.col("market_id").alias("l"), "x")
+    met = left.join(first.select(F.col("market_id").alias("r"), "x"), "x").where("l <> r").select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct()
+    sets = lambda end: rows.select(F.col("market_id").alias(end), F.col("e").alias(f"e{end}"))
+    return met.join(sets("a"), "a").join(sets("b"), "b").where(F.size(F.array_intersect("ea", "eb")) >= least).select("a", "b")
+
+
+#: Sets of entities that a market may have as keys; with more, its pairs are found by prefixes.
+MOST_KEYS = 64
+
+
+def entity_pairs(markets: DataFrame, least: int, most_keys: int = MOST_KEYS) -> DataFrame:
+    """Pairs that share at least `least` entities. Markets of few entities meet on sets of `least` of them, which are exactly the
+    pairs of the result; a market of m entities has C(m, least) such sets, so beyond `most_keys` of them it meets the others on
+    its rarest entities instead, of which it has m - least + 1."""
+    most = least
+    while comb(most + 1, least) <= most_keys:
+        most += 1
+    rows = staged(markets.groupBy("market_id").agg(entities(F.flatten(F.collect_list("entities"))).alias("e")), "entities")
+    found = _sets_of(rows.where(F.size("e") <= most), least)
+    if rows.where(F.size("e") > most).limit(1).count():
+        found = found.union(_by_prefix(rows, least, most))
+    return found.withColumn("bucket", F.lit("entity"))
 
 
 def candidates(markets: DataFrame, p: Params = DEFAULT) -> DataFrame:

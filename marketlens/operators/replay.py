@@ -5,6 +5,11 @@ snapshot. Within an epoch a delta counts unless both sequences are known and its
 level's size is a running sum clamped at zero, which is the sum minus its running minimum below zero. Everything is integer.
 Windows over the log stand on prefixes of one sort order. `accepted` is what the other operators read; where several do, write
 it first.
+
+A market of more than `hot_events` events is cut into blocks by time, so that no task sorts it whole. All that a row needs from
+the rows before its block composes: epochs add up, the last begin and the largest sequence carry over, and with S the sum of the
+blocks before, M the least sum reached in them, s and m those within the block, the clamped size is
+S + s - min(0, M, S + m). So the windows run within blocks, and once over a row for each block.
 """
 
 from __future__ import annotations
@@ -14,10 +19,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import dollars, in_band, open_status, strong_status, tick_before, tick_time, to_micro
 from ..params import DEFAULT, MICRO, Params
+from ..sources.stage import bounded, staged
 
 _TIME = ("received_ts", "ingest_seq")
 _BEFORE = (Window.unboundedPreceding, -1)
 _SO_FAR = (Window.unboundedPreceding, Window.currentRow)
+_AFTER = (1, Window.unboundedFollowing)
+#: Quantiles of a hot market's times from which its cuts are taken, and ticks that a node of `book_cells` has below it.
+_QUANTILES, _RADIX, _HEIGHT = 4096, 16, 7
 
 
 def with_resets(events: DataFrame, resets: DataFrame) -> DataFrame:
@@ -31,25 +40,91 @@ def of_active(events: DataFrame, active: DataFrame) -> DataFrame:
     return events.join(active.select("market_id").distinct(), "market_id", "left_semi")
 
 
+def cuts(events: DataFrame, p: Params = DEFAULT) -> DataFrame | None:
+    """market_id, cuts of the markets with more than `hot_events` events: times that cut each into blocks of about `block_events`,
+    in groups for a search of two steps. None if there is no such market. There is a cut for each `block_events` events of the
+    log at most, so the table may be broadcast. Events of one time stay in one block."""
+    counts = staged(events.groupBy("market_id").count().where(F.col("count") > p.hot_events), "hot")
+    if not counts.limit(1).count():
+        return None
+    hot = events.join(F.broadcast(counts), "market_id")
+    all_cuts = F.percentile_approx(F.unix_micros(F.col("received_ts").cast("timestamp")), [k / _QUANTILES for k in range(1, _QUANTILES)], 20_000)
+    found = hot.groupBy("market_id").agg(all_cuts.alias("q"), F.max("count").alias("n"))
+    step = F.greatest(F.lit(1), F.floor(p.block_events * F.lit(float(_QUANTILES)) / F.col("n"))).cast("int")
+    kept = F.array_distinct(F.filter("q", lambda x, i: (i + 1) % step == 0))
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("kept")))).cast("int")
+    rows = found.withColumn("step", step).withColumn("kept", kept).where(F.size("kept") > 0).withColumn("width", width)
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size("kept") - 1) / F.col("width")).cast("int")), lambda g: F.slice("kept", g * F.col("width") + 1, F.col("width")))
+    return staged(rows.select("market_id", groups.alias("cuts")), "cuts")
+
+
+def blocked(events: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Events with block: null but for hot markets, whose blocks are numbered by time."""
+    if found is None:
+        return events.withColumn("block", F.lit(None).cast("int"))
+    at = F.unix_micros(F.col("received_ts").cast("timestamp"))
+    rows = events.join(F.broadcast(found), "market_id", "left")
+    group = F.size(F.filter(F.transform("cuts", lambda x: x[0]), lambda c: c <= at)) - 1
+    rows = rows.withColumn("_g", F.when(F.col("cuts").isNotNull(), F.coalesce(group, F.lit(-1))))
+    within = F.size(F.filter(F.get("cuts", F.col("_g")), lambda c: c <= at))
+    block = F.when(F.col("_g") < 0, 0).otherwise(F.col("_g") * F.size(F.get("cuts", F.lit(0))) + within)
+    return rows.withColumn("block", F.when(F.col("cuts").isNotNull(), block).cast("int")).drop("cuts", "_g")
+
+
+def _sequenced() -> Column:
+    return F.when(F.col("event_type").isin("orderbook_snapshot", "orderbook_delta"), F.col("sequence"))
+
+
+def _begins() -> Column:
+    return F.col("event_type").isin("orderbook_snapshot", "book_reset")
+
+
+def _before_blocks(rows: DataFrame) -> DataFrame:
+    """market_id, block and what a block's rows need from the others: epochs before it, whether the last of them is anchored, its
+    largest sequence, and when the next begins after the block. rows have the epochs within their block."""
+    epochs = rows.where("block is not null").groupBy("market_id", "block", "epoch").agg(
+        F.max(_sequenced()).alias("top"), F.max(F.when(_begins(), F.col("event_type") == "orderbook_snapshot")).alias("snap"), F.min(F.when(_begins(), F.col("received_ts"))).alias("began")
+    )
+    each = epochs.groupBy("market_id", "block").agg(
+        F.max("epoch").alias("n"), F.max_by("top", "epoch").alias("top"), F.max_by("snap", "epoch").alias("snap"), F.min_by("began", F.when(F.col("epoch") > 0, F.col("epoch"))).alias("began")
+    )
+    line = Window.partitionBy("market_id").orderBy("block")
+    each = each.withColumn("part", F.sum(F.col("n").cast("boolean").cast("int")).over(line.rowsBetween(*_SO_FAR)))
+    each = each.withColumn("open", F.max("top").over(Window.partitionBy("market_id", "part").orderBy("block").rowsBetween(*_SO_FAR)))
+    return each.select(
+        "market_id", "block", F.coalesce(F.sum("n").over(line.rowsBetween(*_BEFORE)), F.lit(0)).alias("_epochs"), F.last("snap", ignorenulls=True).over(line.rowsBetween(*_BEFORE)).alias("_anchored"),
+        F.lag("open").over(line).alias("_floor"), F.first("began", ignorenulls=True).over(line.rowsBetween(*_AFTER)).alias("_ended"),
+    )
+
+
 def accepted(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Decoded events with epoch, ended (when the next epoch begins), accepted (a delta that counts for the sequence), applied
-    (it changes a level) and floor (the largest sequence of the epoch before the row)."""
-    market = Window.partitionBy("market_id").orderBy(*_TIME)
-    in_epoch = Window.partitionBy("market_id", "epoch").orderBy(*_TIME)
-    is_snapshot, is_delta = F.col("event_type") == "orderbook_snapshot", F.col("event_type") == "orderbook_delta"
-    begins = is_snapshot | (F.col("event_type") == "book_reset")
-    rows = events.withColumn("epoch", F.sum(begins.cast("int")).over(market.rowsBetween(*_SO_FAR)))
-    rows = rows.withColumn("anchored", F.coalesce(F.last(F.when(begins, is_snapshot), ignorenulls=True).over(market.rowsBetween(*_SO_FAR)), F.lit(False)))
-    rows = rows.withColumn("ended", F.first(F.when(begins, F.col("received_ts")), ignorenulls=True).over(market.rowsBetween(1, Window.unboundedFollowing)))
-    rows = rows.withColumn("floor", F.max(F.when(is_snapshot | is_delta, F.col("sequence"))).over(in_epoch.rowsBetween(*_BEFORE)))
+    """Decoded events with block (null but for hot markets), epoch, anchored, ended (when the next epoch begins), accepted (a delta
+    that counts for the sequence), applied (it changes a level) and floor (the largest sequence of the epoch before the row)."""
+    found = cuts(events, p)
+    part = ["market_id"] if found is None else ["market_id", "block"]
+    market = Window.partitionBy(*part).orderBy(*_TIME)
+    in_epoch = Window.partitionBy(*part, "epoch").orderBy(*_TIME)
+    is_snapshot, is_delta, begins = F.col("event_type") == "orderbook_snapshot", F.col("event_type") == "orderbook_delta", _begins()
+    rows = blocked(events, found).withColumn("epoch", F.sum(begins.cast("int")).over(market.rowsBetween(*_SO_FAR)))
+    local = rows
+    rows = rows.withColumn("anchored", F.last(F.when(begins, is_snapshot), ignorenulls=True).over(market.rowsBetween(*_SO_FAR)))
+    rows = rows.withColumn("ended", F.first(F.when(begins, F.col("received_ts")), ignorenulls=True).over(market.rowsBetween(*_AFTER)))
+    rows = rows.withColumn("floor", F.max(_sequenced()).over(in_epoch.rowsBetween(*_BEFORE)))
+    if found is not None:
+        rows = rows.join(_before_blocks(local), part, "left")
+        first = F.col("epoch") == 0
+        rows = rows.withColumns({
+            "anchored": F.coalesce("anchored", "_anchored"), "ended": F.coalesce("ended", "_ended"),
+            "floor": F.when(first & F.col("_floor").isNotNull(), F.greatest("floor", "_floor")).otherwise(F.col("floor")),
+        }).withColumn("epoch", F.col("epoch") + F.coalesce("_epochs", F.lit(0))).drop("_epochs", "_anchored", "_floor", "_ended")
+    rows = rows.withColumn("anchored", F.coalesce("anchored", F.lit(False)))
     fits = F.col("sequence").isNull() | F.col("floor").isNull() | (F.col("sequence") > F.col("floor"))
     rows = rows.withColumn("accepted", is_delta & F.col("anchored") & fits)
     well = F.col("side").isin("yes", "no") & F.col("delta").isNotNull() & in_band(F.col("price"), p)
     return rows.withColumn("applied", F.col("accepted") & F.coalesce(well, F.lit(False)))
 
 
-def level_changes(rows: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """market_id, epoch, ended, side, price, received_ts, ingest_seq, size of each change of a level; size 0 is no level."""
+def _explode_changes(rows: DataFrame, p: Params) -> DataFrame:
     # Of several entries for a price in one snapshot the last counts: sorted by price and place, that before another price.
     kept = lambda side: F.array_sort(F.filter(F.transform(side, lambda x, i: F.struct(x["price"].alias("price"), i.alias("at"), x["size"].alias("size"))), lambda x: in_band(x["price"], p) & (x["size"] > 0)))
     last = lambda x: F.filter(F.zip_with(x, F.slice(x, 2, F.size(x)), lambda a, b: F.when(~a["price"].eqNullSafe(b["price"]), a)), lambda a: a.isNotNull())
@@ -57,11 +132,31 @@ def level_changes(rows: DataFrame, p: Params = DEFAULT) -> DataFrame:
     tagged = lambda side: F.transform(last(F.col(f"_{side}")), lambda x: F.struct(F.lit(side).alias("side"), x["price"].alias("price"), x["size"].alias("qty")))
     one = F.array(F.struct(F.col("side").alias("side"), F.col("price").alias("price"), F.col("delta").alias("qty")))
     changes = F.when(F.col("event_type") == "orderbook_snapshot", F.concat(tagged("yes"), tagged("no"))).when(F.col("applied"), one)
-    each = sides.select("market_id", "epoch", "ended", *_TIME, F.explode(changes).alias("c")).select("market_id", "epoch", "ended", *_TIME, "c.*")
-    level = Window.partitionBy("market_id", "epoch", "side", "price").orderBy(*_TIME)
+    return sides.select("market_id", "block", "epoch", "ended", *_TIME, F.explode(changes).alias("c")).select("market_id", "block", "epoch", "ended", *_TIME, "c.*")
+
+
+def level_changes(rows: DataFrame, p: Params = DEFAULT, split: bool | None = None) -> DataFrame:
+    """market_id, epoch, ended, side, price, received_ts, ingest_seq, size of each change of a level; size 0 is no level. split:
+    whether there are blocks (by default this is looked up)."""
+    if split is None:
+        split = rows.where("block is not null").limit(1).count() > 0
+    keys = ["market_id", "epoch", "side", "price"]
+    part = ["block", *keys] if split else keys
+    each = _explode_changes(rows, p)
+    level = Window.partitionBy(*part).orderBy(*_TIME)
     each = each.withColumn("s", F.sum("qty").over(level.rowsBetween(*_SO_FAR)))
-    each = each.withColumn("m", F.min(F.least(F.col("s"), F.lit(0))).over(level.rowsBetween(*_SO_FAR)))
-    return each.select("market_id", "epoch", "ended", "side", "price", *_TIME, (F.col("s") - F.col("m")).alias("size"), F.lead("received_ts").over(level).alias("next_ts"))
+    each = each.withColumn("m", F.min("s").over(level.rowsBetween(*_SO_FAR))).withColumn("next_ts", F.lead("received_ts").over(level))
+    size = F.col("s") - F.least(F.lit(0), "m")
+    if split:
+        # A row for each level and block of the hot markets; sums and least sums of the blocks before.
+        blocks = each.where("block is not null").groupBy(*part).agg(F.sum("qty").alias("a"), F.min("s").alias("low"), F.min("received_ts").alias("began"))
+        line = Window.partitionBy(*keys).orderBy("block")
+        blocks = blocks.withColumn("_s", F.coalesce(F.sum("a").over(line.rowsBetween(*_BEFORE)), F.lit(0)))
+        blocks = blocks.withColumn("_m", F.min(F.col("_s") + F.col("low")).over(line.rowsBetween(*_BEFORE))).withColumn("_next", F.lead("began").over(line))
+        each = each.join(blocks.select(*part, "_s", "_m", "_next"), part, "left").withColumn("next_ts", F.coalesce("next_ts", "_next"))
+        base = F.coalesce("_s", F.lit(0))
+        size = base + F.col("s") - F.least(F.lit(0), "_m", base + F.col("m"))
+    return each.select("market_id", "epoch", "ended", "side", "price", *_TIME, size.alias("size"), "next_ts")
 
 
 def last_levels(changes: DataFrame) -> DataFrame:
@@ -85,14 +180,19 @@ def checkpoint(rows: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return facts.join(levels, "market_id", "left").select("market_id", "last_sequence", "last_ts", book.alias("serialized_book"))
 
 
-def resumed(state: DataFrame, events: DataFrame) -> DataFrame:
-    """Decoded events that continue a checkpoint: for each anchored book of it a snapshot at its time, and the events received
-    after that. Markets without a checkpoint have all their events."""
+def seeds(state: DataFrame, at: Column) -> DataFrame:
+    """A snapshot event at a time for each anchored book of a checkpoint, before the other events of that time."""
     kind = "struct<yes:map<string,double>,no:map<string,double>,anchored:boolean>"
     entry = lambda e: F.struct(to_micro(e["key"]).alias("price"), to_micro(e["value"].cast("decimal(30,9)").cast("string")).alias("size"))
     side = lambda s: F.transform(F.map_entries(F.col(f"b.{s}")), entry).cast("array<struct<price bigint, size bigint>>").alias(s)
     books = state.withColumn("b", F.from_json("serialized_book", kind)).where("b.anchored")
-    books = books.select("market_id", F.col("last_ts").alias("received_ts"), F.lit(-1).cast("long").alias("ingest_seq"), F.lit("orderbook_snapshot").alias("event_type"), F.col("last_sequence").alias("sequence"), side("yes"), side("no"))
+    return books.select("market_id", at.alias("received_ts"), F.lit(-1).cast("long").alias("ingest_seq"), F.lit("orderbook_snapshot").alias("event_type"), F.col("last_sequence").alias("sequence"), side("yes"), side("no"))
+
+
+def resumed(state: DataFrame, events: DataFrame) -> DataFrame:
+    """Decoded events that continue a checkpoint: for each anchored book of it a snapshot at its time, and the events received
+    after that. Markets without a checkpoint have all their events."""
+    books = seeds(state, F.col("last_ts"))
     floors = state.select("market_id", F.col("last_ts").alias("_floor"))
     later = events.join(floors, "market_id", "left").where("_floor is null or received_ts > _floor").drop("_floor")
     return later.unionByName(books, allowMissingColumns=True)
@@ -120,41 +220,89 @@ def tops(levels: DataFrame, keys: list[str], p: Params = DEFAULT) -> DataFrame:
 def book_cells(rows: DataFrame, end: Column, p: Params = DEFAULT) -> DataFrame:
     """Books of accepted events at the ticks at which they change: market_id, epoch, tick, until (the last tick that sees the
     same book), the columns of `tops`, and crossed. An epoch ends with its first crossed tick. A tick sees what was received
-    strictly before it. Levels meet only the ticks of their epoch at which some level changes, however fine the grid is."""
+    strictly before it.
+
+    The ticks at which an epoch's levels change are numbered. A level's span of ticks becomes nodes of a tree over them (a tick, 16
+    ticks, 256 and so on: the fewest that make it up), and each node keeps what may be near the top of a book. A tick's book is
+    what its node and the nodes above it have; so an epoch of n changes takes n log n rows and not n times n."""
     step = p.interval_seconds
-    changes = level_changes(rows, p).withColumn("final", tick_before(F.coalesce("ended", end), step)).withColumn("tick", tick_before(F.col("received_ts"), step) + 1)
-    in_epoch = Window.partitionBy("market_id", "epoch").orderBy("tick")
-    ticks = changes.where("tick <= final").select("market_id", "epoch", "final", "tick").distinct()
-    ticks = ticks.withColumn("until", F.coalesce(F.lead("tick").over(in_epoch) - 1, "final")).drop("final")
-    last = F.coalesce(tick_before(F.col("next_ts"), step), F.col("final"))
-    spans = changes.where("size > 0").select("market_id", "epoch", "side", "price", "size", F.col("tick").alias("first"), last.alias("last")).where("last >= first")
-    cells = spans.join(ticks, ["market_id", "epoch"]).where("tick between first and last")
-    books = tops(cells, ["market_id", "epoch", "tick", "until"], p).withColumn("crossed", F.coalesce(F.col("bid") > F.col("ask"), F.lit(False)))
-    books = books.withColumn("reset", F.min(F.when(F.col("crossed"), F.col("tick"))).over(Window.partitionBy("market_id", "epoch"))).where("reset is null or tick <= reset")
+    key = ["market_id", "epoch"]
+    tick = lambda c: tick_before(F.col(c), step) + 1
+    changes = level_changes(rows, p).withColumn("final", tick_before(F.coalesce("ended", end), step))
+    changes = staged(changes.select(*key, "final", "side", "price", "size", tick("received_ts").alias("tick"), tick("next_ts").alias("next")).where("tick <= final"), "changes")
+    in_epoch = Window.partitionBy(*key).orderBy("tick")
+    ticks = changes.select(*key, "final", "tick").distinct()
+    ticks = ticks.select(*key, "tick", F.coalesce(F.lead("tick").over(in_epoch) - 1, "final").alias("until"), (F.row_number().over(in_epoch) - 1).cast("long").alias("n"), F.count(F.lit(1)).over(Window.partitionBy(*key)).alias("of"))
+    ticks = staged(ticks, "ticks")
+    # Of a level's changes before one tick the last is seen.
+    spans = changes.where("size > 0 and (next is null or next > tick)")
+    spans = spans.join(ticks.select(*key, "tick", F.col("n").alias("a"), "of"), [*key, "tick"])
+    spans = spans.join(ticks.select(*key, F.col("tick").alias("next"), F.col("n").alias("z")), [*key, "next"], "left")
+    pieces = spans.select(*key, "side", "price", "size", F.explode(_nodes(F.col("a"), F.coalesce(F.col("z"), F.col("of")) - 1)).alias("node")).select(*key, "side", "price", "size", "node.*")
+    cells = pieces.where("k = 0").select(*key, F.col("i").alias("n"), "side", "price", "size")
+    cells = cells.union(_from_above(pieces.where("k > 0"), ticks, p))
+    books = tops(cells, [*key, "n"], p).withColumn("crossed", F.coalesce(F.col("bid") > F.col("ask"), F.lit(False)))
+    books = books.join(ticks.drop("of"), [*key, "n"]).drop("n")
+    books = books.withColumn("reset", F.min(F.when(F.col("crossed"), F.col("tick"))).over(Window.partitionBy(*key))).where("reset is null or tick <= reset")
     return books.withColumn("until", F.when(F.col("crossed"), F.col("tick")).otherwise(F.col("until"))).drop("reset")
 
 
+def _nodes(a: Column, b: Column) -> Column:
+    """The nodes (k, i) of which the ticks a..b are made: node i of height k has the ticks from i * 16**k on."""
+    named = lambda height: lambda i: F.struct(F.lit(height).alias("k"), i.alias("i"))
+    out = []
+    for k in range(_HEIGHT):
+        low, high = (F.ceil(a / _RADIX**k), F.floor((b + 1) / _RADIX**k) - 1)
+        up, down = (F.ceil(a / _RADIX ** (k + 1)), F.floor((b + 1) / _RADIX ** (k + 1)) - 1)
+        above = (up <= down) if k + 1 < _HEIGHT else F.lit(False)
+        run = lambda x, y: F.when(x <= y, F.sequence(x.cast("long"), y.cast("long"))).otherwise(F.array().cast("array<bigint>"))
+        both = F.when(above, F.concat(run(low, up * _RADIX - 1), run((down + 1) * _RADIX, high))).otherwise(run(low, high))
+        out.append(F.transform(both, named(k)))
+    return F.concat(out[0], F.when(b - a + 1 >= _RADIX, F.concat(*out[1:])).otherwise(F.array().cast("array<struct<k:int,i:bigint>>")))
+
+
+def _from_above(pieces: DataFrame, ticks: DataFrame, p: Params) -> DataFrame:
+    """For each tick the levels near the top of the nodes above it. A node has a level once, so a node's list is no longer than a
+    book, and what it keeps no longer than the band."""
+    key = ["market_id", "epoch"]
+    best = lambda side: F.max(F.when(F.col("side") == side, F.col("price"))).alias(side)
+    nodes = pieces.groupBy(*key, "k", "i").agg(best("yes"), best("no"), F.collect_list(F.struct("side", "price", "size")).alias("levels"))
+    near = F.filter("levels", lambda x: x["price"] >= F.when(x["side"] == "yes", F.col("yes")).otherwise(F.col("no")) - p.depth_band)
+    heights = sum((F.col("of") >= _RADIX**k).cast("int") for k in range(1, _HEIGHT))
+    above = ticks.where(F.col("of") >= _RADIX).withColumn("height", heights)
+    above = above.select(*key, "n", F.explode(F.expr("transform(sequence(1, height), k -> struct(k as k, shiftright(n, 4 * k) as i))")).alias("node")).select(*key, "n", "node.*")
+    return above.join(nodes.select(*key, "k", "i", near.alias("near")), [*key, "k", "i"]).select(*key, "n", F.explode("near").alias("c")).select(*key, "n", "c.*")
+
+
 def grid(rows: DataFrame, end: Column, active: DataFrame | None = None, begin: Column | None = None, p: Params = DEFAULT) -> DataFrame:
     """A row for each market and tick to `end`: top of book, depths, volume of the interval, last trade price, status. `rows` are
     accepted events, of which several parts of the plan read. Markets begin with their first event; with `active` (market_id,
     status) only its markets have rows, each of them from `begin` on, with the catalog's status until the log tells one."""
     step = p.interval_seconds
+    final = tick_before(end, step)
+    if active is None:
+        starts = rows.groupBy("market_id").agg(F.min(tick_before(F.col("received_ts"), step) + 1).alias("first")).withColumn("seed", F.lit(None).cast("string"))
+    else:
+        starts = active.groupBy("market_id").agg(F.max("status").alias("seed")).withColumn("first", tick_before(begin, step))
+    return _grid_from(rows, starts.withColumn("final", final), end, p)
+
+
+def _grid_from(rows: DataFrame, starts: DataFrame, end: Column, p: Params) -> DataFrame:
+    """The grid of accepted events, for the ticks first..final of each market of starts (market_id, seed, first, final)."""
+    step = p.interval_seconds
     by_tick = rows.withColumn("tick", tick_before(F.col("received_ts"), step) + 1)
     strong = strong_status(F.col("lifecycle"), F.col("deactivated"))
     order = F.struct("received_ts", "ingest_seq")
+    # Books that were seeded or reset from outside are no events of the market.
+    own = (F.col("ingest_seq") >= 0) & (F.col("event_type") != "book_reset")
     facts = by_tick.groupBy("market_id", "tick").agg(
         F.sum("trade_count").alias("volume"),
         F.max_by(F.when(F.col("trade_price").isNotNull(), F.col("trade_price")), F.when(F.col("trade_price").isNotNull(), order)).alias("traded"),
         F.max_by(strong, F.when(strong.isNotNull(), order)).alias("strong"),
         F.bool_or(F.col("lifecycle") == "created").alias("created"),
-        F.max("received_ts").alias("seen"),
+        F.max(F.when(own, F.col("received_ts"))).alias("seen"),
     )
-    final = tick_before(end, step)
-    if active is None:
-        starts = by_tick.groupBy("market_id").agg(F.min("tick").alias("t")).withColumn("seed", F.lit(None).cast("string"))
-    else:
-        starts = active.groupBy("market_id").agg(F.max("status").alias("seed")).withColumn("t", tick_before(begin, step))
-    ticks = starts.where(F.col("t") <= final).select("market_id", "seed", F.explode(F.sequence(F.col("t"), final)).alias("tick"))
+    ticks = starts.where("first <= final").select("market_id", "seed", F.explode(F.sequence("first", "final")).alias("tick"))
     so_far = Window.partitionBy("market_id").orderBy("tick").rowsBetween(*_SO_FAR)
     book = book_cells(rows, end, p)
     book = book.select("market_id", "tick", F.struct("until", "bid", "ask", "bid_value", "ask_value", "bid_levels", "ask_levels", "crossed").alias("book"))
@@ -179,6 +327,56 @@ def grid(rows: DataFrame, end: Column, active: DataFrame | None = None, begin: C
     )
 
 
+# ---- markets that come and go
+
+
+def stays(members: DataFrame) -> DataFrame:
+    """members (market_id, status, enters, leaves; null: still in) with stay, a name for each stay of a market in the active set."""
+    return members.withColumn("stay", F.concat_ws("@", "market_id", F.unix_micros(F.col("enters").cast("timestamp")).cast("string")))
+
+
+def of_stays(events: DataFrame, members: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """The events of each stay, with the stay as market_id. A stay has the events from its entry to its exit, which closes the
+    epoch. It begins with the newest checkpoint of its market (state: rows of book_state, several for a market if it was written
+    several times) that was written before it and that no stay before it took; else with no book."""
+    own = stays(members)
+    names = own.select(F.col("market_id").alias("_m"), "stay", "enters", "leaves")
+    hits = (F.col("market_id") == F.col("_m")) & (F.col("received_ts") >= F.col("enters")) & (F.col("leaves").isNull() | (F.col("received_ts") < F.col("leaves")))
+    rows = events.join(bounded(names), hits).withColumn("market_id", F.col("stay")).select(*events.columns)
+    exits = own.where("leaves is not null").select(F.col("stay").alias("market_id"), F.col("leaves").alias("received_ts"), F.lit((1 << 63) - 1).alias("ingest_seq"), F.lit("book_reset").alias("event_type"))
+    rows = rows.unionByName(exits, allowMissingColumns=True)
+    if state is None:
+        return rows
+    met = state.join(own.select("market_id", "stay", "enters"), "market_id").where("enters >= last_ts")
+    first = met.withColumn("_n", F.row_number().over(Window.partitionBy("market_id", "last_ts").orderBy("enters"))).where("_n = 1")
+    newest = first.withColumn("_n", F.row_number().over(Window.partitionBy("stay").orderBy(F.desc("last_ts")))).where("_n = 1")
+    books = newest.withColumn("market_id", F.col("stay"))
+    return rows.unionByName(seeds(books, F.col("enters")), allowMissingColumns=True)
+
+
+def grid_of_stays(events: DataFrame, members: DataFrame, end: Column, state: DataFrame | None = None, p: Params = DEFAULT) -> DataFrame:
+    """The grid of an active set that changes: a row for each tick from a market's entry on and before its exit. The last trade
+    price is at first that of the newest trade before the entry, and the status the catalog's at the entry. Volumes are of all
+    trades of an interval, also of those before the entry."""
+    step = p.interval_seconds
+    own = staged(stays(members).withColumn("last", F.coalesce("leaves", end)), "stays")
+    rows = staged(accepted(of_stays(events, members, state), p), "accepted")
+    first = F.ceil(F.unix_micros(F.col("enters").cast("timestamp")) / (step * 1_000_000)).cast("bigint")
+    final = F.when(F.col("leaves").isNull(), tick_before(end, step)).otherwise(tick_before(F.timestamp_micros(F.unix_micros(F.col("last").cast("timestamp")) - 1), step))
+    starts = own.select(F.col("stay").alias("market_id"), F.col("status").alias("seed"), first.alias("first"), final.alias("final"))
+    cells = _grid_from(rows, starts, end, p)
+    trades = events.where("event_type = 'trade'")
+    volumes = trades.groupBy("market_id", tick_time(tick_before(F.col("received_ts"), step) + 1, step).alias("ts")).agg(F.sum("trade_count").alias("_volume"))
+    # The newest trade before each entry; a market has few entries.
+    priced = trades.where("trade_price is not null").select("market_id", "received_ts", "ingest_seq", "trade_price")
+    entries = own.select(F.col("market_id").alias("_m"), "stay", "enters")
+    before = priced.join(bounded(entries), (F.col("market_id") == F.col("_m")) & (F.col("received_ts") < F.col("enters")))
+    before = before.groupBy("stay").agg(F.max_by("trade_price", F.struct("received_ts", "ingest_seq")).alias("_price"))
+    cells = cells.withColumnRenamed("market_id", "stay").join(own.select("stay", "market_id"), "stay").join(before, "stay", "left").join(volumes, ["market_id", "ts"], "left")
+    cells = cells.withColumn("volume_micro", F.coalesce("_volume", F.lit(0)).cast("bigint")).withColumn("last_trade_micro", F.coalesce("last_trade_micro", "_price"))
+    return cells.select("ts", "market_id", *[c for c in cells.columns if c not in ("ts", "market_id", "stay", "_volume", "_price")])
+
+
 def stale_counts(cells: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """ts, stale: how many open markets of the grid had no event for the stale limit at each tick."""
     idle = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("seen_ts").cast("timestamp"))) > p.stale_seconds * 1_000_000

@@ -16,6 +16,8 @@ class Params:
     price_low: int = 10_000
     price_high: int = 990_000
     stale_seconds: int = 3600
+    hot_events: int = 20_000_000  # of a market that is cut into blocks
+    block_events: int = 5_000_000
     # Audit
     audit_max_levels: int = 4
     audit_max_pct: float = 50.0

@@ -8,6 +8,11 @@ frames(shard, series, start, end) gives (received_ts, body) of the next ones fro
 `end`. Frames must stay readable until their trigger is committed, as those of a broker or a recorded log do; so a lost executor
 or a restarted query reads them again, and none is lost or read twice. Calls are retried like those of paged services.
 
+A trigger takes all frames since the last one, or with the option `maxframes` at most so many of each shard, so that a backlog
+drains in bounded triggers. For that the reader notes, in the file of the option `position` (in a folder that outlives the
+driver), how far it has planned, before Spark hears of it; a restarted query goes on from there. With `start` = `tail` a new query
+reads only frames that come after it began, else all from the first on.
+
 A series always has the same shard (by its hash), so the frames of a market are in order: ingest_seq grows along each shard and
 is unique over all of them, for one number of shards.
 """
@@ -15,11 +20,14 @@ is unique over all of them, for one number of shards.
 from __future__ import annotations
 
 import importlib
+import json
 import zlib
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from pyarrow import fs
+
 from .paged import retried
 
 
@@ -36,17 +44,53 @@ class FeedReader(DataSourceStreamReader):
         self.series: dict[int, list[str]] = {}
         for s in sorted({x for x in self.options.get("series", "").split(",") if x}):
             self.series.setdefault(zlib.crc32(s.encode()) % self.shards, []).append(s)
+        self.most = int(self.options.get("maxframes", 0))
+        if self.most and "position" not in self.options:
+            raise ValueError("maxframes needs the option position")
+        self.planned: dict[str, int] | None = None
 
     def client(self):
         module, _, name = self.options["client"].partition(":")
         return getattr(importlib.import_module(module), name)(self.options)
 
+    def ends(self) -> dict[str, int]:
+        client = self.client()
+        return {str(k): retried(lambda k=k: client.end(k), self.tries) for k in self.series}
+
     def initialOffset(self) -> dict:
-        return {str(k): 0 for k in self.series}
+        first = self.ends() if self.options.get("start") == "tail" else {str(k): 0 for k in self.series}
+        if self.most:
+            self._note(first)
+        return first
 
     def latestOffset(self) -> dict:
-        client = self.client()
-        return {str(k): retried(lambda k=k: client.end(k), self.tries) for k in self.series}
+        """All there is, or a bounded step on from what was planned last, which is never behind what Spark has begun."""
+        ends = self.ends()
+        if not self.most:
+            return ends
+        if self.planned is None:  # a restarted query
+            self.planned = self._noted()
+        step = {k: max(self.planned.get(k, 0), min(end, self.planned.get(k, 0) + self.most)) for k, end in ends.items()}
+        self._note(step)
+        return step
+
+    def _note(self, position: dict[str, int]) -> None:
+        system, path = self._position()
+        with system.open_output_stream(path + ".new") as out:
+            out.write(json.dumps(position).encode())
+        system.move(path + ".new", path)
+        self.planned = position
+
+    def _noted(self) -> dict[str, int]:
+        system, path = self._position()
+        if system.get_file_info(path).type == fs.FileType.NotFound:
+            raise ValueError(f"no position in {path}: a query that goes on needs that of its earlier runs")
+        with system.open_input_stream(path) as source:
+            return json.loads(source.read())
+
+    def _position(self) -> tuple[fs.FileSystem, str]:
+        where = self.options["position"]
+        return fs.FileSystem.from_uri(where if ":" in where else "file://" + where)
 
     def partitions(self, start: dict, end: dict) -> list[Shard]:
         new = ((int(k), start.get(k, 0), upto) for k, upto in end.items())

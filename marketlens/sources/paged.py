@@ -7,6 +7,9 @@ The factory makes, on the executor, a client whose page(key, cursor) returns (do
 retried with a jittered, growing delay and paced: `persecond` is the rate of all `connections` together, each of which has its
 share of it. A client raises Missing for a key that does not exist, which gives no rows, or a null document with the option
 `misses`.
+
+With the option `pushdown` and spark.sql.python.filterPushdown.enabled, a filter key = x or key IN (...) asks for those keys alone, and `keys` may be left
+out. For a table of keys there is `lookup`: keys stay in their partitions and never pass the driver.
 """
 
 from __future__ import annotations
@@ -17,7 +20,10 @@ import random
 import time
 from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 
 class Missing(Exception):
@@ -60,37 +66,84 @@ class Connection(InputPartition):
         self.keys, self.share = keys, share
 
 
+def _client(options: dict):
+    module, _, name = options["client"].partition(":")
+    return getattr(importlib.import_module(module), name)()
+
+
+def fetched(options: dict, share: float) -> Callable[[str], Iterator[str | None]]:
+    """A function that gives a key's documents as JSON, page after page; at a share of the options' rate."""
+    client, tries, misses = _client(options), int(options.get("tries", 5)), options.get("misses", "false") == "true"
+    bucket = TokenBucket(float(options.get("persecond", 8)) * share, max(1, float(options.get("burst", 8)) * share))
+
+    def documents(key: str) -> Iterator[str | None]:
+        cursor = None
+        while True:
+
+            def page(cursor=cursor):
+                bucket.take()
+                return client.page(key, cursor)
+
+            try:
+                found, cursor = retried(page, tries)
+            except Missing:
+                found, cursor = [None] if misses else [], None
+            for d in found:
+                yield None if d is None else json.dumps(d)
+            if not cursor:
+                return
+
+    return documents
+
+
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = dict(options)
+        given = self.options.get("keys")
+        self.keys = None if given is None else [k for k in given.split(",") if k]
 
     def partitions(self) -> list[Connection]:
-        keys = [k for k in self.options.get("keys", "").split(",") if k]
-        n = min(len(keys), int(self.options.get("connections", 4)))
-        return [Connection(keys[k::n], 1 / n) for k in range(n)]
+        if self.keys is None:
+            raise ValueError("give the option keys, or pushdown and a filter by key")
+        n = min(len(self.keys), int(self.options.get("connections", 4)))
+        return [Connection(self.keys[k::n], 1 / n) for k in range(n)]
 
     def read(self, partition: Connection) -> Iterator[tuple]:
-        module, _, name = self.options["client"].partition(":")
-        client = getattr(importlib.import_module(module), name)()
-        rate, burst = float(self.options.get("persecond", 8)), float(self.options.get("burst", 8))
-        bucket = TokenBucket(rate * partition.share, max(1, burst * partition.share))
-        tries, misses = int(self.options.get("tries", 5)), self.options.get("misses", "false") == "true"
+        documents = fetched(self.options, partition.share)
         for key in partition.keys:
-            cursor = None
-            while True:
+            for d in documents(key):
+                yield (key, d)
+
+
+class FilteredReader(PagedReader):
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            wanted = None
+            if isinstance(f, EqualTo) and f.attribute == ("key",):
+                wanted = [f.value]
+            elif isinstance(f, In) and f.attribute == ("key",):
+                wanted = list(f.value)
+            if wanted is None:
+                yield f
+            else:
+                self.keys = list(dict.fromkeys(k for k in wanted if k is not None and (self.keys is None or k in self.keys)))
+
+
+def lookup(keys: DataFrame, client: str, column: str = "key", **options) -> DataFrame:
+    """key, doc of each distinct key of a table: the service is asked from as many tasks as there are connections, which share
+    its rate. A key that does not exist gives a null document. Options as those of the source."""
+    n = int(options.get("connections", 4))
+    settings = {k: str(v) for k, v in options.items()} | {"client": client, "misses": "true"}
 
-                def page(key=key, cursor=cursor):
-                    bucket.take()
-                    return client.page(key, cursor)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents = fetched(settings, 1 / n)
+        for batch in batches:
+            for key in batch.column("key").to_pylist():
+                docs = list(documents(key))
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(docs), pa.string()), pa.array(docs, pa.string())], ["key", "doc"])
 
-                try:
-                    documents, cursor = retried(page, tries)
-                except Missing:
-                    documents, cursor = [None] if misses else [], None
-                for d in documents:
-                    yield (key, None if d is None else json.dumps(d))
-                if not cursor:
-                    break
+    rows = keys.select(F.col(column).cast("string").alias("key")).where("key is not null").distinct()
+    return rows.repartition(n, "key").mapInArrow(run, "key string, doc string")
 
 
 class PagedSource(DataSource):
@@ -102,4 +155,4 @@ class PagedSource(DataSource):
         return "key string, doc string"
 
     def reader(self, schema) -> PagedReader:
-        return PagedReader(self.options)
+        return FilteredReader(self.options) if self.options.get("pushdown", "false") == "true" else PagedReader(self.options)

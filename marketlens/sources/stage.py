@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def staged(rows: DataFrame, label: str, *by: str) -> DataFrame:
@@ -21,3 +22,12 @@ def staged(rows: DataFrame, label: str, *by: str) -> DataFrame:
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+#: Rows up to which `bounded` broadcasts a table of a few narrow columns: about 8 MB.
+BROADCAST_ROWS = 100_000
+
+
+def bounded(rows: DataFrame) -> DataFrame:
+    """The rows, hinted for broadcast only if they are counted and few enough; else joins shuffle them."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
