@@ -126,7 +126,7 @@ def strip_fence(text: Column) -> Column:
     return F.when(F.startswith(plain, F.lit("```")), strip(F.regexp_replace(inner, "```$", ""))).otherwise(plain)
 
 
-def one_object(text: Column) -> Column:
+def _object(text: Column) -> Column:
     """A variant of a text that is one JSON object and nothing else; null otherwise. The parser ignores what follows a complete
     value, so the text is parsed as the only item of a list and as a field before another one: what follows the object
     would have to be right in both places."""
@@ -136,6 +136,29 @@ def one_object(text: Column) -> Column:
     return F.when(whole, F.get(listed, F.lit(0)))
 
 
+def _last_of_repeated(text: Column) -> Column:
+    """The same of an object that has a name twice, of which the last counts."""
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,variant>>")
+    field = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(',"end":1}')), "struct<v:map<string,variant>,end:int>")
+    whole = F.startswith(text, F.lit("{")) & (F.size(listed) == 1) & (field["end"] == 1)
+    entries = F.map_entries(field["v"])
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+    return F.when(whole & field["v"].isNotNull(), F.to_variant_object(F.map_from_entries(last)))
+
+
+def one_object(text: Column) -> Column:
+    """A variant of a text that is one JSON object and nothing else; null otherwise. Of a repeated name the last value counts, and
+    numbers that JSON does not have (NaN, Infinity, -Infinity) are taken as text."""
+    said = F.regexp_replace(text, r"(?<=[:\[,])(\s*)(NaN|-?Infinity)(?=\s*[,}\]])", r'$1"$2"')
+    return F.coalesce(_object(text), _last_of_repeated(text), F.when(said != text, F.coalesce(_object(said), _last_of_repeated(said))))
+
+
+def python_text(value: Column) -> Column:
+    """A variant value as str() writes it: None, True, False, texts as they are; other values as JSON."""
+    kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    return F.when(F.is_variant_null(value), "None").when(kind == "BOOLEAN", F.initcap(text)).otherwise(F.coalesce(text, F.to_json(value)))
+
+
 def truthy(doc: Column, *paths: str) -> Column:
     """The text of the first path of a variant whose value is neither null nor empty nor the number 0 nor false."""
 

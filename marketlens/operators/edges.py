@@ -9,17 +9,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clamp_unit, one_object, strip, strip_fence, tier
+from ..functions.scalars import clamp_unit, one_object, python_text, strip, strip_fence, tier
 from ..params import DEFAULT, DIRECTIONS, RELATIONS, Params
 
+
 def _parsed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_v", one_object(strip_fence(F.col("content"))))
 
 
 def _said(path: str) -> Column:
-    """A value as text; JSON's null is the text None, a missing one is null."""
+    """A value as text; a missing one is null."""
     value = F.try_variant_get(F.col("_v"), path, "variant")
-    return F.when(F.is_variant_null(value), "None").otherwise(F.try_variant_get(F.col("_v"), path, "string"))
+    return F.when(value.isNotNull(), python_text(value))
 
 
 def parse_classification(rows: DataFrame) -> DataFrame:
@@ -37,8 +38,8 @@ def parse_classification(rows: DataFrame) -> DataFrame:
 
 
 def parse_semantics(rows: DataFrame) -> DataFrame:
-    """The columns with the four texts, which must be there, entities, dependencies (arrays of trimmed non-empty strings; a
-    missing one is empty, one that is no array an error) and error."""
+    """The columns with the four texts, which must be there, entities, dependencies (arrays of trimmed non-empty strings, other
+    items as text; a missing one is empty, one that is no array an error) and error."""
     v = F.col("_v")
     texts = {n: _said(f"$.{n}") for n in ("underlying_event", "resolves_yes_when", "resolves_no_when", "resolution_timing")}
     none = F.array().cast("array<string>")
@@ -46,7 +47,7 @@ def parse_semantics(rows: DataFrame) -> DataFrame:
     arrays = {}
     for n in ("entities", "dependencies"):
         value = F.try_variant_get(v, f"$.{n}", "variant")
-        arrays[n] = F.when(value.isNull() | F.is_variant_null(value), none).otherwise(F.try_variant_get(v, f"$.{n}", "array<string>"))
+        arrays[n] = F.when(value.isNull() | F.is_variant_null(value), none).otherwise(F.transform(F.try_variant_get(v, f"$.{n}", "array<variant>"), lambda x: python_text(x)))
     for n, c in (texts | arrays).items():
         error = F.coalesce(error, F.when(c.isNull(), n))
     out = _parsed(rows).withColumn("error", error)
@@ -90,13 +91,13 @@ def review_queue(edges: DataFrame) -> DataFrame:
     return edges.where("trust_tier = 'review' and review_status = 'pending'").orderBy(F.desc_nulls_last("confidence"), "market_id_a", "market_id_b")
 
 
-def batch_results(lines: DataFrame) -> DataFrame:
-    """custom_id, content, error of the JSON lines (column value) of a batch; bad lines are dropped."""
+def batch_results(lines: DataFrame, *keep: str) -> DataFrame:
+    """custom_id, content, error of the JSON lines (column value) of a batch, and the columns to keep; bad lines are dropped."""
     v = F.try_parse_json("value")
     block = F.get(F.filter(F.try_variant_get(v, "$.result.message.content", "array<variant>"), lambda b: F.try_variant_get(b, "$.type", "string") == "text"), F.lit(0))
     text = F.when(F.try_variant_get(v, "$.result.type", "string") == "succeeded", F.try_variant_get(block, "$.text", "string"))
-    rows = lines.select(F.try_variant_get(v, "$.custom_id", "string").alias("custom_id"), text.alias("content"), F.coalesce(F.try_variant_get(v, "$.result.type", "string"), F.lit("unknown")).alias("kind"))
-    return rows.where("custom_id is not null").select("custom_id", "content", F.when(F.col("content").isNull(), F.when(F.col("kind") == "succeeded", "no text").otherwise(F.col("kind"))).alias("error"))
+    rows = lines.select(*keep, F.try_variant_get(v, "$.custom_id", "string").alias("custom_id"), text.alias("content"), F.coalesce(F.try_variant_get(v, "$.result.type", "string"), F.lit("unknown")).alias("kind"))
+    return rows.where("custom_id is not null").select(*keep, "custom_id", "content", F.when(F.col("content").isNull(), F.when(F.col("kind") == "succeeded", "no text").otherwise(F.col("kind"))).alias("error"))
 
 
 def in_flight(batches: DataFrame, purpose: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,13 +91,6 @@ def requests(work: DataFrame, order: list[str], context: Column, prompt: Column,
     return _numbered(rows, *order).select(F.concat(F.lit("r"), (F.col("n") - 1).cast("string")).alias("custom_id"), "context", F.lit(model).alias("model"), "prompt")
 
 
-def batch_row(asked: DataFrame, batch_id: str, purpose: str, now: Column, p: Params = DEFAULT) -> DataFrame:
-    """The llm_batches row of the requests of one batch, which its cap bounds; no requests, no row."""
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("custom_id", "context"))))
-    rows = asked.agg(F.max("model").alias("model"), F.count(F.lit(1)).cast("int").alias("request_count"), F.to_json(entries).alias("payload")).where("request_count > 0")
-    return rows.select(F.lit(batch_id).alias("batch_id"), F.lit("provider").alias("provider"), F.lit(purpose).alias("purpose"), "model", F.lit(p.prompt_version).alias("extraction_version"), "request_count", now.cast("timestamp_ntz").alias("submitted_at"), "payload")
-
-
 def settled(batches: DataFrame, polled: DataFrame, now: Column, p: Params = DEFAULT) -> DataFrame:
     """batch_id, outcome of the open batches, given polled (batch_id, status, with null for a failed call): `written` if it has
     ended, `abandoned` if it is past its age and has not, else `open`. What is written or abandoned leaves the table."""
@@ -135,7 +126,7 @@ def _edge(rows: DataFrame, trust: Column, agreement: Column, verify: Column) ->
 
 
 def primary_rows(answers: DataFrame, live: DataFrame, p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """Edges of the valid first answers that need no second opinion, and those that do (a, b, the classification, model). A
+    """Edges of the valid first answers that need no second opinion, and those that do (batch_id, a, b, the classification, model). A
     confident answer about a market that is no longer live (market_id) stays soft."""
     pair = F.from_json("context", "array<string>")
     rows = edges.parse_classification(answers.drop("error")).where("error is null and content is not null").select("*", pair[0].alias("a"), pair[1].alias("b"), F.col("batch_model").alias("model"))
@@ -146,7 +137,7 @@ def primary_rows(answers: DataFrame, live: DataFrame, p: Params = DEFAULT) -> tu
     both = F.col("live_a").isNotNull() & F.col("live_b").isNotNull()
     single, none = F.lit("single"), F.lit(None).cast("string")
     written = _edge(rows.where(~(sure & both)), F.when(sure, "soft").otherwise(tier(F.col("confidence"), p)), single, none)
-    return written, rows.where(sure & both).select("a", "b", "relationship_type", "direction", "confidence", "rationale", "model")
+    return written, rows.where(sure & both).select("batch_id", "a", "b", "relationship_type", "direction", "confidence", "rationale", "model")
 
 
 def verify_context() -> Column:
@@ -167,7 +158,3 @@ def verify_rows(answers: DataFrame) -> DataFrame:
 def edges_of(known: DataFrame, wanted: DataFrame) -> DataFrame:
     """The edges of the wanted pairs (a, b), whatever their platform."""
     return known.join(wanted.select(F.col("a").alias("market_id_a"), F.col("b").alias("market_id_b")).distinct(), ["market_id_a", "market_id_b"], "left_semi")
-
-
-def all_of(*rows: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, rows)

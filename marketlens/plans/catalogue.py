@@ -354,9 +354,14 @@ def audit_log_rows(spark, sf_dir):
 # ---- D5-D6: discovery and catalog
 
 
-@query(f"WITH {_SS} SELECT series_ticker, volume_24h FROM sv WHERE NOT admit ORDER BY volume_24h DESC, fs LIMIT 15")
+#: A floor of volume that some series of these tables reach and others do not.
+FLOOR = Params(min_series_volume=50_000.0)
+_SF = _SS.replace("volume_24h >= 1000", "volume_24h >= 50000")
+
+
+@query(f"WITH {_SF} SELECT series_ticker, volume_24h FROM sv WHERE NOT admit ORDER BY volume_24h DESC, fs LIMIT 15")
 def discovery_rejects(spark, sf_dir):
-    return discovery.rejected(discovery.verdicts(discovery.series_stats(catalog(spark, sf_dir)))).select("series_ticker", "volume_24h")
+    return discovery.rejected(discovery.verdicts(discovery.series_stats(catalog(spark, sf_dir), FLOOR), FLOOR)).select("series_ticker", "volume_24h")
 
 
 _SUB = "CASE WHEN ordinal % 4 <> 0 THEN label ELSE 'No. ' || ordinal END"
@@ -364,9 +369,9 @@ _TITLE = "CASE WHEN ordinal % 3 <> 0 THEN 'Will ' || label || '?' ELSE 'Event '
 
 
 @query(f"""WITH {_MK} SELECT market_id, CASE WHEN contains({_TITLE}, {_SUB}) THEN {_TITLE} ELSE {_TITLE} || ' — ' || {_SUB} END AS title, CASE WHEN ordinal % 2 = 0 THEN 'primary' END AS description,
-  CASE WHEN ordinal % 6 = 0 THEN 'secondary' WHEN ordinal % 2 = 0 THEN 'primary' END AS resolution_criteria, series_ticker, event_ticker, CASE WHEN ordinal % 5 <> 1 THEN closes_at END AS closes_at, status FROM mk""")
+  CASE WHEN ordinal % 6 = 0 THEN 'secondary' WHEN ordinal % 2 = 0 THEN 'primary' END AS resolution_criteria, series_ticker, event_ticker, CASE WHEN ordinal % 5 <> 1 THEN closes_at END AS closes_at, status, 'venue' AS platform, CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS resolved_at, {END} AS last_seen_ts FROM mk""")
 def catalog_rows(spark, sf_dir):
-    return discovery.catalog_rows(catalog_docs(spark, sf_dir), end()).select("market_id", "title", "description", "resolution_criteria", "series_ticker", "event_ticker", "closes_at", "status")
+    return discovery.catalog_rows(catalog_docs(spark, sf_dir), end()).drop("raw_metadata")
 
 
 @query(f"WITH {_SS} SELECT market_id, CASE WHEN volume >= 900 THEN 'add' ELSE 'remove' END AS change FROM mk WHERE (volume >= 900 AND ordinal % 2 = 0) OR (volume < 700 AND ordinal % 2 = 1)")
@@ -382,9 +387,9 @@ def series_stats(spark, sf_dir):
     return discovery.series_stats(catalog(spark, sf_dir)).drop("first_seen")
 
 
-@query(f"""WITH {_SS} SELECT series_ticker, passes_p1, passes_p2, passes_p3, admit, (CASE WHEN admit THEN 'admit' ELSE 'reject' END) || CASE WHEN passes_p1 AND passes_p2 AND passes_p3 THEN '' ELSE ' (failed: ' || concat_ws(',', CASE WHEN NOT passes_p1 THEN 'P1' END, CASE WHEN NOT passes_p2 THEN 'P2' END, CASE WHEN NOT passes_p3 THEN 'P3' END) || ')' END AS reason FROM sv""")
+@query(f"""WITH {_SF} SELECT series_ticker, passes_p1, passes_p2, passes_p3, admit, (CASE WHEN admit THEN 'admit' ELSE 'reject' END) || CASE WHEN passes_p1 AND passes_p2 AND passes_p3 THEN '' ELSE ' (failed: ' || concat_ws(',', CASE WHEN NOT passes_p1 THEN 'P1' END, CASE WHEN NOT passes_p2 THEN 'P2' END, CASE WHEN NOT passes_p3 THEN 'P3' END) || ')' END AS reason FROM sv""")
 def admit_verdicts(spark, sf_dir):
-    return discovery.verdicts(discovery.series_stats(catalog(spark, sf_dir))).select("series_ticker", "passes_p1", "passes_p2", "passes_p3", "admit", "reason")
+    return discovery.verdicts(discovery.series_stats(catalog(spark, sf_dir), FLOOR), FLOOR).select("series_ticker", "passes_p1", "passes_p2", "passes_p3", "admit", "reason")
 
 
 def _tracked(spark, sf_dir, p=Params(max_tracked=10)):
@@ -515,13 +520,15 @@ def daily_budget(spark, sf_dir):
 
 def _completions(spark, sf_dir):
     """A completion for each pair of one event or of shared entities, by arithmetic on the ids: some in a fence, some with prose,
-    braces or a second object after the first, some with names in capitals."""
+    braces or a second object after the first, some with names in capitals, a name twice or a confidence that is no number."""
     found = pairs.todo(pairs.candidates(_pairable(spark, sf_dir)))
     n = F.substring("a", 2, 9).cast("bigint") * 7 + F.substring("b", 2, 9).cast("bigint")
     kind = F.get(F.array(*map(F.lit, (*RELATIONS, "unheard_of"))), (n % 8).cast("int"))
     kind = F.when(n % 17 == 0, F.upper(kind)).otherwise(F.concat(F.lit(" "), kind))
     confidence = ((n * 37 % 100).cast("decimal(10,0)") / 100).cast("decimal(10,2)").cast("string")
-    body = F.concat(F.lit('{"relationship_type":"'), kind, F.lit('","direction":"'), F.when(n % 3 == 0, "").when(n % 3 == 1, "symmetric").otherwise("first_implies_second"), F.lit('","confidence":'), confidence, F.lit(',"rationale":"r {1}"}'))
+    confidence = F.when(n % 19 == 0, "NaN").otherwise(confidence)
+    twice = F.when(n % 23 == 0, F.lit('"confidence":-5,')).otherwise("")
+    body = F.concat(F.lit("{"), twice, F.lit('"relationship_type":"'), kind, F.lit('","direction":"'), F.when(n % 3 == 0, "").when(n % 3 == 1, "symmetric").otherwise("first_implies_second"), F.lit('","confidence":'), confidence, F.lit(',"rationale":"r {1}"}'))
     odd = F.when(n % 2 == 0, F.concat(body, F.lit(" and so {on}"))).otherwise(F.concat(body, F.lit(" and so on")))
     fenced = F.when(n % 5 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(n % 11 == 0, odd).when(n % 13 == 0, F.concat(body, body)).otherwise(body)
     return found.select("a", "b", n.alias("n"), fenced.alias("content"))
@@ -533,7 +540,7 @@ def _classified(spark, sf_dir):
 
 _REL = ", ".join(f"'{r}'" for r in RELATIONS)
 _CP = f"""{_PR}, cp AS (SELECT a, b, {_N} AS n FROM pr),
- cl AS (SELECT a, b, n, [{_REL}, 'unheard_of'][n % 8 + 1] AS relationship_type, CASE n % 3 WHEN 1 THEN 'symmetric' WHEN 2 THEN 'first_implies_second' ELSE 'none' END AS direction, (n * 37 % 100) / 100 AS confidence,
+ cl AS (SELECT a, b, n, [{_REL}, 'unheard_of'][n % 8 + 1] AS relationship_type, CASE n % 3 WHEN 1 THEN 'symmetric' WHEN 2 THEN 'first_implies_second' ELSE 'none' END AS direction, CASE WHEN n % 19 = 0 THEN 1.0 ELSE (n * 37 % 100) / 100 END AS confidence,
  CASE WHEN n % 5 <> 0 AND (n % 11 = 0 OR n % 13 = 0) THEN 'not an object' WHEN n % 8 = 7 OR n % 17 = 0 THEN 'relation' END AS error FROM cp)"""
 
 
@@ -591,8 +598,10 @@ def token_usage_rollup(spark, sf_dir):
 
 
 def _payload(rows: DataFrame, purpose: str, context, key) -> DataFrame:
-    """Open batches (of at most a few hundred thousand requests, as these tables give) with the context of each custom_id."""
-    grouped = rows.select((key % 5).alias("k"), F.struct(F.concat(F.lit("r"), F.xxhash64(context).cast("string")), context.alias("v")).alias("e")).groupBy("k").agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("payload"))
+    """Open batches of about 500 requests, below a batch's cap, with the context of each custom_id."""
+    rows = staged(rows.select(key.alias("_k"), "*"), "asked")
+    n = 1 + rows.count() // 500
+    grouped = rows.select(F.pmod(F.xxhash64("_k", context), F.lit(n)).alias("k"), F.struct(F.concat(F.lit("r"), F.xxhash64(context).cast("string")), context.alias("v")).alias("e")).groupBy("k").agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("payload"))
     return grouped.select(F.concat(F.lit(purpose + "-"), F.col("k").cast("string")).alias("batch_id"), F.lit(purpose).alias("purpose"), F.lit("first").alias("model"), end().alias("submitted_at"), "payload")
 
 
@@ -670,14 +679,16 @@ def semantics_requests(spark, sf_dir):
 
 
 def _open_batches(spark, sf_dir, rows: DataFrame, purpose: str, context):
-    """Five open batches with the answers of their requests: 0 and 3 have ended, 1 goes on, 2 and 4 are too old."""
-    asked = rows.select(F.concat(F.lit(purpose + "-"), (F.col("n") % 5).cast("string")).alias("batch_id"), F.concat(F.lit("r"), F.col("n").cast("string"), F.lit("-"), "key").alias("custom_id"), context.alias("context"), "content")
+    """Open batches of five kinds, each of a few markets, with the answers of their requests: kinds 0 and 3 have ended, 1 goes on,
+    2 and 4 are too old."""
+    some = F.floor(F.regexp_extract("key", "^P([0-9]+)", 1).cast("bigint") / 10)
+    asked = rows.select(F.concat_ws("-", F.lit(purpose), (F.col("n") % 5).cast("string"), some.cast("string")).alias("batch_id"), F.concat(F.lit("r"), F.col("n").cast("string"), F.lit("-"), "key").alias("custom_id"), context.alias("context"), "content")
     asked = staged(asked, "asked")
-    old = F.col("batch_id").endswith("2") | F.col("batch_id").endswith("4")
+    kind = F.split("batch_id", "-")[1]
+    old = kind.isin("2", "4")
     batches = asked.groupBy("batch_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("custom_id", "context")))).alias("payload"))
     batches = batches.select("batch_id", F.lit(purpose).alias("purpose"), F.lit("model").alias("model"), F.when(old, F.lit("2024-01-28 00:00:00")).otherwise("2024-01-30 00:00:00").cast("timestamp_ntz").alias("submitted_at"), "payload")
-    ended = F.col("batch_id").endswith("0") | F.col("batch_id").endswith("3")
-    polled = batches.select("batch_id", F.when(ended, "ended").when(~F.col("batch_id").endswith("2"), "in_progress").alias("status"))
+    polled = batches.select("batch_id", F.when(kind.isin("0", "3"), "ended").when(kind != "2", "in_progress").alias("status"))
     results = asked.select("batch_id", "custom_id", "content", F.lit(None).cast("string").alias("error"))
     stray = results.withColumn("custom_id", F.concat(F.lit("x"), "custom_id"))
     return batches, polled, results.union(stray)
@@ -693,7 +704,7 @@ def _keyed(spark, sf_dir):
     return _completions(spark, sf_dir).withColumn("key", F.concat("a", "b"))
 
 
-@query(f"""WITH {_CP} SELECT DISTINCT 'primary-' || n % 5 AS batch_id, CASE WHEN n % 5 IN (0, 3) THEN 'written' WHEN n % 5 IN (2, 4) THEN 'abandoned' ELSE 'open' END AS outcome FROM cp""")
+@query(f"""WITH {_CP} SELECT DISTINCT 'primary-' || n % 5 || '-' || CAST(substr(a, 2) AS BIGINT) // 10 AS batch_id, CASE WHEN n % 5 IN (0, 3) THEN 'written' WHEN n % 5 IN (2, 4) THEN 'abandoned' ELSE 'open' END AS outcome FROM cp""")
 def batch_outcomes(spark, sf_dir):
     batches, polled, _ = _open_batches(spark, sf_dir, _keyed(spark, sf_dir), "primary", _pair_text())
     return extraction.settled(batches, polled, end())
@@ -715,17 +726,17 @@ def reconcile_primary(spark, sf_dir):
 
 @query(f"""WITH {_CP}, rc AS (SELECT * FROM cl WHERE n % 5 IN (0, 3)) SELECT a AS market_id_a, b AS market_id_b, 'implies' AS relationship_type, 'a_implies_b' AS direction, 0.9 AS confidence,
   CASE WHEN error IS NOT NULL THEN 'soft' WHEN relationship_type = 'implies' THEN 'trusted' ELSE 'review' END AS trust_tier, CASE WHEN error IS NOT NULL THEN 'single' WHEN relationship_type = 'implies' THEN 'agreed' ELSE 'disagreed' END AS agreement_status,
-  'earlier' AS model, CASE WHEN error IS NULL THEN 'model' END AS verify_model FROM rc""")
+  'earlier' AS model, CASE WHEN error IS NULL THEN 'model' END AS verify_model, 'r' AS rationale, '{{"relationship_type":"implies","direction":"first_implies_second","confidence":0.9,"rationale":"r"}}' AS raw_response FROM rc""")
 def reconcile_verify(spark, sf_dir):
     first = {"relationship_type": "implies", "direction": "first_implies_second", "rationale": "r"}
     rows = _keyed(spark, sf_dir).withColumns({k: F.lit(v) for k, v in first.items()} | {"confidence": F.lit(0.9), "model": F.lit("earlier")})
-    return extraction.verify_rows(_answers(spark, sf_dir, rows, "verify", extraction.verify_context())).drop("rationale", "raw_response")
+    return extraction.verify_rows(_answers(spark, sf_dir, rows, "verify", extraction.verify_context()))
 
 
 def _descriptions(spark, sf_dir):
     """A completion about each market; some lack a key, have a text instead of an array, or an empty answer."""
     n = F.col("ordinal")
-    entities = F.when(n % 7 == 0, F.lit('"none"')).when(n % 7 == 1, F.lit("null")).otherwise(F.concat(F.lit('[" '), F.col("yes_sub_title"), F.lit('", "", " x "]')))
+    entities = F.when(n % 7 == 0, F.lit('"none"')).when(n % 7 == 1, F.lit("null")).otherwise(F.concat(F.lit('[" '), F.col("yes_sub_title"), F.lit('", "", null, true, " x "]')))
     body = F.concat(F.lit('{"underlying_event":"'), F.col("series_ticker"), F.lit('","resolves_yes_when":" y "'), F.when(n % 9 == 0, "").otherwise(',"resolves_no_when":5'), F.lit(',"resolution_timing":null,"entities":'), entities, F.lit("}"))
     return markets(spark, sf_dir).select("market_id", n.alias("n"), F.when(n % 10 != 3, body).alias("content"))
 
@@ -734,7 +745,7 @@ _SM = f"""{_MK}, sm AS (SELECT market_id, ordinal AS n, series_ticker AS underly
 
 
 @query(f"""WITH {_SM} SELECT market_id, CASE WHEN error IS NULL THEN underlying_event END AS underlying_event, CASE WHEN error IS NULL THEN ' y ' END AS resolves_yes_when, CASE WHEN error IS NULL THEN '5' END AS resolves_no_when, CASE WHEN error IS NULL THEN 'None' END AS resolution_timing,
-  CASE WHEN error IS NULL THEN CASE WHEN n % 7 = 1 THEN '' ELSE trim(label) || ',x' END END AS entities, error FROM sm""")
+  CASE WHEN error IS NULL THEN CASE WHEN n % 7 = 1 THEN '' ELSE trim(label) || ',None,True,x' END END AS entities, error FROM sm""")
 def parse_semantics(spark, sf_dir):
     rows = edges.parse_semantics(_descriptions(spark, sf_dir))
     return rows.select("market_id", "underlying_event", "resolves_yes_when", "resolves_no_when", "resolution_timing", F.array_join("entities", ",").alias("entities"), "error")
@@ -815,4 +826,4 @@ def work_plan(spark, sf_dir):
     parts = [count(m.where("subscribed"), "active"), count(edges.missing_semantics(m, s, 1), "to_extract"), pairs.breakdown(pairs.candidates(m)).select(F.col("total").alias("candidate_pairs"))]
     return parts[0].crossJoin(parts[1]).crossJoin(parts[2])  # of one row each
 
-from . import dynamics  # noqa: E402, F401 - registers its queries
+from . import dynamics, relations  # noqa: E402, F401 - register their queries

@@ -110,3 +110,41 @@ def test_rates_and_liveness(spark):
     assert (r.batches, r.rows, r.rows_per_second, r.mean_batch_ms, r.dropped_late) == (2, 20, None, 0.0, 3)
     for at, alive in (("00:03:30", True), ("00:03:31", False)):
         assert metrics.liveness(table, F.lit(f"2024-03-01 {at}").cast("timestamp")).first()["alive"] == alive
+
+
+def bounded_options(path, tmp_path, **more):
+    return {"client": "tests.test_feed:Broker", "file": str(path), "series": ",".join(SERIES), "shards": str(SHARDS), "maxframes": "7", "position": str(tmp_path / "position.json")} | more
+
+
+def test_a_backlog_drains_in_bounded_triggers_over_restarts(spark, tmp_path):
+    spark.dataSource.register(FeedSource)
+    path = tmp_path / "feed.json"
+    for n in (60, 95):
+        path.write_text(json.dumps(feed(n)))
+        source = spark.readStream.format("feed").options(**bounded_options(path, tmp_path)).load()
+        q = source.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="100 milliseconds").start()
+        try:
+            until(lambda n=n: q.exception() is not None or sum(p["numInputRows"] for p in q.recentProgress) >= n - (60 if n == 95 else 0), 90)
+            sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+            assert len(sizes) > 1 and max(sizes) <= 7 * SHARDS
+        finally:
+            q.stop()
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert rows.count() == rows.select("ingest_seq").distinct().count() == 95
+
+
+def test_a_new_query_may_begin_at_the_tail(tmp_path):
+    path = tmp_path / "feed.json"
+    path.write_text(json.dumps(feed(20)))
+    options = bounded_options(path, tmp_path, start="tail", tries="3")
+    reader = FeedReader(options)
+    first = reader.initialOffset()
+    assert first == reader.ends() and sum(first.values()) == 20 and reader.latestOffset() == first
+    path.write_text(json.dumps(feed(60)))
+    again = FeedReader(options)  # restarted: it goes on from what was planned
+    assert again.latestOffset() == {k: min(again.ends()[k], first[k] + 7) for k in first}
+    assert sum(x.end - x.start for x in again.partitions(first, again.planned)) == sum(again.planned.values()) - 20
+    with pytest.raises(ValueError, match="position"):
+        FeedReader({"client": "x:y", "maxframes": "3"})
+    with pytest.raises(ValueError, match="no position"):
+        FeedReader(options | {"position": str(tmp_path / "other")}).latestOffset()

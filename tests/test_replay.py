@@ -188,3 +188,44 @@ def test_grid_of_a_stream_equals_batch(spark, tmp_path):
         kept = want if idle is None else want[want["ts"] - want["seen_ts"] <= dt.timedelta(seconds=idle)]
         assert same_rows(spark.table(name).toPandas(), kept)
         assert idle is None or len(kept) < len(want)
+
+
+def test_grid_with_typed_state_equals_batch(spark, tmp_path):
+    from marketlens.operators import audit
+    from marketlens.streaming import keyed
+
+    r, rows = random.Random(15), []
+    for k in range(200):
+        m, kind = r.choice("AB"), r.random()
+        if kind < 0.08:
+            rows.append(snapshot(k, [["0.42", "5"], ["0.36", "2"], ["0.995", "4"]], [["0.31", "5"]], k, m))
+        elif kind < 0.2:
+            rows.append(event(k, "trade", None, m, yes_price_dollars=r.choice(["0.42", "0.57"]), count_fp=str(r.randint(1, 9))))
+        elif kind < 0.26:
+            rows.append(event(k, "lifecycle", None, m, event_type=r.choice(["created", "activated", "deactivated", "settled"])))
+        else:
+            rows.append(delta(k, r.choice(["yes", "no", "maybe"]), r.choice(["0.42", "0.36", "0.31", "0.66", "?"]), str(r.randint(-4, 6)), k - r.choice([0, 0, 3]), m))
+    early, late = rows[:100] + rows[105:112], rows[100:105] + rows[112:]
+    r.shuffle(late)
+    for i, part in enumerate((early, late, [delta(400, "yes", "0.42", "1", 1, "Z")], [delta(401, "yes", "0.42", "1", 2, "Z")])):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    p = Params(interval_seconds=10)
+    accepted = replay.accepted(decoded(spark, rows), p)
+    want = replay.grid(accepted, ends(370), p=p).toPandas()
+    assert want["crossed"].any()
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", keyed.STORE)
+    try:
+        for name, idle in (("typed", None), ("typed_idle", 60)):
+            stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+            q = keyed.grid(stream, "30 seconds", idle, p).writeStream.outputMode("append").format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+            q.awaitTermination(240)
+            kept = want if idle is None else want[want["ts"] - want["seen_ts"] <= dt.timedelta(seconds=idle)]
+            assert same_rows(spark.table(name).toPandas(), kept)
+            assert idle is None or len(kept) < len(want)
+        books = keyed.stored_levels(spark, str(tmp_path / "typed")).where("market_id <> 'Z'")
+        resets = replay.book_cells(accepted, ends(370), p).where("crossed").select("market_id", (F.col("tick") * 10).alias("s"))
+        reset = replay.with_resets(decoded(spark, rows), resets.select("market_id", F.timestamp_micros(F.col("s") * 1_000_000 - 1).cast("timestamp_ntz").alias("received_ts")))
+        own = replay.last_levels(replay.level_changes(replay.accepted(reset, p), p))
+        assert books.count() > 0 and {v.status for v in audit.audit(own.select("market_id").union(books.select("market_id")), books, own).collect()} == {"no_diff"}
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
