@@ -8,7 +8,11 @@ an entity e in each document that has both, wherever they stand; over documents
 
 the share of e's information content that t gives away (1: t occurs only with e). Pairs seen in fewer than SUPPORT different
 contexts are no evidence; a context is a document's terms without its entities, so that copies of a document are one
-context, and an entity of fewer contexts flags no term. Terms whose
+context, and an entity of fewer contexts flags no term. Single entities seldom have as many contexts, so the same is estimated for
+their classes: the domain of an e-mail address, the first half of an IP address, the first six digits of a card, the first four of
+a phone number. A class is common enough that rare terms meet it by chance, so its pairs need CLASS_SUPPORT contexts, and
+evidence: with r = n(t, c) / n(t) and p = n(c) / N, n(t) times the divergence of r from p must reach EVIDENCE nats, a bound of the
+probability that chance alone does it (e to the minus 25th). Terms whose
 disclosure reaches GENERALISE are replaced by their kind ([NUMBER], [NAME] or [WORD]) wherever they occur, and from REMOVE
 on they are taken out. Entities are always replaced by their kind.
 
@@ -32,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, batch_words, free_name, mix, slices, small, summed, table, written
 
 SUPPORT = 3
+CLASS_SUPPORT, EVIDENCE = 8, 25.0
 GENERALISE, REMOVE = 0.7, 0.9
 KINDS = ("email", "ip", "card", "phone")
 
@@ -89,6 +94,14 @@ def _value(text: str, span: tuple[int, int, int]) -> int:
     return xxhash.xxh3_64_intdigest(f"{KINDS[span[2]]}:{value}".encode())
 
 
+def _class(text: str, span: tuple[int, int, int]) -> int:
+    """Hash of the entity's class."""
+    raw = text[span[0] : span[1]].lower()
+    digits = re.sub("[^0-9]", "", raw)
+    part = raw.rpartition("@")[2] if span[2] == 0 else ".".join(p.lstrip("0") for p in raw.split(".")[:2]) if span[2] == 1 else digits[: 6 if span[2] == 2 else 4]
+    return xxhash.xxh3_64_intdigest(f"class of {KINDS[span[2]]}:{part}".encode())
+
+
 def _texts(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
@@ -101,7 +114,8 @@ def _char_places(text: str, places: np.ndarray) -> np.ndarray:
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """row (of the text), context, entities and terms (each once) of the documents with an entity. Equal contexts have equal terms."""
+    """row (of the text), context, entities, classes and terms (each once) of the documents with an entity. Equal contexts have equal
+    terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -120,13 +134,13 @@ def mentions(docs: DataFrame) -> DataFrame:
                 for a, b, _ in spans:
                     taken[np.searchsorted(last, a, "right") : np.searchsorted(first, b, "left")] = True
                 free = own[~taken]
-                entities = np.unique(np.array([_value(text, s) for s in spans], np.uint64))
+                entities, classes = (np.unique(np.array([f(text, s) for s in spans], np.uint64)) for f in (_value, _class))
                 ids = np.array([xxhash.xxh3_64_intdigest(text.encode()), mix(free + np.uint64(1)).sum(dtype=np.uint64)], np.uint64).view(np.int64)
-                rows.append((int(ids[0]), int(ids[1]), entities.view(np.int64), np.unique(free).view(np.int64)))
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds], ["row", "context", "entities", "terms"])
+                rows.append((int(ids[0]), int(ids[1]), entities.view(np.int64), classes.view(np.int64), np.unique(free).view(np.int64)))
+            kinds = (pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds], ["row", "context", "entities", "classes", "terms"])
 
-    return _texts(docs).mapInArrow(run, "row long, context long, entities array<long>, terms array<long>")
+    return _texts(docs).mapInArrow(run, "row long, context long, entities array<long>, classes array<long>, terms array<long>")
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -206,22 +220,29 @@ def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return _texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest")).mapInArrow(run, "doc_id long, digest long, term long, spans string")
 
 
-def disclosing_terms(docs: DataFrame) -> DataFrame:
-    """term (hash), disclosure (the largest over entities), action (1 generalise, 2 remove) of the terms over the threshold."""
+def disclosing_terms(docs: DataFrame, classes: bool = False) -> DataFrame:
+    """term (hash), disclosure (the largest over entities, and over their classes), action (1 generalise, 2 remove) of the terms over
+    the threshold."""
     seen = written(mentions(docs), "mentions")
-    of_context = seen.select("row", "context", F.explode("entities").alias("entity")).groupBy("context", "entity").agg(F.count_distinct("row").alias("n"))
-    of_context = written(of_context, "contexts")
-    of_entity = written(of_context.groupBy("entity").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_entity")).where(F.col("contexts") >= SUPPORT), "entities")
+    whose = lambda names, of_class: F.transform(names, lambda e: F.struct(e.alias("entity"), F.lit(of_class).alias("of_class")))
+    named = whose("entities", False)
+    each = seen.select("row", "context", F.explode(F.concat(named, whose("classes", True)) if classes else named).alias("e")).select("row", "context", "e.*")
+    of_context = written(each.groupBy("context", "entity", "of_class").agg(F.count_distinct("row").alias("n")), "contexts")
+    enough = F.col("contexts") >= F.when(F.col("of_class"), CLASS_SUPPORT).otherwise(SUPPORT)
+    of_entity = written(of_context.groupBy("entity", "of_class").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_entity")).where(enough), "entities")
     # An entity of fewer contexts has no pair of enough.
     kept = written(of_context.join(small(of_entity.select("entity")), "entity", "left_semi"), "kept")
     words = seen.join(small(kept.select("context").distinct()), "context", "left_semi").groupBy("context").agg(F.first("terms").alias("terms"))
-    pairs = kept.join(words, "context").select("entity", "n", F.explode("terms").alias("term"))
-    strong = written(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_both")).where(F.col("contexts") >= SUPPORT), "pairs")
+    pairs = kept.join(words, "context").select("entity", "of_class", "n", F.explode("terms").alias("term"))
+    strong = written(pairs.groupBy("entity", "of_class", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_both")).where(enough), "pairs")
     terms = written(strong.select("term").distinct(), "terms")
     of_term = term_counts(docs, terms).join(small(terms), "term", "left_semi")
     total = float(docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest")).distinct().count())
     share = 1 + F.log(F.col("n_both") / F.col("n_term")) / F.log(F.lit(total) / F.col("n_entity"))
-    scored = strong.join(of_entity.select("entity", "n_entity"), "entity").join(of_term, "term").where(F.col("n_entity") < total).select("term", share.alias("disclosure"))
+    with_it, among_all = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term")), F.col("n_entity") / F.lit(total)
+    without = F.when(with_it < 1, (1 - with_it) * F.log((1 - with_it) / (1 - among_all))).otherwise(0.0)
+    certain = ~F.col("of_class") | (F.col("n_term") * (with_it * F.log(with_it / among_all) + without) >= EVIDENCE)
+    scored = strong.join(of_entity.select("entity", "n_entity"), "entity").join(of_term, "term").where((F.col("n_entity") < total) & certain).select("term", share.alias("disclosure"))
     best = scored.groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
     return written(best.withColumn("action", F.when(F.col("disclosure") >= REMOVE, 2).otherwise(1)), "disclosing")
 
@@ -265,7 +286,7 @@ def _all_spans(batch: pa.RecordBatch, name: str, keep) -> Iterator[tuple[str, li
 
 def find(docs: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, n_term, n_spans (all of these), base_sha256, spans of each document."""
-    flagged = disclosing_terms(docs) if flagged is None else flagged
+    flagged = disclosing_terms(docs, classes=True) if flagged is None else flagged
     rows, name, keep = with_term_spans(docs.select("doc_id", "text"), flagged)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +307,7 @@ def find(docs: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
 def sanitise(docs: DataFrame) -> DataFrame:
     """The documents with entities replaced by their kind and disclosing terms generalised or removed; n_chars, where the
     table has it, follows the text. Null texts stay null."""
-    rows, name, keep = with_term_spans(docs, disclosing_terms(docs.select("doc_id", "text")))
+    rows, name, keep = with_term_spans(docs, disclosing_terms(docs.select("doc_id", "text"), classes=True))
     schema = docs.schema
     names = docs.columns
 

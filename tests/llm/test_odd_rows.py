@@ -123,6 +123,51 @@ def test_disclosure_equals_plain_counts(spark):
     assert got == pytest.approx(want) and want
 
 
+def test_disclosure_of_classes_equals_plain_counts(spark):
+    """Names of one company stand with its addresses, no two of which are equal; other words stand with them by chance."""
+    r, texts = random.Random(9), []
+    company = lambda k: r.choices([f"ann{k}@corp.example", f"10.20.{k % 250}.{k % 99}", f"+1 (555) 01{k % 90 + 10}-{1000 + k}"], [8, 1, 1])[0]
+    for k in range(900):
+        words = prose(r, 8).split()
+        if k % 6 == 0:
+            words += [company(k)] + (["Zorbium"] if r.random() < 0.9 else ["Plain"]) + (["Half"] if k % 12 else [])
+        elif k % 7 == 0:
+            words += ["Half"]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def of_text(t):
+        spans = pii.base_spans(t)
+        free = "".join(" " if any(a <= i < b for a, b, _ in spans) else c for i, c in enumerate(t))
+        raw = [(t[a:b], k) for a, b, k in spans]
+        part = {0: lambda x: x.split("@")[1], 1: lambda x: ".".join(x.split(".")[:2]), 2: lambda x: re.sub("[^0-9]", "", x)[:6], 3: lambda x: re.sub("[^0-9]", "", x)[:4]}
+        return re.findall("[a-z0-9]+", free.lower()), {(k, part[k](x)) for x, k in raw}
+
+    rows = [(set(w), h) for w, h in map(of_text, dict.fromkeys(texts))]
+    want, N = {}, len(rows)
+    for c in set().union(*(h for _, h in rows)):
+        p = sum(c in h for _, h in rows) / N
+        for t in set().union(*(w for w, _ in rows)):
+            contexts = {frozenset(w) for w, h in rows if t in w and c in h}
+            n = sum(t in w for w, _ in rows)
+            share = sum(t in w and c in h for w, h in rows) / n
+            if len(contexts) < pii.CLASS_SUPPORT or p == 1:
+                continue
+            divergence = share * math.log(share / p) + ((1 - share) * math.log((1 - share) / (1 - p)) if share < 1 else 0)
+            given = 1 + math.log(share) / math.log(1 / p)
+            if n * divergence >= pii.EVIDENCE and given >= pii.GENERALISE:
+                h = int(batch_words(pa.array([t]), letters=True)[0].view(np.int64)[0])
+                want[h] = max(given, want.get(h, 0))
+    got = {x.term: x.disclosure for x in pii.disclosing_terms(docs, classes=True).collect()}
+    hash_of = lambda word: int(batch_words(pa.array([word]), letters=True)[0].view(np.int64)[0])
+    assert got == pytest.approx(want) and hash_of("zorbium") in got and hash_of("half") not in got
+    flagged = {w for words, _ in rows for w in words if hash_of(w) in got}
+    found = {x.doc_id: x for x in pii.find(docs).collect()}
+    assert all(found[k].n_term == sum(w in flagged for w in of_text(t)[0]) == found[k].spans.count("term:") for k, t in enumerate(texts))
+    clean = {x.doc_id: x.text for x in pii.sanitise(docs).collect()}
+    assert not any("Zorbium" in t for t in clean.values()) and sum("Half" in t for t in clean.values()) == sum("Half" in t for t in texts)
+
+
 def hashed(*values):
     """Spark's xxhash64 of long values one after the other."""
     h = 42
