@@ -24,7 +24,6 @@ from ..sources.stage import bounded, staged
 _TIME = ("received_ts", "ingest_seq")
 _BEFORE = (Window.unboundedPreceding, -1)
 _SO_FAR = (Window.unboundedPreceding, Window.currentRow)
-_AFTER = (1, Window.unboundedFollowing)
 #: Quantiles of a hot market's times from which its cuts are taken, and ticks that a node of `book_cells` has below it.
 _QUANTILES, _RADIX, _HEIGHT = 4096, 16, 7
 
@@ -93,7 +92,7 @@ def _before_blocks(rows: DataFrame) -> DataFrame:
     each = each.withColumn("open", F.max("top").over(Window.partitionBy("market_id", "part").orderBy("block").rowsBetween(*_SO_FAR)))
     return each.select(
         "market_id", "block", F.coalesce(F.sum("n").over(line.rowsBetween(*_BEFORE)), F.lit(0)).alias("_epochs"), F.last("snap", ignorenulls=True).over(line.rowsBetween(*_BEFORE)).alias("_anchored"),
-        F.lag("open").over(line).alias("_floor"), F.first("began", ignorenulls=True).over(line.rowsBetween(*_AFTER)).alias("_ended"),
+        F.lag("open").over(line).alias("_floor"), F.last("began", ignorenulls=True).over(Window.partitionBy("market_id").orderBy(F.desc("block")).rowsBetween(*_BEFORE)).alias("_ended"),
     )
 
 
@@ -108,7 +107,9 @@ def accepted(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
     rows = blocked(events, found).withColumn("epoch", F.sum(begins.cast("int")).over(market.rowsBetween(*_SO_FAR)))
     local = rows
     rows = rows.withColumn("anchored", F.last(F.when(begins, is_snapshot), ignorenulls=True).over(market.rowsBetween(*_SO_FAR)))
-    rows = rows.withColumn("ended", F.first(F.when(begins, F.col("received_ts")), ignorenulls=True).over(market.rowsBetween(*_AFTER)))
+    # From the end on, since a frame of all following rows is read anew for each row.
+    backwards = Window.partitionBy(*part).orderBy(*(F.desc(c) for c in _TIME))
+    rows = rows.withColumn("ended", F.last(F.when(begins, F.col("received_ts")), ignorenulls=True).over(backwards.rowsBetween(*_BEFORE)))
     rows = rows.withColumn("floor", F.max(_sequenced()).over(in_epoch.rowsBetween(*_BEFORE)))
     if found is not None:
         rows = rows.join(_before_blocks(local), part, "left")
