@@ -10,7 +10,8 @@ or a restarted query reads them again, and none is lost or read twice. Calls are
 
 A trigger takes all frames since the last one, or with the option `maxframes` at most so many of each shard, so that a backlog
 drains in bounded triggers. For that the reader notes, in the file of the option `position` (in a folder that outlives the
-driver), how far it has planned, before Spark hears of it; a restarted query goes on from there. With `start` = `tail` a new query
+driver), where it began and how far it has planned, before Spark hears of it; a restarted query goes on from there, and one whose
+position is gone fails. With `start` = `tail` a new query
 reads only frames that come after it began, else all from the first on.
 
 A series always has the same shard (by its hash), so the frames of a market are in order: ingest_seq grows along each shard and
@@ -47,7 +48,7 @@ class FeedReader(DataSourceStreamReader):
         self.most = int(self.options.get("maxframes", 0))
         if self.most and "position" not in self.options:
             raise ValueError("maxframes needs the option position")
-        self.planned: dict[str, int] | None = None
+        self.noted: dict[str, dict[str, int]] | None = None
 
     def client(self):
         module, _, name = self.options["client"].partition(":")
@@ -57,42 +58,48 @@ class FeedReader(DataSourceStreamReader):
         client = self.client()
         return {str(k): retried(lambda k=k: client.end(k), self.tries) for k in self.series}
 
+    def _first(self) -> dict[str, int]:
+        return self.ends() if self.options.get("start") == "tail" else {str(k): 0 for k in self.series}
+
     def initialOffset(self) -> dict:
-        first = self.ends() if self.options.get("start") == "tail" else {str(k): 0 for k in self.series}
-        if self.most:
-            self._note(first)
-        return first
+        return self._begun()["first"] if self.most else self._first()
 
     def latestOffset(self) -> dict:
-        """All there is, or a bounded step on from what was planned last, which is never behind what Spark has begun."""
-        ends = self.ends()
+        """All there is, or a bounded step on from what was planned last, which is never behind what Spark has begun. Spark asks a
+        new query for it before it asks where the query begins."""
         if not self.most:
-            return ends
-        if self.planned is None:  # a restarted query
-            self.planned = self._noted()
-        step = {k: max(self.planned.get(k, 0), min(end, self.planned.get(k, 0) + self.most)) for k, end in ends.items()}
-        self._note(step)
+            return self.ends()
+        first, planned = self._begun()["first"], self._begun()["planned"]
+        step = {k: max(planned.get(k, 0), min(end, planned.get(k, 0) + self.most)) for k, end in self.ends().items()}
+        self._note({"first": first, "planned": step})
         return step
 
-    def _note(self, position: dict[str, int]) -> None:
+    def _begun(self) -> dict[str, dict[str, int]]:
+        if self.noted is None:
+            system, path = self._position()
+            if system.get_file_info(path).type == fs.FileType.NotFound:
+                first = self._first()
+                self._note({"first": first, "planned": first})
+            else:
+                with system.open_input_stream(path) as source:
+                    self.noted = json.loads(source.read())
+        return self.noted
+
+    def _note(self, position: dict[str, dict[str, int]]) -> None:
         system, path = self._position()
         with system.open_output_stream(path + ".new") as out:
             out.write(json.dumps(position).encode())
         system.move(path + ".new", path)
-        self.planned = position
-
-    def _noted(self) -> dict[str, int]:
-        system, path = self._position()
-        if system.get_file_info(path).type == fs.FileType.NotFound:
-            raise ValueError(f"no position in {path}: a query that goes on needs that of its earlier runs")
-        with system.open_input_stream(path) as source:
-            return json.loads(source.read())
+        self.noted = position
 
     def _position(self) -> tuple[fs.FileSystem, str]:
         where = self.options["position"]
         return fs.FileSystem.from_uri(where if ":" in where else "file://" + where)
 
     def partitions(self, start: dict, end: dict) -> list[Shard]:
+        behind = [k for k, upto in end.items() if upto < start.get(k, 0)]
+        if behind:
+            raise ValueError(f"the position of shards {', '.join(behind)} is behind the query's: it is not that of its earlier runs")
         new = ((int(k), start.get(k, 0), upto) for k, upto in end.items())
         return [Shard(k, self.series.get(k, []), done, upto) for k, done, upto in new if done < upto]
 

@@ -10,7 +10,7 @@ from tests.conftest import SF, same_rows
 @pytest.fixture(scope="module")
 def duck():
     c = duckdb.connect()
-    for t in ("part", "lineitem", "events"):
+    for t in ("part", "lineitem", "events", "embeddings"):
         c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     return c
 
