@@ -49,9 +49,11 @@ def test_admission(spark, p, h, v):
 
 def test_audit_classes(spark):
     level = "market_id string, side string, price long, size long"
-    book = [("small", "yes", p * 10_000, 1_000_000) for p in range(10, 20)] + [("same", "yes", 100_000, 5)] + [("gross", "yes", 100_000, 1_000_000)]
-    book += [("large", "no", p * 10_000, 1_000_000) for p in range(10, 20)]
-    other = [r for r in book if r[0] not in ("gross",) and not (r[0] == "small" and r[2] == 100_000) and not (r[0] == "large" and r[2] < 150_000)] + [("gross", "yes", 100_000, 1_000_000_000)]
+    book = [("small", "yes", p * 10_000, 7_000_000) for p in range(41, 58)] + [("same", "yes", 270_000, 9)] + [("gross", "no", 330_000, 12_000_000)]
+    book += [("large", "no", p * 10_000, 7_000_000) for p in range(41, 58)]
+    # Four levels fewer are still a small difference and seven are not; more than half of the larger size is a large one.
+    gone = {"small": 450_000, "large": 480_000}
+    other = [r for r in book if r[0] != "gross" and r[2] >= gone.get(r[0], 0)] + [("gross", "no", 330_000, 5_900_000)]
     names = spark.createDataFrame([(m,) for m in ("small", "same", "gross", "large", "empty")], "market_id string")
     got = {r.market_id: (r.status, r.action_taken) for r in audit.audit(names, spark.createDataFrame(book, level), spark.createDataFrame(other, level)).collect()}
     assert got == {"small": ("small_diff", "none"), "same": ("no_diff", "none"), "gross": ("large_diff", "book_reset"), "large": ("large_diff", "book_reset"), "empty": ("no_diff", "none")}
@@ -71,7 +73,7 @@ def test_pairs_equal_brute_force(spark):
 
 
 def test_tiers(spark):
-    first = spark.createDataFrame([(f"a{k}", "b", "implies", "none", c, None) for k, c in enumerate((0.95, 0.95, 0.95, 0.7, 0.2, 0.95))], "a string, b string, relationship_type string, direction string, confidence double, error string")
+    first = spark.createDataFrame([(f"a{k}", "b", "implies", "none", c, None) for k, c in enumerate((0.91, 0.88, 0.85, 0.61, 0.59, 0.97))], "a string, b string, relationship_type string, direction string, confidence double, error string")
     second = spark.createDataFrame([("a0", "b", "implies", "m", None), ("a1", "b", "unrelated", "m", None), ("a5", "b", "implies", "m", None)], "a string, b string, relationship_type string, model string, error string")
     live = spark.createDataFrame([(x,) for x in ("a0", "a1", "a2", "a3", "a4", "b")], "market_id string")
     got = {r.a: (r.trust_tier, r.agreement_status) for r in edges.trust(first, second, live).collect()}
@@ -185,8 +187,8 @@ def test_few_markets_are_extracted_one_by_one(spark):
 
 def test_prune_keeps_rows_without_time(spark):
     now = dt.datetime(2024, 1, 1, 12)
-    rows = spark.createDataFrame([(now - dt.timedelta(hours=5),), (now - dt.timedelta(minutes=30),), (None,)], "ts timestamp_ntz")
-    cutoff = F.lit(now - dt.timedelta(hours=3)).cast("timestamp_ntz")
+    rows = spark.createDataFrame([(now - dt.timedelta(minutes=101),), (now - dt.timedelta(minutes=99),), (None,)], "ts timestamp_ntz")
+    cutoff = F.lit(now - dt.timedelta(minutes=100)).cast("timestamp_ntz")
     assert retention.prune(rows, "ts", cutoff).count() == 2
     assert tuple(retention.prune_counts(rows, "ts", cutoff).first()) == (1, 2)
 

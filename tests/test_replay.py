@@ -93,10 +93,10 @@ def test_resume_from_any_checkpoint_equals_all_events(spark):
 
 
 def test_crossed_book_is_emitted_once_and_reset(spark):
-    rows = [snapshot(1, [["0.60", "10"]], [["0.50", "10"]], 1), delta(70, "yes", "0.61", "1", 2)]
+    rows = [snapshot(1, [["0.73", "4"]], [["0.28", "17"]], 1), delta(70, "yes", "0.74", "1", 2)]
     end = F.lit(T0 + dt.timedelta(seconds=240)).cast("timestamp_ntz")
     cells = replay.grid(replay.accepted(normalize.decoded(spark.createDataFrame(rows, SCHEMA))), end).orderBy("ts").collect()
-    assert [(c.crossed, c.bid_micro) for c in cells] == [(True, 600_000), (False, None), (False, None), (False, None)]
+    assert [(c.crossed, c.bid_micro) for c in cells] == [(True, 730_000), (False, None), (False, None), (False, None)]
 
 
 def simulate(rows):
