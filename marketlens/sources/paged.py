@@ -8,8 +8,7 @@ retried with a jittered, growing delay and paced: `persecond` is the rate of all
 share of it. A client raises Missing for a key that does not exist, which gives no rows, or a null document with the option
 `misses`.
 
-With the option `pushdown` and spark.sql.python.filterPushdown.enabled, a filter key = x or key IN (...) asks for those keys alone, and `keys` may be left
-out. For a table of keys there is `lookup`: keys stay in their partitions and never pass the driver.
+For a table of keys there is `lookup`: keys stay in their partitions and never pass the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 class Missing(Exception):
@@ -104,7 +103,7 @@ class PagedReader(DataSourceReader):
 
     def partitions(self) -> list[Connection]:
         if self.keys is None:
-            raise ValueError("give the option keys, or pushdown and a filter by key")
+            raise ValueError("give the option keys, or use lookup for a table of keys")
         n = min(len(self.keys), int(self.options.get("connections", 4)))
         return [Connection(self.keys[k::n], 1 / n) for k in range(n)]
 
@@ -115,20 +114,6 @@ class PagedReader(DataSourceReader):
                 yield (key, d)
 
 
-class FilteredReader(PagedReader):
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            wanted = None
-            if isinstance(f, EqualTo) and f.attribute == ("key",):
-                wanted = [f.value]
-            elif isinstance(f, In) and f.attribute == ("key",):
-                wanted = list(f.value)
-            if wanted is None:
-                yield f
-            else:
-                self.keys = list(dict.fromkeys(k for k in wanted if k is not None and (self.keys is None or k in self.keys)))
-
-
 def lookup(keys: DataFrame, client: str, column: str = "key", **options) -> DataFrame:
     """key, doc of each distinct key of a table: the service is asked from as many tasks as there are connections, which share
     its rate. A key that does not exist gives a null document. Options as those of the source."""
@@ -155,4 +140,4 @@ class PagedSource(DataSource):
         return "key string, doc string"
 
     def reader(self, schema) -> PagedReader:
-        return FilteredReader(self.options) if self.options.get("pushdown", "false") == "true" else PagedReader(self.options)
+        return PagedReader(self.options)

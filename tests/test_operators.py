@@ -209,17 +209,7 @@ def test_paged_source(spark):
     assert {(r.key, r.doc is None) for r in misses.collect()} == {("A", False), ("B", False), ("gone", True)}
 
 
-def test_lookups_by_filter_and_by_a_table_of_keys(spark):
-    spark.dataSource.register(PagedSource)
-    rows = spark.read.format("paged").option("client", "tests.test_operators:Service").option("persecond", "1000").option("pushdown", "true").load()
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    try:
-        assert rows.where("key in ('A', 'C', 'gone') and key <> 'C' and doc like '%1%'").select("key", "doc").collect() == [("A", '{"key": "A", "n": 1}')]
-        assert rows.where("key = 'B'").count() == 3
-        with pytest.raises(Exception, match="filter by key"):
-            rows.count()
-    finally:
-        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+def test_lookups_by_a_table_of_keys(spark):
     keys = spark.createDataFrame([("A",), ("gone",), (None,), ("A",), ("D",)], "market string")
     got = lookup(keys, "tests.test_operators:Service", "market", connections=2, persecond=1000)
     assert sorted((r.key, r.doc is None) for r in got.collect()) == [("A", False)] * 3 + [("D", False)] * 3 + [("gone", True)]
