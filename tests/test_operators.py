@@ -233,3 +233,45 @@ def test_pacing_and_retries():
     assert retried(flaky, sleep=lambda s: None) == "done"
     with pytest.raises(Temporary):
         retried(lambda: (_ for _ in ()).throw(Temporary()), 2, sleep=lambda s: None)
+
+
+def _copies(spark):
+    """Markets of which many have equal entities, some several events or rows, with closing times."""
+    rows = [(f"M{i}", f"E{i % 3}" if i % 4 else None, ["x", "y", "z" if i % 5 else f"w{i}", "q"][: 4 if i % 7 else 2], NOW_SECONDS + i * 3600 if i % 6 else None) for i in range(60)]
+    rows += [("M1", "E2", ["more"], None), ("M2", "", None, None)]
+    m = spark.createDataFrame(rows, "market_id string, event_ticker string, entities array<string>, at long")
+    return m.withColumn("closes_at", F.timestamp_seconds("at").cast("timestamp_ntz")).withColumn("series_ticker", F.lit(None).cast("string"))
+
+
+NOW_SECONDS = 1_700_000_000
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_pairs_by_classes(spark, monkeypatch, block):
+    from marketlens.operators import pairs
+
+    monkeypatch.setattr(pairs, "BLOCK", block)
+    m = _copies(spark)
+    sets, events, closes = {}, {}, {}
+    for r in m.collect():
+        sets.setdefault(r.market_id, set()).update(r.entities or ())
+        events.setdefault(r.market_id, set()).update({r.event_ticker} - {None, ""})
+        if r["at"] is not None:
+            closes[r.market_id] = r["at"] - NOW_SECONDS
+    ids = sorted(sets)
+    both = [(a, b) for a in ids for b in ids if a < b]
+    event = {x for x in both if events[x[0]] & events[x[1]]}
+    entity = {x for x in both if len(sets[x[0]] & sets[x[1]]) >= 3}
+    assert sorted(map(tuple, pairs.candidates(m).collect())) == sorted([(*x, "event") for x in event] + [(*x, "entity") for x in entity])
+    life = lambda x: min((closes[i] for i in x if i in closes), default=None)
+    got = pairs.distinct_candidates(m, now=F.timestamp_seconds(F.lit(NOW_SECONDS))).collect()
+    assert sorted(((r.a, r.b), r.life) for r in got) == sorted((x, life(x)) for x in event | entity)
+    assert pairs.candidate_counts(m).collect() == [(len(event), 0, len(entity), len(event | entity))]
+
+
+def test_pairs_are_not_broadcast_nor_shuffled(spark):
+    from marketlens.operators import pairs
+
+    plan = pairs.distinct_candidates(_copies(spark))._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "BroadcastExchange" not in plan
+    assert "Exchange" not in plan[: plan.index("Generate explode(ys")]
