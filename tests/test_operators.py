@@ -275,3 +275,35 @@ def test_pairs_are_not_broadcast_nor_shuffled(spark):
     plan = pairs.distinct_candidates(_copies(spark))._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     assert "BroadcastExchange" not in plan
     assert "Exchange" not in plan[: plan.index("Generate explode(ys")]
+
+
+def _plan_of(rows) -> str:
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_completions_are_parsed_once(spark):
+    texts = ['{"relationship_type":"implies","confidence":0.7,"rationale":"[]"}', '{"relationship_type":"implies","confidence":0.7}] x', '{"relationship_type":"implies","confidence":0.7},"end":1}', '{"relationship_type":"implies","confidence":0.7}}', '{"relationship_type":"implies","confidence":0.7},{}', '[{"relationship_type":"implies","confidence":0.7}]']
+    rows = edges.parse_classification(spark.createDataFrame([(x,) for x in texts], "content string"))
+    assert [r.error for r in rows.collect()] == [None] + ["not an object"] * 5
+    assert _plan_of(rows).count("```json") + _plan_of(rows).count("^json") == 1  # the fence is taken off once
+
+
+def test_structural_edges_of_all_pairs(spark, monkeypatch):
+    from marketlens.operators import coherence
+
+    monkeypatch.setattr(coherence, "BLOCK", 2)
+    rows = [(f"M{i}", f"E{i % 3}" if i != 5 else None, i % 3 != 1, "active" if i % 4 else "closed") for i in range(20)] + [("Z1", "two", True, "active"), ("Z2", "two", True, "active")]
+    m = spark.createDataFrame(rows, "market_id string, event_ticker string, mutually_exclusive boolean, status string")
+    now = F.lit("2024-01-31 00:00:00")
+    got = coherence.structural_edges(None, m, now)
+    want = coherence.structural_edges(pairs.same(m, "event_ticker", "event"), m, now)
+    assert got.count() and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_large_rows_are_staged_in_small_groups(spark):
+    import pyarrow.dataset as ds
+    from marketlens.sources.stage import LARGE_ROWS, staged
+
+    rows = staged(spark.range(0, 200, 1, 1).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 800).alias("payload")), "large", LARGE_ROWS)
+    groups = [g for f in ds.dataset([x.removeprefix("file://") for x in rows.inputFiles()]).get_fragments() for g in f.row_groups]
+    assert max(g.num_rows for g in groups) <= LARGE_ROWS and rows.count() == 200
