@@ -307,3 +307,11 @@ def test_large_rows_are_staged_in_small_groups(spark):
     rows = staged(spark.range(0, 200, 1, 1).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 800).alias("payload")), "large", LARGE_ROWS)
     groups = [g for f in ds.dataset([x.removeprefix("file://") for x in rows.inputFiles()]).get_fragments() for g in f.row_groups]
     assert max(g.num_rows for g in groups) <= LARGE_ROWS and rows.count() == 200
+
+
+def test_semantics_of_a_version_are_not_broadcast(spark):
+    m = spark.createDataFrame([("A", True), ("B", True), ("C", False)], "market_id string, subscribed boolean")
+    s = spark.createDataFrame([("A", 1), ("B", 2)], "market_id string, extraction_version int")
+    missing = edges.missing_semantics(m, s, 1)
+    assert [r.market_id for r in missing.collect()] == ["B"]
+    assert "BroadcastExchange" not in missing._jdf.queryExecution().toString()
