@@ -230,20 +230,21 @@ def book_cells(rows: DataFrame, end: Column, p: Params = DEFAULT) -> DataFrame:
     key = ["market_id", "epoch"]
     tick = lambda c: tick_before(F.col(c), step) + 1
     changes = level_changes(rows, p).withColumn("final", tick_before(F.coalesce("ended", end), step))
-    changes = staged(changes.select(*key, "final", "side", "price", "size", tick("received_ts").alias("tick"), tick("next_ts").alias("next")).where("tick <= final"), "changes")
+    changes = changes.select(*key, "final", "side", "price", "size", tick("received_ts").alias("tick"), tick("next_ts").alias("next")).where("tick <= final")
     in_epoch = Window.partitionBy(*key).orderBy("tick")
-    ticks = changes.select(*key, "final", "tick").distinct()
-    ticks = ticks.select(*key, "tick", F.coalesce(F.lead("tick").over(in_epoch) - 1, "final").alias("until"), (F.row_number().over(in_epoch) - 1).cast("long").alias("n"), F.count(F.lit(1)).over(Window.partitionBy(*key)).alias("of"))
+    numbered = staged(changes.withColumn("n", (F.dense_rank().over(in_epoch) - 1).cast("long")), "changes")
+    ticks = numbered.select(*key, "final", "tick", "n").distinct()
+    ticks = ticks.select(*key, "tick", F.coalesce(F.lead("tick").over(in_epoch) - 1, "final").alias("until"), "n", (F.max("n").over(Window.partitionBy(*key)) + 1).alias("of"))
     ticks = staged(ticks, "ticks")
-    # Of a level's changes before one tick the last is seen.
-    spans = changes.where("size > 0 and (next is null or next > tick)")
-    spans = spans.join(ticks.select(*key, "tick", F.col("n").alias("a"), "of"), [*key, "tick"])
-    spans = spans.join(ticks.select(*key, F.col("tick").alias("next"), F.col("n").alias("z")), [*key, "next"], "left")
+    # Of a level's changes before one tick the last is seen; it is seen until the level's next, or to the epoch's last tick.
+    spans = numbered.withColumn("of", F.max("n").over(Window.partitionBy(*key)) + 1).where("next is null or next > tick")
+    spans = spans.withColumn("z", F.lead("n").over(Window.partitionBy(*key, "side", "price").orderBy("tick"))).where("size > 0").withColumn("a", F.col("n"))
     pieces = spans.select(*key, "side", "price", "size", F.explode(_nodes(F.col("a"), F.coalesce(F.col("z"), F.col("of")) - 1)).alias("node")).select(*key, "side", "price", "size", "node.*")
     cells = pieces.where("k = 0").select(*key, F.col("i").alias("n"), "side", "price", "size")
     cells = cells.union(_from_above(pieces.where("k > 0"), ticks, p))
     books = tops(cells, [*key, "n"], p).withColumn("crossed", F.coalesce(F.col("bid") > F.col("ask"), F.lit(False)))
-    books = books.join(ticks.drop("of"), [*key, "n"]).drop("n")
+    # Hinted, since a staged table's files are small for its rows: it would be broadcast by the size of its files.
+    books = books.join(ticks.drop("of").hint("merge"), [*key, "n"]).drop("n")
     books = books.withColumn("reset", F.min(F.when(F.col("crossed"), F.col("tick"))).over(Window.partitionBy(*key))).where("reset is null or tick <= reset")
     return books.withColumn("until", F.when(F.col("crossed"), F.col("tick")).otherwise(F.col("until"))).drop("reset")
 
@@ -272,24 +273,30 @@ def _from_above(pieces: DataFrame, ticks: DataFrame, p: Params) -> DataFrame:
     heights = sum((F.col("of") >= _RADIX**k).cast("int") for k in range(1, _HEIGHT))
     above = ticks.where(F.col("of") >= _RADIX).withColumn("height", heights)
     above = above.select(*key, "n", F.explode(F.expr("transform(sequence(1, height), k -> struct(k as k, shiftright(n, 4 * k) as i))")).alias("node")).select(*key, "n", "node.*")
-    return above.join(nodes.select(*key, "k", "i", near.alias("near")), [*key, "k", "i"]).select(*key, "n", F.explode("near").alias("c")).select(*key, "n", "c.*")
+    return above.join(nodes.select(*key, "k", "i", near.alias("near")).hint("merge"), [*key, "k", "i"]).select(*key, "n", F.explode("near").alias("c")).select(*key, "n", "c.*")
 
 
-def grid(rows: DataFrame, end: Column, active: DataFrame | None = None, begin: Column | None = None, p: Params = DEFAULT) -> DataFrame:
-    """A row for each market and tick to `end`: top of book, depths, volume of the interval, last trade price, status. `rows` are
-    accepted events, of which several parts of the plan read. Markets begin with their first event; with `active` (market_id,
-    status) only its markets have rows, each of them from `begin` on, with the catalog's status until the log tells one."""
+def _starts(rows: DataFrame, end: Column, active: DataFrame | None, begin: Column | None, p: Params) -> DataFrame:
     step = p.interval_seconds
     final = tick_before(end, step)
     if active is None:
         starts = rows.groupBy("market_id").agg(F.min(tick_before(F.col("received_ts"), step) + 1).alias("first")).withColumn("seed", F.lit(None).cast("string"))
     else:
         starts = active.groupBy("market_id").agg(F.max("status").alias("seed")).withColumn("first", tick_before(begin, step))
-    return _grid_from(rows, starts.withColumn("final", final), end, p)
+    return starts.withColumn("final", final)
 
 
-def _grid_from(rows: DataFrame, starts: DataFrame, end: Column, p: Params) -> DataFrame:
-    """The grid of accepted events, for the ticks first..final of each market of starts (market_id, seed, first, final)."""
+def grid(rows: DataFrame, end: Column, active: DataFrame | None = None, begin: Column | None = None, p: Params = DEFAULT) -> DataFrame:
+    """A row for each market and tick to `end`: top of book, depths, volume of the interval, last trade price, status. `rows` are
+    accepted events, of which several parts of the plan read. Markets begin with their first event; with `active` (market_id,
+    status) only its markets have rows, each of them from `begin` on, with the catalog's status until the log tells one."""
+    return _grid_from(rows, _starts(rows, end, active, begin, p), end, p)
+
+
+def _runs(rows: DataFrame, starts: DataFrame, end: Column, p: Params) -> DataFrame:
+    """The grid by runs of ticks, for the ticks first..final of each market of starts (market_id, seed, first, final): market_id,
+    tick, last (of the run), seed, volume (of its first tick; there is none in the others), book (of the ticks to book.until),
+    traded, status, seen. Runs follow the events, so ticks are neither joined nor sorted."""
     step = p.interval_seconds
     by_tick = rows.withColumn("tick", tick_before(F.col("received_ts"), step) + 1)
     strong = strong_status(F.col("lifecycle"), F.col("deactivated"))
@@ -303,31 +310,57 @@ def _grid_from(rows: DataFrame, starts: DataFrame, end: Column, p: Params) -> Da
         F.bool_or(F.col("lifecycle") == "created").alias("created"),
         F.max(F.when(own, F.col("received_ts"))).alias("seen"),
     )
-    ticks = starts.where("first <= final").select("market_id", "seed", F.explode(F.sequence("first", "final")).alias("tick"))
-    so_far = Window.partitionBy("market_id").orderBy("tick").rowsBetween(*_SO_FAR)
     book = book_cells(rows, end, p)
     book = book.select("market_id", "tick", F.struct("until", "bid", "ask", "bid_value", "ask_value", "bid_levels", "ask_levels", "crossed").alias("book"))
-    lined = ticks.join(facts, ["market_id", "tick"], "left").join(book, ["market_id", "tick"], "left")
-    lined = lined.withColumn("book", F.last("book", ignorenulls=True).over(so_far)).withColumn("book", F.when(F.col("book.until") >= F.col("tick"), F.col("book")))
-    kept = F.last("strong", ignorenulls=True).over(so_far)
+    starts = starts.where("first <= final")
+    points = facts.unionByName(book, allowMissingColumns=True).join(starts.hint("merge"), "market_id")
+    # A book from before the first tick may be seen there.
+    points = points.withColumn("tick", F.when(F.col("book.until") >= F.col("first"), F.greatest("tick", "first")).otherwise(F.col("tick"))).where("tick between first and final")
+    points = points.unionByName(starts.withColumn("tick", F.col("first")), allowMissingColumns=True)
+    found = points.groupBy("market_id", "tick").agg(*(F.max(c).alias(c) for c in ("seed", "final", "volume", "traded", "strong", "created", "seen")), F.first("book", ignorenulls=True).alias("book"))
+    line = Window.partitionBy("market_id").orderBy("tick")
+    so_far = line.rowsBetween(*_SO_FAR)
     made = F.when(F.coalesce(F.max("created").over(so_far), F.lit(False)), "active")
-    return lined.select(
-        tick_time(F.col("tick"), step).alias("ts"),
+    runs = found.select(
+        "market_id", "tick", F.coalesce(F.lead("tick").over(line) - 1, "final").alias("last"), F.coalesce("volume", F.lit(0)).cast("bigint").alias("volume"), F.last("book", ignorenulls=True).over(so_far).alias("book"),
+        F.last("traded", ignorenulls=True).over(so_far).alias("traded"), F.coalesce(F.last("strong", ignorenulls=True).over(so_far), F.max("seed").over(so_far), made).alias("status"), F.max("seen").over(so_far).alias("seen"),
+    )
+    return runs.withColumn("book", F.when(F.col("book.until") >= F.col("tick"), F.col("book")))
+
+
+def _grid_from(rows: DataFrame, starts: DataFrame, end: Column, p: Params) -> DataFrame:
+    """The grid of accepted events, for the ticks first..final of each market of starts (market_id, seed, first, final)."""
+    each = _runs(rows, starts, end, p).withColumn("at", F.explode(F.sequence("tick", "last")))
+    book = lambda c: F.when(F.col("book.until") >= F.col("at"), F.col(f"book.{c}"))
+    return each.select(
+        tick_time(F.col("at"), p.interval_seconds).alias("ts"),
         "market_id",
-        F.col("book.bid").cast("bigint").alias("bid_micro"),
-        F.col("book.ask").cast("bigint").alias("ask_micro"),
-        F.coalesce("book.bid_value", F.lit(0)).cast("decimal(38,0)").alias("bid_value"),
-        F.coalesce("book.ask_value", F.lit(0)).cast("decimal(38,0)").alias("ask_value"),
-        F.coalesce("book.bid_levels", F.lit(0)).alias("bid_levels"),
-        F.coalesce("book.ask_levels", F.lit(0)).alias("ask_levels"),
-        F.coalesce("volume", F.lit(0)).cast("bigint").alias("volume_micro"),
-        F.last("traded", ignorenulls=True).over(so_far).alias("last_trade_micro"),
-        F.coalesce(kept, F.col("seed"), made).alias("status"),
-        F.coalesce("book.crossed", F.lit(False)).alias("crossed"),
-        F.max("seen").over(so_far).alias("seen_ts"),
+        book("bid").cast("bigint").alias("bid_micro"),
+        book("ask").cast("bigint").alias("ask_micro"),
+        F.coalesce(book("bid_value"), F.lit(0)).cast("decimal(38,0)").alias("bid_value"),
+        F.coalesce(book("ask_value"), F.lit(0)).cast("decimal(38,0)").alias("ask_value"),
+        F.coalesce(book("bid_levels"), F.lit(0)).alias("bid_levels"),
+        F.coalesce(book("ask_levels"), F.lit(0)).alias("ask_levels"),
+        F.when(F.col("at") == F.col("tick"), F.col("volume")).otherwise(F.lit(0)).cast("bigint").alias("volume_micro"),
+        F.col("traded").alias("last_trade_micro"),
+        "status",
+        F.coalesce(book("crossed"), F.lit(False)).alias("crossed"),
+        F.col("seen").alias("seen_ts"),
     )
 
 
+def grid_sums(rows: DataFrame, end: Column, active: DataFrame | None = None, begin: Column | None = None, p: Params = DEFAULT) -> DataFrame:
+    """Sums over all ticks of the grid by market, of runs times their length: market_id, ticks, with_bid, with_ask, bids, asks,
+    bid_levels, bid_value, volume_micro, crossed. The ticks themselves are not made."""
+    runs = _runs(rows, _starts(rows, end, active, begin, p), end, p).withColumn("n", F.least("book.until", "last") - F.col("tick") + 1).withColumn("n", F.when(F.col("book").isNotNull(), F.col("n")))
+    count = lambda held: F.coalesce(F.sum(F.when(held, F.col("n"))), F.lit(0))
+    return runs.groupBy("market_id").agg(
+        F.sum(F.col("last") - F.col("tick") + 1).alias("ticks"), count(F.col("book.bid").isNotNull()).alias("with_bid"), count(F.col("book.ask").isNotNull()).alias("with_ask"),
+        F.sum(F.col("book.bid").cast("bigint") * F.col("n")).alias("bids"), F.sum(F.col("book.ask").cast("bigint") * F.col("n")).alias("asks"), F.coalesce(F.sum(F.col("book.bid_levels") * F.col("n")), F.lit(0)).alias("bid_levels"),
+        F.coalesce(F.sum((F.col("book.bid_value") * F.col("n").cast("decimal(20,0)")).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("bid_value"), F.sum("volume").alias("volume_micro"), count(F.col("book.crossed")).alias("crossed"),
+    )
+
+
 # ---- markets that come and go
 
 

@@ -229,3 +229,54 @@ def test_grid_with_typed_state_equals_batch(spark, tmp_path):
         assert books.count() > 0 and {v.status for v in audit.audit(own.select("market_id").union(books.select("market_id")), books, own).collect()} == {"no_diff"}
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def _odd_log(spark):
+    """Events of several markets, some at one time or tick, with books that cross and are reset."""
+    r = random.Random(5)
+    rows = []
+    for k in range(240):
+        at, market = r.randrange(60) * 7, r.choice("ABC")
+        kind = r.choice(["snapshot", "delta", "delta", "trade", "life"])
+        if kind == "snapshot":
+            rows.append((at, snapshot, [[["0.4", "3"], ["0.39", "2"]], [["0.55", "4"]]]))
+        elif kind == "delta":
+            rows.append((at, delta, [r.choice(["yes", "no"]), r.choice(["0.38", "0.41", "0.5", "0.58"]), r.choice(["2", "-2", "5"])]))
+        elif kind == "trade":
+            rows.append((at, lambda k, market: event(k, "trade", None, market, yes_price_dollars="0.4", count_fp="2"), []))
+        else:
+            rows.append((at, lambda k, market: event(k, "lifecycle", None, market, event_type="created"), []))
+        rows[-1] = rows[-1] + (market,)
+    made = [f(at, *args, market=market) for at, f, args, market in rows]
+    unique = [(*row[:1], n, *row[2:]) for n, row in enumerate(made)]
+    return normalize.decoded(spark.createDataFrame(unique, SCHEMA))
+
+
+def test_sums_of_runs_are_sums_of_ticks(spark):
+    p, end = Params(interval_seconds=10), F.lit(T0 + dt.timedelta(seconds=500)).cast("timestamp_ntz")
+    rows = replay.accepted(_odd_log(spark))
+    rows.cache()
+    cells = replay.grid(rows, end, p=p)
+    want = cells.groupBy("market_id").agg(
+        F.count(F.lit(1)).alias("ticks"), F.count("bid_micro").alias("with_bid"), F.count("ask_micro").alias("with_ask"), F.sum("bid_micro").alias("bids"), F.sum("ask_micro").alias("asks"),
+        F.sum("bid_levels").alias("bid_levels"), F.sum("bid_value").alias("bid_value"), F.sum("volume_micro").alias("volume_micro"), F.count_if("crossed").alias("crossed"),
+    )
+    sums = replay.grid_sums(rows, end, p=p)
+    assert same_rows(sums.toPandas(), want.toPandas())
+    assert sum(r.crossed for r in want.collect()) > 0
+    assert "sequence(tick" not in sums._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ticks_of_the_grid_are_not_shuffled_nor_broadcast(spark):
+    end = F.lit(T0 + dt.timedelta(seconds=500)).cast("timestamp_ntz")
+    plan = replay.grid(replay.accepted(_odd_log(spark)), end)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "BroadcastExchange" not in plan
+    assert "Exchange" not in plan[: plan.index("Generate explode(sequence(tick")]
+
+
+def test_a_book_from_before_the_first_tick_is_seen_there(spark):
+    rows = normalize.decoded(spark.createDataFrame([snapshot(5, [["0.4", "3"]], [["0.5", "4"]])], SCHEMA))
+    active = spark.createDataFrame([("A", "active")], "market_id string, status string")
+    at = lambda s: F.lit(T0 + dt.timedelta(seconds=s)).cast("timestamp_ntz")
+    cells = replay.grid(replay.accepted(rows), at(300), active, at(180)).orderBy("ts").collect()
+    assert [c.bid_micro for c in cells] == [400_000] * 3
