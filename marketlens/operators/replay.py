@@ -381,7 +381,7 @@ def of_stays(events: DataFrame, members: DataFrame, state: DataFrame | None = No
     rows = rows.unionByName(exits, allowMissingColumns=True)
     if state is None:
         return rows
-    met = state.join(own.select("market_id", "stay", "enters"), "market_id").where("enters >= last_ts")
+    met = state.join(bounded(own.select("market_id", "stay", "enters")), "market_id").where("enters >= last_ts")
     first = met.withColumn("_n", F.row_number().over(Window.partitionBy("market_id", "last_ts").orderBy("enters"))).where("_n = 1")
     newest = first.withColumn("_n", F.row_number().over(Window.partitionBy("stay").orderBy(F.desc("last_ts")))).where("_n = 1")
     books = newest.withColumn("market_id", F.col("stay"))
@@ -406,7 +406,7 @@ def grid_of_stays(events: DataFrame, members: DataFrame, end: Column, state: Dat
     entries = own.select(F.col("market_id").alias("_m"), "stay", "enters")
     before = priced.join(bounded(entries), (F.col("market_id") == F.col("_m")) & (F.col("received_ts") < F.col("enters")))
     before = before.groupBy("stay").agg(F.max_by("trade_price", F.struct("received_ts", "ingest_seq")).alias("_price"))
-    cells = cells.withColumnRenamed("market_id", "stay").join(own.select("stay", "market_id"), "stay").join(before, "stay", "left").join(volumes, ["market_id", "ts"], "left")
+    cells = cells.withColumnRenamed("market_id", "stay").join(bounded(own.select("stay", "market_id")), "stay").join(before, "stay", "left").join(volumes, ["market_id", "ts"], "left")
     cells = cells.withColumn("volume_micro", F.coalesce("_volume", F.lit(0)).cast("bigint")).withColumn("last_trade_micro", F.coalesce("last_trade_micro", "_price"))
     return cells.select("ts", "market_id", *[c for c in cells.columns if c not in ("ts", "market_id", "stay", "_volume", "_price")])
 

@@ -146,3 +146,13 @@ def test_overlap_of_large_sets_equals_all_pairs(spark, most_keys):
     rows = spark.createDataFrame([(m, sorted(e)) for m, e in sets.items()], "market_id string, entities array<string>")
     got = {(x.a, x.b) for x in pairs.entity_pairs(rows, 3, most_keys).collect()}
     assert got == {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 3}
+
+
+def test_many_rows_are_not_broadcast_by_the_size_of_their_files(spark, monkeypatch):
+    from marketlens.sources import stage
+
+    few = stage.staged(spark.range(40), "few")
+    plan = lambda: spark.range(50).join(stage.bounded(few), "id")._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan()
+    monkeypatch.setattr(stage, "BROADCAST_ROWS", 10)
+    assert "Broadcast" not in plan()
