@@ -277,6 +277,19 @@ def test_pairs_are_not_broadcast_nor_shuffled(spark):
     assert "Exchange" not in plan[: plan.index("Generate explode(ys")]
 
 
+def test_pairs_in_order_are_not_sorted(spark, monkeypatch):
+    from marketlens.operators import pairs
+
+    monkeypatch.setattr(pairs, "BLOCK", 2)
+    m = _copies(spark)
+    want = [(*x, i + 1) for i, x in enumerate(sorted((r.a, r.b) for r in pairs.distinct_candidates(m).collect()))]
+    for size in (3, 1 << 18):
+        rows = pairs.in_order(m, size=size)
+        assert want and sorted(map(tuple, rows.collect())) == want
+        plan = rows._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        assert "Exchange" not in plan[: plan.index("Generate posexplode")]
+
+
 def _plan_of(rows) -> str:
     return rows._jdf.queryExecution().optimizedPlan().toString()
 
