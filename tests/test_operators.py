@@ -301,6 +301,17 @@ def test_completions_are_parsed_once(spark):
     assert _plan_of(rows).count("```json") + _plan_of(rows).count("^json") == 1  # the fence is taken off once
 
 
+def test_equal_completions_are_parsed_once(spark, monkeypatch):
+    texts = ['{"relationship_type":"implies","confidence":0.7,"rationale":"r"}', '```json\n{"relationship_type":"implies","confidence":"NaN"}\n```', "no object", "", None]
+    rows = spark.createDataFrame([(k, texts[k % 5]) for k in range(40)], "k int, content string")
+    few = edges.parse_classification(rows)
+    monkeypatch.setattr(edges, "BROADCAST_BYTES", 0)
+    each = edges.parse_classification(rows)
+    assert few.columns == each.columns and sorted(map(str, few.collect())) == sorted(map(str, each.collect())) and few.count() == 40
+    assert [r.error for r in few.orderBy("k").limit(5).collect()] == [None, None] + ["not an object"] * 3
+    assert "Join" in _plan_of(few) and "Join" not in _plan_of(each)
+
+
 def test_structural_edges_of_all_pairs(spark, monkeypatch):
     from marketlens.operators import coherence
 
