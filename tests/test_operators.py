@@ -277,6 +277,23 @@ def test_pairs_are_not_broadcast_nor_shuffled(spark):
     assert "Exchange" not in plan[: plan.index("Generate explode(ys")]
 
 
+def test_classes_that_meet_are_not_shuffled(spark, monkeypatch):
+    """Markets that all differ are as many classes, so links between classes would be as many as pairs."""
+    from marketlens.operators import pairs
+
+    monkeypatch.setattr(pairs, "BLOCK", 3)
+    names = [["a", "b", "c", f"x{i}"] + ["d"] * (i % 2) + ["0"] * (i % 3 == 0) for i in range(20)]
+    rows = [(f"M{i:02}", None, f"E{i % 2}", e, None) for i, e in enumerate(names)] + [("N1", None, "E1", ["a"], None), ("N2", None, "E1", [], None)]
+    m = spark.createDataFrame(rows, "market_id string, series_ticker string, event_ticker string, entities array<string>, closes_at timestamp_ntz")
+    found = pairs.distinct_candidates(m)
+    plan = found._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange ") == 2  # blocks of one side and of the other
+    ids = [r[0] for r in rows]
+    want = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if b < "N" or (rows[i][2] == "E1")]
+    assert sorted(map(tuple, found.collect())) == want
+    assert pairs.candidate_counts(m).collect()[0].total == len(want)
+
+
 def test_pairs_in_order_are_not_sorted(spark, monkeypatch):
     from marketlens.operators import pairs
 
