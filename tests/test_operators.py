@@ -294,6 +294,21 @@ def test_classes_that_meet_are_not_shuffled(spark, monkeypatch):
     assert pairs.candidate_counts(m).collect()[0].total == len(want)
 
 
+def test_tables_of_the_same_pairs_are_joined_where_they_are_made(spark, monkeypatch):
+    from marketlens.operators import pairs
+
+    monkeypatch.setattr(pairs, "BLOCK", 2)
+    monkeypatch.setattr(pairs, "MADE", 16)
+    found = pairs.distinct_candidates(_copies(spark), at=True)
+    last = F.right("b", F.lit(1))
+    rows = pairs.todo(found, found.where(last < "3"), found.where(last == "3"))
+    plan = rows._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("LeftAnti") == 2
+    assert plan.count("Exchange ") == 6 and "Exchange" not in plan[: plan.index("Generate explode(ys")]  # blocks of two sides, three times
+    want = sorted((r.a, r.b) for r in pairs.distinct_candidates(_copies(spark)).collect() if r.b[-1] > "3")
+    assert want and sorted(map(tuple, rows.collect())) == want
+
+
 def test_pairs_in_order_are_not_sorted(spark, monkeypatch):
     from marketlens.operators import pairs
 
