@@ -309,6 +309,18 @@ def test_tables_of_the_same_pairs_are_joined_where_they_are_made(spark, monkeypa
     assert want and sorted(map(tuple, rows.collect())) == want
 
 
+def test_second_opinions_are_joined_where_pairs_are_made(spark):
+    from marketlens.operators import pairs
+
+    found = pairs.distinct_candidates(_copies(spark), at=True)
+    said = found.withColumns({"relationship_type": F.lit("implies"), "direction": F.lit("symmetric"), "confidence": F.lit(0.9), "error": F.lit(None).cast("string"), "model": F.lit("m")})
+    rows = edges.trust(said, said.where("b like '%3'").withColumn("model", F.lit("second")))
+    plan = rows._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "Exchange" not in plan[: plan.index("Generate explode(ys")]
+    want = sorted((r.a, r.b, "second" if r.b.endswith("3") else None) for r in pairs.distinct_candidates(_copies(spark)).collect())
+    assert sorted((r.a, r.b, r.verify_model) for r in rows.collect()) == want
+
+
 def test_pairs_in_order_are_not_sorted(spark, monkeypatch):
     from marketlens.operators import pairs
 
