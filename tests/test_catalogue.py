@@ -33,3 +33,9 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).limit(5).count() == 5
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("name", ["edges_upsert_preserve_review"])
+def test_edges_are_not_shuffled(spark, name):
+    plan = catalogue.QUERIES[name](spark, SF)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "Exchange" not in plan[: plan.index("Generate explode(ys")]
